@@ -1,6 +1,6 @@
 """Named queries over the given tables; importing this package registers all of them."""
 
-from affinary.catalog import basics  # noqa: F401
+from affinary.catalog import basics, joins, scores  # noqa: F401
 from affinary.catalog.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

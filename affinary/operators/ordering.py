@@ -117,7 +117,8 @@ def top_per_group(
     part = Window.partitionBy(*group, "_salt").orderBy(*order)
     kept = salted.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= k).drop("_r", "_salt")
     whole = Window.partitionBy(*group).orderBy(*order)
-    return kept.withColumn(out, F.row_number().over(whole)).filter(F.col(out) <= k)
+    ranked = kept.withColumn(out, F.row_number().over(whole)).filter(F.col(out) <= k)
+    return ranked.withColumn(out, F.col(out).cast("bigint"))
 
 
 def explode_range(df: DataFrame, length: str, out: str, chunk: int = 4096) -> DataFrame:

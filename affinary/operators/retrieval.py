@@ -69,12 +69,14 @@ def cosine_top_k(
     every_item_block = F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("_ib")
     every_user_block = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))).alias("_ub")
     item_type = items.schema[item].dataType
-    rows = users.select(user, F.lit(None).cast(item_type).alias(item), vector, user_block(), every_item_block)
+    # fresh aliases: both sides may come from one table of vectors
+    mine = F.col(vector).alias(vector)
+    rows = users.select(user, F.lit(None).cast(item_type).alias(item), mine, user_block(), every_item_block)
     if seen is not None:
         no_vector = F.lit(None).cast(users.schema[vector].dataType).alias(vector)
         asked = seen.select(user, item).distinct().join(users.select(user), user, "left_semi")
         rows = rows.unionByName(asked.select(user, item, no_vector, user_block(), item_block()))
-    columns = items.select(item, vector, item_block(), every_user_block)
+    columns = items.select(F.col(item).alias(item), mine, item_block(), every_user_block)
 
     schema = T.StructType(
         [
@@ -116,4 +118,4 @@ def cosine_top_k(
     # at most k rows per user and item block meet here
     window = Window.partitionBy(user).orderBy(F.desc("score"), item)
     ranked = cells.withColumn("prediction_rank", F.row_number().over(window))
-    return ranked.filter(F.col("prediction_rank") <= k)
+    return ranked.filter(F.col("prediction_rank") <= k).withColumn("prediction_rank", F.col("prediction_rank").cast("bigint"))
