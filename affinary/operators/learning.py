@@ -142,9 +142,11 @@ def fit_perceptron(
     """Fit a network; with ``start`` training continues from that model's weights."""
     complete = df.select(*features, roles.label).dropna("any")
     prepared = _hasher(features, layers[0]).transform(complete).select(
-        F.col("_x").alias("features"), F.when(clicked(roles), 1.0).otherwise(0.0).alias("label")
+        "_x", F.when(clicked(roles), 1.0).otherwise(0.0).alias("_y")
+    )
+    learner = MultilayerPerceptronClassifier(
+        featuresCol="_x", labelCol="_y", layers=list(layers), maxIter=max_iter, seed=seed
     )
-    learner = MultilayerPerceptronClassifier(layers=list(layers), maxIter=max_iter, seed=seed)
     if start is not None:
         learner = learner.setInitialWeights(start.model.weights)
     return PerceptronModel(tuple(features), tuple(layers), learner.fit(prepared))

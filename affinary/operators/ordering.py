@@ -45,14 +45,14 @@ def slotted_running_sum(
     ``slots`` are columns that rise with ``order``: sorting by them and then by
     ``order`` must be the same as sorting by ``order`` alone.
     """
-    weighted = df.withColumn("_w", weight.cast("bigint"))
-    totals = weighted.groupBy(*group, *slots).agg(F.sum("_w").alias("_slot_total"))
+    weighted = df.withColumn("__w", weight.cast("bigint"))
+    totals = weighted.groupBy(*group, *slots).agg(F.sum("__w").alias("__slot_total"))
     by_slot = _earlier(Window.partitionBy(*(group or [F.lit(0)])).orderBy(*slots))
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_slot_total").over(by_slot), F.lit(0)))
+    offsets = totals.withColumn("__offset", F.coalesce(F.sum("__slot_total").over(by_slot), F.lit(0)))
     inside = _earlier(Window.partitionBy(*group, *slots).orderBy(*order))
-    placed = weighted.withColumn("_inside", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-    joined = null_safe_join(placed, offsets.drop("_slot_total"), [*group, *slots], "inner")
-    return joined.withColumn(out, F.col("_offset") + F.col("_inside")).drop("_w", "_offset", "_inside")
+    placed = weighted.withColumn("__inside", F.coalesce(F.sum("__w").over(inside), F.lit(0)))
+    joined = null_safe_join(placed, offsets.drop("__slot_total"), [*group, *slots], "inner")
+    return joined.withColumn(out, F.col("__offset") + F.col("__inside")).drop("__w", "__offset", "__inside")
 
 
 def hash_running_sum(
@@ -68,10 +68,10 @@ def hash_running_sum(
     ``key`` identifies a row.  Rows that share a key share a hash and so a slot:
     number true copies with ``number_copies`` first.
     """
-    keyed = df.withColumn("_h", shuffle_hash(seed, *key)).withColumn("_slot", F.substring("_h", 1, SLOT_DIGITS))
+    keyed = df.withColumn("__h", shuffle_hash(seed, *key)).withColumn("__slot", F.substring("__h", 1, SLOT_DIGITS))
     unit = F.lit(1) if weight is None else weight
-    placed = slotted_running_sum(keyed, group, ["_slot"], ["_h", *key], unit, out)
-    return placed.drop("_h", "_slot")
+    placed = slotted_running_sum(keyed, group, ["__slot"], ["__h", *key], unit, out)
+    return placed.drop("__h", "__slot")
 
 
 def value_slots(df: DataFrame, value: str, tie: Column, cuts: int = 512) -> DataFrame:

@@ -12,6 +12,7 @@ from affinary.operators.ordering import SLOT_DIGITS, explode_range, hash_running
 from affinary.operators.pairs import union_all
 from affinary.operators.ranking import open_positions
 from affinary.roles import NEGATIVE, POSITIVE, Resampling, Roles
+from affinary.sources.scratch import Stage, materialize
 
 
 def fraction_of(band: Column, fractions: Mapping[int, float]) -> Column:
@@ -101,7 +102,7 @@ def _indexed_users(users: DataFrame, roles: Roles, seed: str) -> DataFrame:
     return hash_running_sum(users, [roles.event_date], key, seed, out="_x")
 
 
-def _cells(pool: DataFrame, indexed: DataFrame, df: DataFrame, plan: Resampling, roles: Roles):
+def _cells(pool: DataFrame, indexed: DataFrame, df: DataFrame, plan: Resampling, roles: Roles, stage: Stage):
     """One row per pool entry with the number of users it may be paired with.
 
     A cell stands for all pairs of one popular item with the active users of its
@@ -110,77 +111,84 @@ def _cells(pool: DataFrame, indexed: DataFrame, df: DataFrame, plan: Resampling,
     """
     date, item, user = roles.event_date, roles.item_id, roles.user_id
     per_day = indexed.groupBy(date).agg(F.count(F.lit(1)).alias("_users"))
-    cells = pool.join(per_day, date)
-    columns = [name for name in pool.columns]
-    cells = cells.withColumn("_cell", shuffle_hash(plan.seed, *columns))
-    cells = cells.withColumn("_offset", hash_slot(F.col("_users"), f"{plan.seed}-start", *columns))
+    columns = pool.columns
+    cells = pool.join(per_day, date).withColumns(
+        {
+            "_cell": shuffle_hash(plan.seed, *columns),
+            "_shift": hash_slot(F.col("_users"), f"{plan.seed}-start", *columns),
+        }
+    )
+    cells = stage(cells, "cells")
 
     labelled = df.filter(F.col(roles.label) != NEGATIVE).select(user, item).distinct()
     labelled = labelled.join(pool.select(item).distinct(), item, "left_semi")
     taken = labelled.join(indexed.select(user, date, "_x"), user)
-    taken = taken.join(cells.select(item, date, "_cell", "_offset", "_users"), [item, date])
-    taken = taken.select("_cell", F.pmod(F.col("_x") - F.col("_offset"), F.col("_users")).alias("_at"))
+    taken = taken.join(cells.select(item, date, "_cell", "_shift", "_users"), [item, date])
+    taken = stage(taken.select("_cell", F.pmod(F.col("_x") - F.col("_shift"), F.col("_users")).alias("_at")), "taken")
 
     counts = taken.groupBy("_cell").agg(F.count(F.lit(1)).alias("_taken"))
-    cells = cells.join(counts, "_cell", "left").withColumn(
-        "_free", F.col("_users") - F.coalesce(F.col("_taken"), F.lit(0))
-    )
-    return cells.drop("_taken"), taken
+    free = (F.col("_users") - F.coalesce(F.col("_taken"), F.lit(0))).alias("_free")
+    return cells.join(counts, "_cell", "left").select(*cells.columns, free), taken
 
 
-def synthetic_negative_counts(df: DataFrame, pool: DataFrame, plan: Resampling, roles: Roles = Roles()) -> DataFrame:
+def synthetic_negative_counts(
+    df: DataFrame, pool: DataFrame, plan: Resampling, roles: Roles = Roles(), stage: Stage = materialize
+) -> DataFrame:
     """How many synthetic negatives each day and band could supply."""
-    indexed = _indexed_users(active_users(df, roles), roles, plan.seed)
-    cells, _ = _cells(pool, indexed, df, plan, roles)
+    indexed = stage(_indexed_users(active_users(df, roles), roles, plan.seed), "active")
+    cells, _ = _cells(stage(pool, "pool"), indexed, df, plan, roles, stage)
     return cells.groupBy(roles.event_date, roles.band).agg(F.sum("_free").alias("n_pairs"))
 
 
-def synthetic_negatives(df: DataFrame, pool: DataFrame, plan: Resampling, roles: Roles = Roles()) -> DataFrame:
+def synthetic_negatives(
+    df: DataFrame, pool: DataFrame, plan: Resampling, roles: Roles = Roles(), stage: Stage = materialize
+) -> DataFrame:
     """A sample of unlabelled (active user, popular item) pairs, exactly the set fraction per band.
 
     Systematic sampling: a band's quota is spread over its cells in proportion to
     their free pairs, and a cell takes consecutive free users of its day's
     shuffled list from a random start.  Every free pair of a band is equally
     likely, and the work grows with the sample, not with users times items.
+
+    The small tables every step needs again (users with their index, cells, taken
+    places, draws) are staged once.
     """
     date, band = roles.event_date, roles.band
-    indexed = _indexed_users(active_users(df, roles), roles, plan.seed)
-    cells, taken = _cells(pool, indexed, df, plan, roles)
+    indexed = stage(_indexed_users(active_users(df, roles), roles, plan.seed), "active")
+    cells, taken = _cells(stage(pool, "pool"), indexed, df, plan, roles, stage)
+    cells = stage(cells, "free")
 
     free = F.col("_free")
     totals = cells.groupBy(band).agg(F.sum("_free").alias("_total"))
     totals = totals.withColumn("_quota", quota(fraction_of(F.col(band), plan.popular), F.col("_total")))
     placed = hash_running_sum(cells, [band], ["_cell"], f"{plan.seed}-cell", free, out="_before").join(totals, band)
     # share of the quota due after and before this cell; decimals hold the products
-    placed = placed.withColumns(
-        {
-            "_due": F.expr("(cast(_before + _free as decimal(19)) * cast(_quota as decimal(19))) div cast(_total as decimal(19))"),
-            "_had": F.expr("(cast(_before as decimal(19)) * cast(_quota as decimal(19))) div cast(_total as decimal(19))"),
-        }
-    )
-    drawn = placed.filter(F.col("_due") > F.col("_had")).select(
-        *pool.columns, "_cell", "_offset", "_users", (F.col("_due") - F.col("_had")).alias("_draw")
-    )
-    runs = open_positions(
-        drawn.select("_cell", F.col("_users").alias("_end"), F.col("_draw").alias("_limit")),
-        taken.join(drawn.select("_cell"), "_cell", "left_semi"),
-        "_cell",
-        "_at",
-    )
+    share = "(cast({} as decimal(19)) * cast(_quota as decimal(19))) div cast(_total as decimal(19))"
+    draw = F.expr(share.format("_before + _free")) - F.expr(share.format("_before"))
+    drawn = placed.select(*pool.columns, "_cell", "_shift", "_users", draw.alias("_draw")).filter(F.col("_draw") > 0)
+    drawn = stage(drawn, "draws")
+
+    bounds = drawn.select("_cell", F.col("_users").alias("_end"), F.col("_draw").alias("_limit"))
+    runs = open_positions(bounds, taken.join(drawn.select("_cell"), "_cell", "left_semi"), "_cell", "_at")
     picked = explode_range(runs, "_length", "_step").select("_cell", (F.col("_start_at") + F.col("_step")).alias("_at"))
-    located = picked.join(drawn, "_cell").withColumn("_x", F.pmod(F.col("_at") + F.col("_offset"), F.col("_users")))
+    located = picked.join(drawn, "_cell").withColumn("_x", F.pmod(F.col("_at") + F.col("_shift"), F.col("_users")))
     pairs = located.join(indexed, [date, "_x"])
     return pairs.select(*pool.columns, *[name for name in indexed.columns if name not in (date, "_x")])
 
 
 def add_synthetic_negatives(
-    df: DataFrame, pool: DataFrame | None, plan: Resampling, columns: Sequence[str], roles: Roles = Roles()
+    df: DataFrame,
+    pool: DataFrame | None,
+    plan: Resampling,
+    columns: Sequence[str],
+    roles: Roles = Roles(),
+    stage: Stage = materialize,
 ) -> DataFrame:
     """Append synthetic negatives (label 1, weight 1) when any band asks for them."""
     if not plan.adds_negatives or pool is None:
         return df.select(*columns)
     types = dict(df.dtypes)
-    extra = synthetic_negatives(df, pool, plan, roles).withColumns(
+    extra = synthetic_negatives(df, pool, plan, roles, stage).withColumns(
         {
             roles.label: F.lit(NEGATIVE).cast(types[roles.label]),
             roles.weight: F.lit(1.0).cast(types[roles.weight]),

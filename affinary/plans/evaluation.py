@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -21,9 +21,7 @@ from affinary.operators.ranking import (
 )
 from affinary.operators.slices import slice_report
 from affinary.roles import POSITIVE, Roles
-from affinary.sources.scratch import materialize
-
-Stage = Callable[[DataFrame, str], DataFrame]
+from affinary.sources.scratch import Stage, materialize
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -13,11 +13,9 @@ from affinary.operators.batching import add_batches, training_batch_key
 from affinary.operators.pairs import drop_seen_pairs, resolve_labels
 from affinary.operators.sampling import add_synthetic_negatives, popular_pool, thin_negatives
 from affinary.roles import JobSpec
-from affinary.sources.scratch import materialize
+from affinary.sources.scratch import Stage, materialize
 from affinary.sources.sinks import training_columns
 
-Stage = Callable[[DataFrame, str], DataFrame]
-
 
 def window_rows(log: DataFrame, filters: Iterable[Predicate], spec: JobSpec) -> DataFrame:
     """The rows of one split with their context features."""
@@ -56,7 +54,7 @@ def training_set(
     if plan.active:
         settled = stage(settled, "settled")
         thinned = thin_negatives(settled, plan, key, roles)
-        settled = add_synthetic_negatives(thinned, pool, plan, columns, roles)
+        settled = add_synthetic_negatives(thinned, pool, plan, columns, roles, stage)
     settled = stage(settled, "resampled")
     batched = add_batches(settled, spec.batch_size, key, roles, mini_batches=mini_batches)
     return batched.select(*training_columns(roles, features)).dropna("any")

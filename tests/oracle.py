@@ -76,7 +76,7 @@ def main(sf_dir: str, wanted: list[str]) -> int:
     from affinary.catalog import ORACLE, QUERIES
     from affinary.session import build_session
 
-    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     bad = 0
