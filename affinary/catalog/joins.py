@@ -174,32 +174,35 @@ def flagged_log(spark, sf_dir) -> DataFrame:
     return logs.interactions(spark, sf_dir).join(people, "user_id")
 
 
-def day_data(spark, sf_dir, columns=()):
-    return evaluation_data(flagged_log(spark, sf_dir), INFER_DAY, HISTORY_DAYS, columns, ROLES, INFERRED)
+def day_data(log: DataFrame, columns=()):
+    return evaluation_data(log, INFER_DAY, HISTORY_DAYS, columns, ROLES, INFERRED)
 
 
-def popular_catalog(spark, sf_dir) -> DataFrame:
-    scores = materialize(popularity_scores(flagged_log(spark, sf_dir)), "scores")
+def popular_catalog(log: DataFrame) -> DataFrame:
+    scores = materialize(popularity_scores(log), "scores")
     return materialize(catalog_positions(scores, "score", ROLES), "catalog")
 
 
 @query(f"WITH {RANKED_SQL} SELECT user_id, count(*) AS n_candidates FROM candidates GROUP BY 1")
 def candidates_per_user(spark, sf_dir):
-    data = day_data(spark, sf_dir)
+    log = flagged_log(spark, sf_dir)
+    data = day_data(log)
     return candidate_counts(data.users, catalog_items(data.history, ROLES), data.history, ROLES)
 
 
 @query(f"WITH {RANKED_SQL} SELECT user_id, item_id, score, prediction_rank FROM ranked WHERE prediction_rank <= 20")
 def top_items_per_user(spark, sf_dir):
-    data = day_data(spark, sf_dir)
-    return top_items(data.users, popular_catalog(spark, sf_dir), data.history, 20, ROLES)
+    log = flagged_log(spark, sf_dir)
+    data = day_data(log)
+    return top_items(data.users, popular_catalog(log), data.history, 20, ROLES)
 
 
 @query(f"WITH {RANKED_SQL} SELECT user_id, item_id, prediction_rank FROM ranked SEMI JOIN firsts USING (user_id, item_id)")
 def rank_of_pairs(spark, sf_dir):
-    data = day_data(spark, sf_dir)
+    log = flagged_log(spark, sf_dir)
+    data = day_data(log)
     wanted = data.rows.select("user_id", "item_id")
-    return rank_pairs(wanted, popular_catalog(spark, sf_dir), data.history, ROLES)
+    return rank_pairs(wanted, popular_catalog(log), data.history, ROLES)
 
 
 @query(
@@ -220,9 +223,9 @@ def rank_scored_orders(spark, sf_dir):
     WHERE user_id IN (SELECT user_id FROM candidates) AND item_id IN (SELECT item_id FROM content)"""
 )
 def rows_with_predictions(spark, sf_dir):
-    data = day_data(spark, sf_dir)
+    log = flagged_log(spark, sf_dir)
+    data = day_data(log)
     counts = candidate_counts(data.users, catalog_items(data.history, ROLES), data.history, ROLES)
-    log = logs.interactions(spark, sf_dir)
     rows = having_predictions(log.select("event_id", "user_id", "item_id"), counts.filter("n_candidates > 0"), ["user_id"])
     return having_predictions(rows, content_set(log, EVAL_DAY, HISTORY_DAYS, ROLES), ["item_id"])
 
@@ -237,8 +240,9 @@ def content_items(spark, sf_dir):
     FROM eval_rows e LEFT JOIN (SELECT * FROM ranked WHERE prediction_rank <= 20) r USING (user_id, item_id)"""
 )
 def join_evaluation_ranks(spark, sf_dir):
-    data = day_data(spark, sf_dir)
-    best = top_items(data.users, popular_catalog(spark, sf_dir), data.history, 20, ROLES)
+    log = flagged_log(spark, sf_dir)
+    data = day_data(log)
+    best = top_items(data.users, popular_catalog(log), data.history, 20, ROLES)
     return attach_ranks(data.rows, best, ROLES).select("user_id", "item_id", "duration", "prediction_rank")
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinary.catalog import logs
-from affinary.catalog.joins import day_data
+from affinary.catalog.joins import day_data, flagged_log
 from affinary.catalog.logs import FEATURES, HISTORY_DAYS, INFER_DAY, ROLES, SPEC
 from affinary.catalog.registry import query
+from affinary.catalog.training import stored_observations
 from affinary.functions.calendar import full_training_split, refit_split
 from affinary.operators.learning import (
     clicked,
@@ -27,7 +28,7 @@ _ITEM_PARTS = ["item_brand", "item_type"]
 
 
 def _sets(spark, sf_dir):
-    obs = logs.observations(spark, sf_dir).drop("batch_idx")
+    obs = stored_observations(spark, sf_dir)
     split = full_training_split(INFER_DAY, HISTORY_DAYS)
     train = materialize(training_set(obs, split.train, FEATURES, SPEC), "train")
     held_out = materialize(window_rows(obs, split.validation, SPEC), "validation")
@@ -39,7 +40,7 @@ def train_score_evaluate(spark, sf_dir):
     """Fit the click model, rank every user's unseen items by it, report per slice."""
     train, _ = _sets(spark, sf_dir)
     model = fit_click_model(train, FEATURES, ROLES, _SIZE)
-    data = day_data(spark, sf_dir)
+    data = day_data(flagged_log(spark, sf_dir))
     # for one user the model orders items by their own part of the logit
     catalog = data.history.select("item_id").distinct().join(logs.items(spark, sf_dir), "item_id")
     scored = model.part(catalog, _ITEM_PARTS, "score").select("item_id", "score")
@@ -62,7 +63,7 @@ def score_held_out_day(spark, sf_dir):
 def daily_model_refit(spark, sf_dir):
     """AUC of the full model and of its refit on the newest days."""
     train, held_out = _sets(spark, sf_dir)
-    obs = logs.observations(spark, sf_dir).drop("batch_idx")
+    obs = stored_observations(spark, sf_dir)
     recent = materialize(training_set(obs, refit_split(INFER_DAY).train, FEATURES, SPEC), "recent")
     full, refit = daily_refit(train, recent, FEATURES, ROLES)
     areas = [

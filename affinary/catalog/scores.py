@@ -60,9 +60,9 @@ def _metric_sql(*names: str) -> str:
 
 def _evaluated(spark, sf_dir):
     """Evaluation rows of the popularity model with their ranks and slicing features."""
-    obs = flagged_log(spark, sf_dir)
-    data = day_data(spark, sf_dir)
-    scores = materialize(popularity_scores(obs), "scores")
+    log = flagged_log(spark, sf_dir)
+    data = day_data(log)
+    scores = materialize(popularity_scores(log), "scores")
     ranked = ranked_rows(data, scores, "score", ROLES)
     people = logs.users(spark, sf_dir).select("user_id", "user_region", "market_segment")
     kinds = logs.items(spark, sf_dir).select("item_id", "item_type")

@@ -136,8 +136,13 @@ _SET_COLUMNS = f"filename_date, batch_idx, {', '.join(FEATURES)}, round(weighted
 # ---- steps ----------------------------------------------------------------
 
 
-def _settled(spark, sf_dir):
-    return materialize(resolve_labels(logs.observations(spark, sf_dir), ROLES), "settled")
+def stored_observations(spark, sf_dir):
+    """The log with its features as a stored table, which is what the jobs read in practice."""
+    return materialize(logs.observations(spark, sf_dir).drop("batch_idx"), "observations")
+
+
+def _settled(obs):
+    return materialize(resolve_labels(obs, ROLES), "settled")
 
 
 def _banded_lines(spark, sf_dir):
@@ -157,7 +162,7 @@ def active_users_per_day(spark, sf_dir):
 @query(f"WITH {OBS_SQL}, {_resolved_sql('obs')}, {_thinned_sql('resolved')} SELECT {_KEY} FROM thinned")
 def downsample_negatives(spark, sf_dir):
     key = training_batch_key(ROLES)
-    return thin_negatives(_settled(spark, sf_dir), SPEC.resampling, key, ROLES).select(*key)
+    return thin_negatives(_settled(logs.observations(spark, sf_dir)), SPEC.resampling, key, ROLES).select(*key)
 
 
 @query(
@@ -175,18 +180,18 @@ def downsample_negatives_orders(spark, sf_dir):
     SELECT filename_date, popularity_item_group, count(*) AS n_pairs FROM free_pairs GROUP BY 1, 2"""
 )
 def synthetic_negative_supply(spark, sf_dir):
-    obs = logs.observations(spark, sf_dir)
+    obs = stored_observations(spark, sf_dir)
     pool = popular_pool(obs, SPEC.resampling, ROLES)
-    return synthetic_negative_counts(_settled(spark, sf_dir), pool, SPEC.resampling, ROLES)
+    return synthetic_negative_counts(_settled(obs), pool, SPEC.resampling, ROLES)
 
 
 @query(
     f"WITH {OBS_SQL}, {_resolved_sql('obs')}, {_pool_sql('obs')}, {_synthetic_sql('resolved')} SELECT * FROM synthetic"
 )
 def upsample_negatives(spark, sf_dir):
-    obs = logs.observations(spark, sf_dir)
+    obs = stored_observations(spark, sf_dir)
     pool = popular_pool(obs, SPEC.resampling, ROLES)
-    return synthetic_negatives(_settled(spark, sf_dir), pool, SPEC.resampling, ROLES)
+    return synthetic_negatives(_settled(obs), pool, SPEC.resampling, ROLES)
 
 
 # ---- order and batches ----------------------------------------------------
@@ -278,7 +283,7 @@ def numbered_copies(spark, sf_dir):
 
 def _training(spark, sf_dir):
     split = full_training_split(INFER_DAY, HISTORY_DAYS)
-    return training_set(logs.observations(spark, sf_dir).drop("batch_idx"), split.train, FEATURES, SPEC)
+    return training_set(stored_observations(spark, sf_dir), split.train, FEATURES, SPEC)
 
 
 @query(f"{_FULL_SQL} SELECT {_SET_COLUMNS} FROM numbered")
@@ -296,7 +301,7 @@ def training_batches(spark, sf_dir):
 )
 def validation_batches(spark, sf_dir):
     """The held-out day without the pairs trained on; no synthetic negatives."""
-    obs = logs.observations(spark, sf_dir).drop("batch_idx")
+    obs = stored_observations(spark, sf_dir)
     split = full_training_split(INFER_DAY, HISTORY_DAYS)
     trained = apply_filters(obs, split.train).select("user_id", "item_id")
     return rounded(training_set(obs, split.validation, FEATURES, SPEC, seen=trained))

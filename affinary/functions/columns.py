@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import warnings
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +92,11 @@ def group_key(*columns: str) -> Column:
     return F.concat_ws("@", *columns)
 
 
+def double_array(values: Iterable[float]) -> Column:
+    """A constant array of finite numbers, built from one expression."""
+    return F.expr(f"array({', '.join(f'{float(value)!r}D' for value in values)})")
+
+
 def shuffle_hash(seed: str, *columns: str) -> Column:
     """A stable pseudo-random sort key for a row.
 

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinary.functions.columns import double_array
 from affinary.functions.vectors import discount
 from affinary.operators.ordering import slotted_running_sum, value_slots
 from affinary.roles import POSITIVE, Roles
@@ -78,11 +80,8 @@ def _relevant(inputs: Inputs) -> dict[str, Column]:
 
 def ideal_gain(relevant: Column, k: int) -> Column:
     """Discounted gain of a perfect list: the first ``min(relevant, k)`` places all hit."""
-    totals, running = [0.0], 0.0
-    for place in range(1, k + 1):
-        running += 1 / log2(place + 1)
-        totals.append(running)
-    return F.element_at(F.lit(totals), F.least(relevant, F.lit(k)).cast("int") + 1)
+    totals = accumulate((1 / log2(place + 1) for place in range(1, k + 1)), initial=0.0)
+    return F.element_at(double_array(totals), F.least(relevant, F.lit(k)).cast("int") + 1)
 
 
 register(

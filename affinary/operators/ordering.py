@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinary.functions.columns import shuffle_hash
+from affinary.functions.columns import double_array, shuffle_hash
 
 SLOT_DIGITS = 3  # leading hash digits per slot: 16^3 = 4,096 slots in a group
 
@@ -86,7 +86,8 @@ def value_slots(df: DataFrame, value: str, tie: Column, cuts: int = 512) -> Data
     points = sorted({point for point in quantiles if math.isfinite(point)}) or [0.0]
     splits = [float("-inf"), *points, float("inf")]
     binned = Bucketizer(splits=splits, inputCol=value, outputCol="_at", handleInvalid="keep").transform(df)
-    cut = F.element_at(F.lit(splits), F.col("_at").cast("int") + 1)
+    # bin 0 starts at minus infinity and has no cut
+    cut = F.get(double_array(points), F.col("_at").cast("int") - 1)
     binned = binned.withColumn("_bin", (F.col("_at") * 2 + F.when(F.col(value) == cut, 0).otherwise(1)).cast("int"))
     on_cut = F.col("_bin") % 2 == 0
     return binned.withColumn("_tie_slot", F.when(on_cut, F.substring(tie, 1, 2)).otherwise(F.lit(""))).drop("_at")

@@ -34,12 +34,17 @@ def _earlier(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def taken_before(marks: DataFrame, group: str, position: str) -> DataFrame:
+def taken_before(marks: DataFrame, group: str, position: str, size: int | None = None) -> DataFrame:
     """For every mark: how many taken marks of its group lie before it, and the last of them.
 
     ``marks`` has a boolean ``_taken``.  A group is cut into spans of positions
-    with one summary row each, so no task sorts more than a span of a group.
+    with one summary row each, so no task sorts more than a span of a group.  When
+    the number of positions is known to fit one span there is nothing to cut.
     """
+    if size is not None and size <= 1 << SPAN_BITS:
+        at = F.when(F.col("_taken"), F.col(position))
+        whole = _earlier(Window.partitionBy(group).orderBy(position, F.desc("_taken")))
+        return marks.withColumns({"_before": F.count(at).over(whole), "_previous": F.max(at).over(whole)})
     spanned = marks.withColumn("_span", _span(position))
     taken_at = F.when(F.col("_taken"), F.col(position))
     spans = spanned.groupBy(group, "_span").agg(F.count(taken_at).alias("_n"), F.max(taken_at).alias("_last"))
@@ -63,7 +68,9 @@ def taken_before(marks: DataFrame, group: str, position: str) -> DataFrame:
     ).drop("_span", "_n_before", "_last_before", "_n_inside", "_last_inside")
 
 
-def open_positions(groups: DataFrame, taken: DataFrame, group: str, position: str) -> DataFrame:
+def open_positions(
+    groups: DataFrame, taken: DataFrame, group: str, position: str, size: int | None = None
+) -> DataFrame:
     """The first ``_limit`` free positions of each group, as runs.
 
     ``groups`` gives ``_end`` (one past the last position, counting from 0) and
@@ -72,7 +79,7 @@ def open_positions(groups: DataFrame, taken: DataFrame, group: str, position: st
     """
     closing = groups.select(group, F.col("_end").alias(position), F.lit(False).alias("_taken"))
     marks = taken.select(group, position, F.lit(True).alias("_taken")).unionByName(closing)
-    runs = taken_before(marks, group, position).join(groups.select(group, "_limit"), group)
+    runs = taken_before(marks, group, position, size).join(groups.select(group, "_limit"), group)
     start = F.coalesce(F.col("_previous") + 1, F.lit(0))
     runs = runs.select(
         group,
@@ -88,12 +95,14 @@ def catalog_positions(items: DataFrame, score: str, roles: Roles = Roles()) -> D
     return value_positions(items.select(roles.item_id, score), score, [roles.item_id])
 
 
-def candidate_counts(users: DataFrame, items: DataFrame, seen: DataFrame, roles: Roles = Roles()) -> DataFrame:
+def candidate_counts(
+    users: DataFrame, items: DataFrame, seen: DataFrame, roles: Roles = Roles(), n_items: int | None = None
+) -> DataFrame:
     """Number of candidates of every user: catalog size minus the user's seen catalog items.
 
     ``users``, ``items`` and ``seen`` are distinct.
     """
-    n_items = items.count()
+    n_items = items.count() if n_items is None else n_items
     known = seen.join(items.select(roles.item_id), roles.item_id, "left_semi")
     known = known.groupBy(roles.user_id).agg(F.count(F.lit(1)).alias("_n"))
     left = F.lit(n_items) - F.coalesce(F.col("_n"), F.lit(0))
@@ -101,7 +110,12 @@ def candidate_counts(users: DataFrame, items: DataFrame, seen: DataFrame, roles:
 
 
 def rank_pairs(
-    pairs: DataFrame, catalog: DataFrame, seen: DataFrame, roles: Roles = Roles(), out: str = "prediction_rank"
+    pairs: DataFrame,
+    catalog: DataFrame,
+    seen: DataFrame,
+    roles: Roles = Roles(),
+    out: str = "prediction_rank",
+    n_items: int | None = None,
 ) -> DataFrame:
     """Rank of the given (user, item) pairs among all items the user has not seen.
 
@@ -115,7 +129,7 @@ def rank_pairs(
         # only users that are asked about need their seen items
         seen.select(user, item).join(asked.select(user).distinct(), user, "left_semi").withColumn("_taken", F.lit(True))
     )
-    placed = taken_before(marks.join(places, item), user, "position")
+    placed = taken_before(marks.join(places, item), user, "position", n_items)
     ranked = placed.filter(~F.col("_taken"))
     return ranked.select(user, item, (F.col("position") - F.col("_before")).alias(out))
 
@@ -133,7 +147,7 @@ def top_items(
     places = catalog.withColumn("_at", F.col("position") - 1)
     taken = seen.join(users.select(user), user, "left_semi").join(places.select(item, "_at"), item)
     bounds = users.select(user, F.lit(n_items).cast("bigint").alias("_end"), F.lit(k).cast("bigint").alias("_limit"))
-    runs = open_positions(bounds, taken, user, "_at")
+    runs = open_positions(bounds, taken, user, "_at", n_items + 1)
     steps = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_length") - 1))
     slots = runs.select(user, "_start_at", "_before", steps.alias("_step"))
     filled = slots.select(

@@ -63,7 +63,7 @@ def evaluation_data(
 ) -> EvaluationData:
     """Rows to evaluate on the day before ``infer_day`` and the history before that day.
 
-    The history pairs are used by several joins, so they are written once.
+    The rows and the history pairs are used by several joins, so they are written once.
     """
     day = days_before(infer_day, 1)
     today = apply_filters(log, [f"{roles.event_date} == {day}", f"{roles.label} == {POSITIVE}", *user_filters])
@@ -74,7 +74,7 @@ def evaluation_data(
     history = stage(history_rows(log, day, days, roles, user_filters).select(*roles.pair).distinct(), "history")
     unseen = anti_join(firsts, history, roles.pair)
     rows = having_predictions(unseen, content_set(log, day, days, roles), [roles.item_id])
-    return EvaluationData(firsts.select(roles.user_id).distinct(), rows, history)
+    return EvaluationData(firsts.select(roles.user_id).distinct(), stage(rows, "unseen-rows"), history)
 
 
 def catalog_items(history: DataFrame, roles: Roles = Roles()) -> DataFrame:
@@ -101,10 +101,11 @@ def ranked_rows(
     users = data.users
     if user_features is not None:
         users = users.join(user_features.select(roles.user_id).distinct(), roles.user_id, "left_semi")
-    left = candidate_counts(users, places, data.history, roles)
+    n_items = places.count()
+    left = candidate_counts(users, places, data.history, roles, n_items)
     predicted = left.filter(F.col("n_candidates") > 0)
     rows = having_predictions(data.rows, predicted, [roles.user_id])
-    ranks = rank_pairs(rows, places, data.history, roles)
+    ranks = rank_pairs(data.rows, places, data.history, roles, n_items=n_items)
     ranks = ranks.filter(F.col("prediction_rank") <= top_k)
     return attach_ranks(rows, ranks, roles)
 

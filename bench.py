@@ -49,6 +49,8 @@ def main() -> None:
         **{
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": cpus,
+            # the tables are small here: let adaptive execution keep all cores busy
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
