@@ -146,7 +146,7 @@ def _settled(obs):
 
 
 def _banded_lines(spark, sf_dir):
-    return logs.with_bands(logs.order_lines(spark, sf_dir), ORDER_BAND_CUTS)
+    return materialize(logs.with_bands(logs.order_lines(spark, sf_dir), ORDER_BAND_CUTS), "lines")
 
 
 @query(f"WITH {OBS_SQL}, {_pool_sql('obs')} SELECT * FROM pool")
@@ -219,7 +219,7 @@ def batch_index(spark, sf_dir):
 
 @query(f"WITH {ORDERS_SQL}, numbered AS ({_numbered_sql('lines', 10)}) SELECT event_id, filename_date, batch_idx FROM numbered")
 def batch_index_orders(spark, sf_dir):
-    lines = logs.order_lines(spark, sf_dir)
+    lines = materialize(logs.order_lines(spark, sf_dir), "lines")
     return add_batches(lines, 10, training_batch_key(ORDER_ROLES), ORDER_ROLES).select("event_id", "filename_date", "batch_idx")
 
 

@@ -18,6 +18,7 @@ from affinary.functions.columns import double_array
 from affinary.functions.vectors import discount
 from affinary.operators.ordering import slotted_running_sum, value_slots
 from affinary.roles import POSITIVE, Roles
+from affinary.sources.scratch import Stage, materialize
 
 # fixed values: the cut-offs every report uses; 9999 stands for all ranks
 CUTOFFS = (1, 5, 10, 20, 100, 200, 500, 1000)
@@ -198,18 +199,21 @@ def count_active_users(df: DataFrame, roles: Roles = Roles(), positive: int = PO
     return positives.agg(F.countDistinct(roles.user_id).alias("active_users"))
 
 
-def auc(df: DataFrame, score: str, target: Column, by: Sequence[str] = ()) -> DataFrame:
+def auc(
+    df: DataFrame, score: str, target: Column, by: Sequence[str] = (), stage: Stage = materialize
+) -> DataFrame:
     """Exact area under the ROC curve, ties counted half, overall or per group.
 
-    Rows are combined per distinct score first; the negatives below each score
-    come from slot totals plus a sum inside the slot, so no task sorts all scores.
+    Rows are combined per distinct score first, and that table is staged; the
+    negatives below each score come from slot totals plus a sum inside the slot,
+    so no task sorts all scores.
     """
     usable = df.filter(F.col(score).isNotNull() & ~F.isnan(score) & target.isNotNull())
     value = F.col(score).cast("double")
     ties = usable.groupBy(*by, value.alias("_s")).agg(
         F.sum(F.when(target, 1).otherwise(0)).alias("_pos"), F.sum(F.when(target, 0).otherwise(1)).alias("_neg")
     )
-    slotted = value_slots(ties, "_s", F.lit(""))
+    slotted = value_slots(stage(ties, "scores"), "_s", F.lit(""))
     below = slotted_running_sum(slotted, by, ["_bin"], ["_s"], F.col("_neg"), "_below")
     wins = F.sum(F.col("_pos").cast("double") * (F.col("_below") + F.col("_neg") / 2))
     pairs = F.sum("_pos").cast("double") * F.sum("_neg")
