@@ -424,12 +424,15 @@ def unit_vectors(spark, sf_dir):
     return rounded(vectors.select("vec_id", F.col("unit")[0].alias("first_unit"), dot(F.col("unit"), F.col("unit")).alias("squared_length")))
 
 
-@query(f"WITH {LOG_SQL} SELECT count(DISTINCT batch_idx) AS n_mini_batches, count(DISTINCT user_id) FILTER (is_interacted = 2) AS active_users FROM log")
+@query(
+    f"""WITH {LOG_SQL} SELECT 'mini batches' AS counted, count(DISTINCT batch_idx) AS n FROM log
+    UNION ALL SELECT 'active users', count(DISTINCT user_id) FROM log WHERE is_interacted = 2"""
+)
 def distinct_counts(spark, sf_dir):
     log = logs.interactions(spark, sf_dir)
-    batches, active = count_mini_batches(log, ROLES), count_active_users(log, ROLES)
-    # two one-row tables side by side
-    return batches.withColumn("_one", F.lit(1)).join(active.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    batches = count_mini_batches(log, ROLES).select(F.lit("mini batches").alias("counted"), F.col("n_mini_batches").alias("n"))
+    active = count_active_users(log, ROLES).select(F.lit("active users").alias("counted"), F.col("active_users").alias("n"))
+    return union_all(batches, active)
 
 
 @query(

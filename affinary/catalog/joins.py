@@ -180,7 +180,7 @@ def day_data(log: DataFrame, columns=()):
 
 def popular_catalog(log: DataFrame) -> DataFrame:
     scores = materialize(popularity_scores(log), "scores")
-    return materialize(catalog_positions(scores, "score", ROLES), "catalog")
+    return materialize(catalog_positions(scores, "score", ROLES, scores.count()), "catalog")
 
 
 @query(f"WITH {RANKED_SQL} SELECT user_id, count(*) AS n_candidates FROM candidates GROUP BY 1")

@@ -34,7 +34,7 @@ from affinary.operators.batching import (
     shuffled,
     training_batch_key,
 )
-from affinary.operators.ordering import hash_running_sum, number_copies
+from affinary.operators.ordering import hash_running_sum
 from affinary.operators.pairs import resolve_labels, union_all
 from affinary.operators.sampling import (
     active_users,
@@ -162,7 +162,8 @@ def active_users_per_day(spark, sf_dir):
 @query(f"WITH {OBS_SQL}, {_resolved_sql('obs')}, {_thinned_sql('resolved')} SELECT {_KEY} FROM thinned")
 def downsample_negatives(spark, sf_dir):
     key = training_batch_key(ROLES)
-    return thin_negatives(_settled(logs.observations(spark, sf_dir)), SPEC.resampling, key, ROLES).select(*key)
+    settled = _settled(logs.observations(spark, sf_dir))
+    return thin_negatives(settled, SPEC.resampling, key, ROLES, settled.count()).select(*key)
 
 
 @query(
@@ -172,7 +173,8 @@ def downsample_negatives(spark, sf_dir):
 )
 def downsample_negatives_orders(spark, sf_dir):
     key = training_batch_key(ORDER_ROLES)
-    return thin_negatives(_banded_lines(spark, sf_dir), ORDER_SPEC.resampling, key, ORDER_ROLES).select(*key)
+    lines = _banded_lines(spark, sf_dir)
+    return thin_negatives(lines, ORDER_SPEC.resampling, key, ORDER_ROLES, lines.count()).select(*key)
 
 
 @query(
@@ -182,7 +184,8 @@ def downsample_negatives_orders(spark, sf_dir):
 def synthetic_negative_supply(spark, sf_dir):
     obs = stored_observations(spark, sf_dir)
     pool = popular_pool(obs, SPEC.resampling, ROLES)
-    return synthetic_negative_counts(_settled(obs), pool, SPEC.resampling, ROLES)
+    settled = _settled(obs)
+    return synthetic_negative_counts(settled, pool, SPEC.resampling, ROLES, n_rows=settled.count())
 
 
 @query(
@@ -191,7 +194,8 @@ def synthetic_negative_supply(spark, sf_dir):
 def upsample_negatives(spark, sf_dir):
     obs = stored_observations(spark, sf_dir)
     pool = popular_pool(obs, SPEC.resampling, ROLES)
-    return synthetic_negatives(_settled(obs), pool, SPEC.resampling, ROLES)
+    settled = _settled(obs)
+    return synthetic_negatives(settled, pool, SPEC.resampling, ROLES, n_rows=settled.count())
 
 
 # ---- order and batches ----------------------------------------------------
@@ -220,7 +224,8 @@ def batch_index(spark, sf_dir):
 @query(f"WITH {ORDERS_SQL}, numbered AS ({_numbered_sql('lines', 10)}) SELECT event_id, filename_date, batch_idx FROM numbered")
 def batch_index_orders(spark, sf_dir):
     lines = materialize(logs.order_lines(spark, sf_dir), "lines")
-    return add_batches(lines, 10, training_batch_key(ORDER_ROLES), ORDER_ROLES).select("event_id", "filename_date", "batch_idx")
+    batched = add_batches(lines, 10, training_batch_key(ORDER_ROLES), ORDER_ROLES, n_rows=lines.count())
+    return batched.select("event_id", "filename_date", "batch_idx")
 
 
 _BATCHED_SQL = f"numbered AS ({_numbered_sql('(SELECT * EXCLUDE (batch_idx) FROM log)', 50)})"
@@ -270,14 +275,6 @@ def background_and_test_sample(spark, sf_dir):
     return union_all(background, test)
 
 
-@query(
-    f"""WITH {LOG_SQL} SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type) - 1 AS copy_no
-    FROM (SELECT user_id, event_type FROM events)"""
-)
-def numbered_copies(spark, sf_dir):
-    return number_copies(logs.table(spark, sf_dir, "events").select("user_id", "event_type"))
-
-
 # ---- whole training sets --------------------------------------------------
 
 

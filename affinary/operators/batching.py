@@ -27,6 +27,7 @@ def add_batches(
     roles: Roles = Roles(),
     seed: str = "shuffle",
     mini_batches: int = 1,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Number the batches of each date: shuffled position divided by the batch size.
 
@@ -34,15 +35,16 @@ def add_batches(
     size, for tables that are read in that many parts.
     """
     size = max(batch_size // mini_batches, 1)
-    placed = hash_running_sum(df, [roles.event_date], key, seed, out="_position")
-    number = F.floor(F.col("_position") / size).cast("bigint")
-    return placed.withColumn(roles.batch, number).drop("_position")
+    placed = hash_running_sum(df, [roles.event_date], key, seed, out="_position", n_rows=n_rows)
+    return placed.withColumn(roles.batch, F.expr(f"_position div {size}")).drop("_position")
 
 
-def fixed_batches(df: DataFrame, batch_size: int, key: Sequence[str], seed: str = "shuffle") -> DataFrame:
+def fixed_batches(
+    df: DataFrame, batch_size: int, key: Sequence[str], seed: str = "shuffle", n_rows: int | None = None
+) -> DataFrame:
     """Number the batches of a whole table, all full but the last."""
-    placed = hash_running_sum(df, [], key, seed, out="_position")
-    return placed.withColumn("batch", F.floor(F.col("_position") / batch_size).cast("bigint")).drop("_position")
+    placed = hash_running_sum(df, [], key, seed, out="_position", n_rows=n_rows)
+    return placed.withColumn("batch", F.expr(f"_position div {batch_size}")).drop("_position")
 
 
 def batch_catalog(df: DataFrame, roles: Roles = Roles(), *, with_files: bool = False) -> DataFrame:

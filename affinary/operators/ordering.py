@@ -5,6 +5,11 @@ date, user or score may hold a third of all rows.  Here each group is cut into
 slots along its sort order.  Slot totals are counted first (map-side combined,
 a bounded number of rows per group), their running sums give each slot's
 offset, and only rows of one slot are ever sorted together.
+
+Callers that know a bound on the number of rows, such as the count of a stored
+table, pass it as ``n_rows``.  Up to ``ONE_TASK_ROWS`` a group cannot be too large
+for a task and the plain window is used; beyond it the number of slots follows
+the bound.
 """
 
 from __future__ import annotations
@@ -18,7 +23,22 @@ from pyspark.sql import functions as F
 
 from affinary.functions.columns import double_array, shuffle_hash
 
-SLOT_DIGITS = 3  # leading hash digits per slot: 16^3 = 4,096 slots in a group
+ONE_TASK_ROWS = 1 << 20
+SLOT_DIGITS = 4  # leading hash digits per slot when no bound is known: 65,536 slots in a group
+
+
+def fits_one_task(n_rows: int | None) -> bool:
+    return n_rows is not None and n_rows <= ONE_TASK_ROWS
+
+
+def slot_digits(n_rows: int | None) -> int:
+    """Digits that keep a slot within a task even if all rows are in one group."""
+    if n_rows is None:
+        return SLOT_DIGITS
+    digits = 1
+    while n_rows >> (4 * digits) > ONE_TASK_ROWS:
+        digits += 1
+    return digits
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -45,14 +65,17 @@ def slotted_running_sum(
     ``slots`` are columns that rise with ``order``: sorting by them and then by
     ``order`` must be the same as sorting by ``order`` alone.
     """
-    weighted = df.withColumn("__w", weight.cast("bigint"))
-    totals = weighted.groupBy(*group, *slots).agg(F.sum("__w").alias("__slot_total"))
-    by_slot = _earlier(Window.partitionBy(*(group or [F.lit(0)])).orderBy(*slots))
-    offsets = totals.withColumn("__offset", F.coalesce(F.sum("__slot_total").over(by_slot), F.lit(0)))
-    inside = _earlier(Window.partitionBy(*group, *slots).orderBy(*order))
-    placed = weighted.withColumn("__inside", F.coalesce(F.sum("__w").over(inside), F.lit(0)))
-    joined = null_safe_join(placed, offsets.drop("__slot_total"), [*group, *slots], "inner")
-    return joined.withColumn(out, F.col("__offset") + F.col("__inside")).drop("__w", "__offset", "__inside")
+    # One struct key: its null fields are equal to each other, and since window and
+    # join use the same key, the rows are shuffled once for both.
+    keyed = df.withColumns({"__w": weight.cast("bigint"), "__key": F.struct(*group, *slots)})
+    totals = keyed.groupBy("__key").agg(F.sum("__w").alias("__slot_total"))
+    of_group = [F.col(f"__key.{name}") for name in group] or [F.lit(0)]
+    by_slot = _earlier(Window.partitionBy(*of_group).orderBy(*[F.col(f"__key.{name}") for name in slots]))
+    offsets = totals.select("__key", F.coalesce(F.sum("__slot_total").over(by_slot), F.lit(0)).alias("__offset"))
+    inside = _earlier(Window.partitionBy("__key").orderBy(*order))
+    placed = keyed.withColumn("__inside", F.coalesce(F.sum("__w").over(inside), F.lit(0)))
+    joined = placed.join(offsets, "__key")
+    return joined.withColumn(out, F.col("__offset") + F.col("__inside")).drop("__w", "__key", "__offset", "__inside")
 
 
 def hash_running_sum(
@@ -62,14 +85,19 @@ def hash_running_sum(
     seed: str,
     weight: Column | None = None,
     out: str = "position",
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Running sum over earlier rows in shuffled order; with no weight, the 0-based position.
 
     ``key`` identifies a row.  Rows that share a key share a hash and so a slot:
     number true copies with ``number_copies`` first.
     """
-    keyed = df.withColumn("__h", shuffle_hash(seed, *key)).withColumn("__slot", F.substring("__h", 1, SLOT_DIGITS))
     unit = F.lit(1) if weight is None else weight
+    hashed = df.withColumn("__h", shuffle_hash(seed, *key))
+    if fits_one_task(n_rows):
+        before = _earlier(Window.partitionBy(*(group or [F.lit(0)])).orderBy("__h", *key))
+        return hashed.withColumn(out, F.coalesce(F.sum(unit.cast("bigint")).over(before), F.lit(0))).drop("__h")
+    keyed = hashed.withColumn("__slot", F.substring("__h", 1, slot_digits(n_rows)))
     placed = slotted_running_sum(keyed, group, ["__slot"], ["__h", *key], unit, out)
     return placed.drop("__h", "__slot")
 
@@ -93,13 +121,18 @@ def value_slots(df: DataFrame, value: str, tie: Column, cuts: int = 512) -> Data
     return binned.withColumn("_tie_slot", F.when(on_cut, F.substring(tie, 1, 2)).otherwise(F.lit(""))).drop("_at")
 
 
-def value_positions(df: DataFrame, value: str, key: Sequence[str], seed: str = "tie", out: str = "position") -> DataFrame:
+def value_positions(
+    df: DataFrame, value: str, key: Sequence[str], seed: str = "tie", out: str = "position", n_rows: int | None = None
+) -> DataFrame:
     """1-based position of every row, largest ``value`` first, ties in hash order of ``key``.
 
     Rows with a null or NaN value have no position and drop out.
     """
     ranked = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
     ranked = ranked.withColumns({"_neg": -F.col(value).cast("double"), "_h": shuffle_hash(seed, *key)})
+    if fits_one_task(n_rows):
+        window = Window.partitionBy(F.lit(0)).orderBy("_neg", "_h", *key)
+        return ranked.withColumn(out, F.row_number().over(window).cast("bigint")).drop("_neg", "_h")
     slotted = value_slots(ranked, "_neg", F.col("_h"))
     placed = slotted_running_sum(slotted, [], ["_bin", "_tie_slot"], ["_neg", "_h", *key], F.lit(1), out)
     return placed.withColumn(out, F.col(out) + 1).drop("_neg", "_h", "_bin", "_tie_slot")

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinary.operators.ordering import null_safe_join, top_per_group, value_positions
+from affinary.operators.ordering import top_per_group, value_positions
 from affinary.roles import Roles
 
 UNRANKED = 9999  # fixed value: the rank of a pair outside the top k
@@ -45,27 +45,25 @@ def taken_before(marks: DataFrame, group: str, position: str, size: int | None =
         at = F.when(F.col("_taken"), F.col(position))
         whole = _earlier(Window.partitionBy(group).orderBy(position, F.desc("_taken")))
         return marks.withColumns({"_before": F.count(at).over(whole), "_previous": F.max(at).over(whole)})
-    spanned = marks.withColumn("_span", _span(position))
+    spanned = marks.withColumn("_key", F.struct(group, _span(position).alias("_span")))
     taken_at = F.when(F.col("_taken"), F.col(position))
-    spans = spanned.groupBy(group, "_span").agg(F.count(taken_at).alias("_n"), F.max(taken_at).alias("_last"))
-    over_spans = _earlier(Window.partitionBy(group).orderBy("_span"))
+    spans = spanned.groupBy("_key").agg(F.count(taken_at).alias("_n"), F.max(taken_at).alias("_last"))
+    over_spans = _earlier(Window.partitionBy(F.col(f"_key.{group}")).orderBy(F.col("_key._span")))
     spans = spans.select(
-        group,
-        "_span",
+        "_key",
         F.coalesce(F.sum("_n").over(over_spans), F.lit(0)).alias("_n_before"),
         F.max("_last").over(over_spans).alias("_last_before"),
     )
-    inside = _earlier(Window.partitionBy(group, "_span").orderBy(position, F.desc("_taken")))
+    inside = _earlier(Window.partitionBy("_key").orderBy(position, F.desc("_taken")))
     local = spanned.withColumns(
         {"_n_inside": F.count(taken_at).over(inside), "_last_inside": F.max(taken_at).over(inside)}
     )
-    joined = null_safe_join(local, spans, [group, "_span"], "inner")
-    return joined.withColumns(
+    return local.join(spans, "_key").withColumns(
         {
             "_before": F.col("_n_before") + F.col("_n_inside"),
             "_previous": F.coalesce("_last_inside", "_last_before"),
         }
-    ).drop("_span", "_n_before", "_last_before", "_n_inside", "_last_inside")
+    ).drop("_key", "_n_before", "_last_before", "_n_inside", "_last_inside")
 
 
 def open_positions(
@@ -90,9 +88,9 @@ def open_positions(
     return runs.filter(F.col("_length") > 0).withColumnRenamed("_free_before", "_before")
 
 
-def catalog_positions(items: DataFrame, score: str, roles: Roles = Roles()) -> DataFrame:
-    """Items with their 1-based place by score; one row per item."""
-    return value_positions(items.select(roles.item_id, score), score, [roles.item_id])
+def catalog_positions(items: DataFrame, score: str, roles: Roles = Roles(), n_items: int | None = None) -> DataFrame:
+    """Items with their 1-based place by score; one row per item, ``n_items`` if their number is known."""
+    return value_positions(items.select(roles.item_id, score), score, [roles.item_id], n_rows=n_items)
 
 
 def candidate_counts(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinary.functions.columns import hash_slot, shuffle_hash
-from affinary.operators.ordering import SLOT_DIGITS, explode_range, hash_running_sum
+from affinary.operators.ordering import explode_range, fits_one_task, hash_running_sum, slot_digits
 from affinary.operators.pairs import union_all
 from affinary.operators.ranking import open_positions
 from affinary.roles import NEGATIVE, POSITIVE, Resampling, Roles
@@ -28,20 +28,31 @@ def quota(fraction: Column, rows: Column) -> Column:
     return F.bround(fraction * rows).cast("bigint")
 
 
-def take_by_hash(df: DataFrame, group: Sequence[str], fraction: Column, key: Sequence[str], seed: str) -> DataFrame:
+def take_by_hash(
+    df: DataFrame, group: Sequence[str], fraction: Column, key: Sequence[str], seed: str, n_rows: int | None = None
+) -> DataFrame:
     """Exactly ``round(fraction * n)`` rows of every group, those with the smallest hashes.
 
     Finds one cut-off hash per group and then filters, so the full rows are never
     shuffled: slots are counted, the slot holding the cut-off is known from the
-    counts, and only that slot's keys (one in 4,096 of a group) are sorted.
+    counts, and only that slot's keys are sorted.
     """
     keyed = df.withColumn("_h", shuffle_hash(seed, *key))
+    if fits_one_task(n_rows):
+        of_group = Window.partitionBy(*group)
+        ranked = keyed.withColumns(
+            {
+                "_rank": F.row_number().over(of_group.orderBy("_h", *key)),
+                "_quota": quota(fraction, F.count(F.lit(1)).over(of_group)),
+            }
+        )
+        return ranked.filter(F.col("_rank") <= F.col("_quota")).select(*df.columns)
     groups, keys = [f"_g{i}" for i in range(len(group))], [f"_k{i}" for i in range(len(key))]
     narrow = keyed.select(
         *[F.col(name).alias(renamed) for name, renamed in zip(group, groups)],
         *[F.col(name).alias(renamed) for name, renamed in zip(key, keys)],
         "_h",
-        F.substring("_h", 1, SLOT_DIGITS).alias("_slot"),
+        F.substring("_h", 1, slot_digits(n_rows)).alias("_slot"),
         fraction.alias("_fraction"),
     )
 
@@ -67,7 +78,9 @@ def take_by_hash(df: DataFrame, group: Sequence[str], fraction: Column, key: Seq
     return keyed.join(cut, matches).filter(mine <= F.col("_cut")).select(*df.columns)
 
 
-def thin_negatives(df: DataFrame, plan: Resampling, key: Sequence[str], roles: Roles = Roles()) -> DataFrame:
+def thin_negatives(
+    df: DataFrame, plan: Resampling, key: Sequence[str], roles: Roles = Roles(), n_rows: int | None = None
+) -> DataFrame:
     """Keep positives, keep negatives of popular bands, keep a fraction of tail-band negatives per day.
 
     Negatives outside every listed band are dropped, as configured bands are the
@@ -79,7 +92,7 @@ def thin_negatives(df: DataFrame, plan: Resampling, key: Sequence[str], roles: R
     tail = df.filter(negative & band.isin(list(plan.tail)))
     if plan.thins_tail:
         fraction = fraction_of(band, plan.tail)
-        tail = take_by_hash(tail, [roles.band, roles.event_date], fraction, key, plan.seed)
+        tail = take_by_hash(tail, [roles.band, roles.event_date], fraction, key, plan.seed, n_rows)
     return union_all(whole, tail)
 
 
@@ -96,10 +109,10 @@ def active_users(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     return positives.select(roles.user_id, *roles.user_features, roles.event_date).distinct()
 
 
-def _indexed_users(users: DataFrame, roles: Roles, seed: str) -> DataFrame:
+def _indexed_users(users: DataFrame, roles: Roles, seed: str, n_rows: int | None) -> DataFrame:
     """Active users with a shuffled 0-based index inside their day."""
     key = [name for name in users.columns if name != roles.event_date]
-    return hash_running_sum(users, [roles.event_date], key, seed, out="_x")
+    return hash_running_sum(users, [roles.event_date], key, seed, out="_x", n_rows=n_rows)
 
 
 def _cells(pool: DataFrame, indexed: DataFrame, df: DataFrame, plan: Resampling, roles: Roles, stage: Stage):
@@ -132,16 +145,26 @@ def _cells(pool: DataFrame, indexed: DataFrame, df: DataFrame, plan: Resampling,
 
 
 def synthetic_negative_counts(
-    df: DataFrame, pool: DataFrame, plan: Resampling, roles: Roles = Roles(), stage: Stage = materialize
+    df: DataFrame,
+    pool: DataFrame,
+    plan: Resampling,
+    roles: Roles = Roles(),
+    stage: Stage = materialize,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """How many synthetic negatives each day and band could supply."""
-    indexed = stage(_indexed_users(active_users(df, roles), roles, plan.seed), "active")
+    indexed = stage(_indexed_users(active_users(df, roles), roles, plan.seed, n_rows), "active")
     cells, _ = _cells(stage(pool, "pool"), indexed, df, plan, roles, stage)
     return cells.groupBy(roles.event_date, roles.band).agg(F.sum("_free").alias("n_pairs"))
 
 
 def synthetic_negatives(
-    df: DataFrame, pool: DataFrame, plan: Resampling, roles: Roles = Roles(), stage: Stage = materialize
+    df: DataFrame,
+    pool: DataFrame,
+    plan: Resampling,
+    roles: Roles = Roles(),
+    stage: Stage = materialize,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """A sample of unlabelled (active user, popular item) pairs, exactly the set fraction per band.
 
@@ -151,17 +174,18 @@ def synthetic_negatives(
     likely, and the work grows with the sample, not with users times items.
 
     The small tables every step needs again (users with their index, cells, taken
-    places, draws) are staged once.
+    places, draws) are staged once.  ``n_rows`` may bound the rows of ``df``.
     """
     date, band = roles.event_date, roles.band
-    indexed = stage(_indexed_users(active_users(df, roles), roles, plan.seed), "active")
+    indexed = stage(_indexed_users(active_users(df, roles), roles, plan.seed, n_rows), "active")
     cells, taken = _cells(stage(pool, "pool"), indexed, df, plan, roles, stage)
     cells = stage(cells, "free")
 
     free = F.col("_free")
     totals = cells.groupBy(band).agg(F.sum("_free").alias("_total"))
     totals = totals.withColumn("_quota", quota(fraction_of(F.col(band), plan.popular), F.col("_total")))
-    placed = hash_running_sum(cells, [band], ["_cell"], f"{plan.seed}-cell", free, out="_before").join(totals, band)
+    placed = hash_running_sum(cells, [band], ["_cell"], f"{plan.seed}-cell", free, "_before", cells.count())
+    placed = placed.join(totals, band)
     # share of the quota due after and before this cell; decimals hold the products
     share = "(cast({} as decimal(19)) * cast(_quota as decimal(19))) div cast(_total as decimal(19))"
     draw = F.expr(share.format("_before + _free")) - F.expr(share.format("_before"))
@@ -183,12 +207,13 @@ def add_synthetic_negatives(
     columns: Sequence[str],
     roles: Roles = Roles(),
     stage: Stage = materialize,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Append synthetic negatives (label 1, weight 1) when any band asks for them."""
     if not plan.adds_negatives or pool is None:
         return df.select(*columns)
     types = dict(df.dtypes)
-    extra = synthetic_negatives(df, pool, plan, roles, stage).withColumns(
+    extra = synthetic_negatives(df, pool, plan, roles, stage, n_rows).withColumns(
         {
             roles.label: F.lit(NEGATIVE).cast(types[roles.label]),
             roles.weight: F.lit(1.0).cast(types[roles.weight]),

@@ -93,11 +93,12 @@ def ranked_rows(
 ) -> DataFrame:
     """Evaluation rows with ``prediction_rank``; pairs outside the top k get the unranked value.
 
-    ``scored_items`` are the catalog items that have features, with their score.
+    ``scored_items`` are the catalog items that have features, with their score,
+    as a stored table: they are counted first.
     ``user_features`` restricts the users to those with features, which is what
     an inner join of candidate pairs with the features would do.
     """
-    places = stage(catalog_positions(scored_items, score, roles), "catalog")
+    places = stage(catalog_positions(scored_items, score, roles, scored_items.count()), "catalog")
     users = data.users
     if user_features is not None:
         users = users.join(user_features.select(roles.user_id).distinct(), roles.user_id, "left_semi")

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
+from affinary.functions.calendar import DEFAULT_DATE
 from affinary.functions.columns import fill_date
 from affinary.functions.predicates import Predicate, apply_filters
 from affinary.operators.assembly import add_weekend
 from affinary.operators.batching import add_batches, training_batch_key
+from affinary.operators.ordering import number_copies
 from affinary.operators.pairs import drop_seen_pairs, resolve_labels
 from affinary.operators.sampling import add_synthetic_negatives, popular_pool, thin_negatives
 from affinary.roles import JobSpec
@@ -19,7 +22,7 @@ from affinary.sources.sinks import training_columns
 
 def window_rows(log: DataFrame, filters: Iterable[Predicate], spec: JobSpec) -> DataFrame:
     """The rows of one split with their context features."""
-    rows = apply_filters(fill_date(log, spec.roles.event_date, 20230101), filters)
+    rows = apply_filters(fill_date(log, spec.roles.event_date, DEFAULT_DATE), filters)
     return add_weekend(rows, spec.roles)
 
 
@@ -46,15 +49,21 @@ def training_set(
     pool = popular_pool(rows, plan, roles) if is_training and plan.active and plan.adds_negatives else None
     if not is_training:
         rows = drop_seen_pairs(rows, seen, roles)
-    key = training_batch_key(roles)
     columns = list(
-        dict.fromkeys([*key, roles.band, *features, roles.label, roles.weight, roles.event_date])
+        dict.fromkeys([*training_batch_key(roles), roles.band, *features, roles.label, roles.weight, roles.event_date])
     )
     settled = resolve_labels(rows.select(*columns), roles)
+    if roles.row_id is None:
+        # equal rows would all hash alike; a copy number keeps them apart
+        roles = replace(roles, row_id="copy_no")
+        columns.append("copy_no")
+        settled = number_copies(settled, "copy_no")
+    key = training_batch_key(roles)
     if plan.active:
         settled = stage(settled, "settled")
-        thinned = thin_negatives(settled, plan, key, roles)
-        settled = add_synthetic_negatives(thinned, pool, plan, columns, roles, stage)
+        n_rows = settled.count()
+        thinned = thin_negatives(settled, plan, key, roles, n_rows)
+        settled = add_synthetic_negatives(thinned, pool, plan, columns, roles, stage, n_rows)
     settled = stage(settled, "resampled")
-    batched = add_batches(settled, spec.batch_size, key, roles, mini_batches=mini_batches)
+    batched = add_batches(settled, spec.batch_size, key, roles, mini_batches=mini_batches, n_rows=settled.count())
     return batched.select(*training_columns(roles, features)).dropna("any")

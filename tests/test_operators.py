@@ -120,9 +120,31 @@ def test_positions_do_not_depend_on_partitions(spark, skewed):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_value_positions_with_heavy_ties(skewed):
+@pytest.mark.parametrize("n_rows", [None, 6000, 10**13])
+def test_positions_do_not_depend_on_the_row_bound(skewed, n_rows):
+    _, df = skewed
+    first = {r.event_id: r.position for r in ordering.hash_running_sum(df, ["g"], ["event_id"], "s").collect()}
+    bound = ordering.hash_running_sum(df, ["g"], ["event_id"], "s", n_rows=n_rows)
+    assert {r.event_id: r.position for r in bound.collect()} == first
+
+
+def test_slot_digits_follow_the_bound():
+    assert ordering.slot_digits(None) == ordering.SLOT_DIGITS
+    for n_rows in (1 << 20, 10**9, 10**13):
+        assert n_rows / 16 ** ordering.slot_digits(n_rows) <= ordering.ONE_TASK_ROWS
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(n, None if n % 2 else "a") for n in range(10)], "event_id int, g string")
+    placed = ordering.hash_running_sum(df, ["g"], ["event_id"], "s").collect()
+    assert sorted(r.position for r in placed if r.g is None) == list(range(5))
+
+
+@pytest.mark.parametrize("n_rows", [None, 6000])
+def test_value_positions_with_heavy_ties(skewed, n_rows):
     data, df = skewed
-    placed = ordering.value_positions(df, "v", ["event_id"]).withColumn("h", shuffle_hash("tie", "event_id"))
+    placed = ordering.value_positions(df, "v", ["event_id"], n_rows=n_rows)
+    placed = placed.withColumn("h", shuffle_hash("tie", "event_id"))
     found = sorted((r.position, -r.v, r.h) for r in placed.collect())
     assert [at for at, _, _ in found] == list(range(1, len(data) + 1))
     assert [entry[1:] for entry in found] == sorted(entry[1:] for entry in found)
@@ -266,8 +288,9 @@ def test_thin_negatives_takes_exact_fractions(labelled):
         fraction = {1: 1, 2: 1, 3: 0.5, 4: 0, 5: 1, 9: 0}[band]
         assert after[band, day] == round(fraction * n), (band, day)
     assert sum(r.is_interacted == 2 for r in kept) == sum(row[4] == 2 for row in data)
-    again = thin_negatives(df.repartition(7), PLAN, training_batch_key(ROLES), ROLES)
-    assert {r.event_id for r in again.collect()} == {r.event_id for r in kept}
+    for other in (df.repartition(7), df):
+        again = thin_negatives(other, PLAN, training_batch_key(ROLES), ROLES, len(data) if other is df else None)
+        assert {r.event_id for r in again.collect()} == {r.event_id for r in kept}
 
 
 def test_nothing_is_thinned_when_all_fractions_are_one(labelled):

@@ -22,6 +22,27 @@ def test_query_matches_sql(spark, connection, name):
     assert [p for p in problems if p.startswith("!")] == []
 
 
+BEYOND_ONE_TASK = [
+    "auc_orders",
+    "auc_per_day",
+    "batch_index_orders",
+    "downsample_negatives",
+    "offline_evaluation",
+    "top_items_per_user",
+    "training_batches",
+    "upsample_negatives",
+]
+
+
+@pytest.mark.parametrize("name", BEYOND_ONE_TASK)
+def test_large_table_paths_match_sql(monkeypatch, spark, connection, name):
+    """The same results when nothing is taken to fit one task and groups are cut into small spans."""
+    monkeypatch.setattr("affinary.operators.ordering.ONE_TASK_ROWS", 4)
+    monkeypatch.setattr("affinary.operators.ranking.SPAN_BITS", 3)
+    problems = differences(QUERIES[name](spark, SF_DIR), connection, ORACLE[name])
+    assert [p for p in problems if p.startswith("!")] == []
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_without_sql_has_rows(spark, name):
     assert not QUERIES[name](spark, SF_DIR).isEmpty()
