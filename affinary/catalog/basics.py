@@ -35,7 +35,7 @@ from affinary.operators.learning import fit_min_max
 from affinary.operators.metrics import best_run, count_active_users, ideal_gain
 from affinary.operators.pairs import first_per_key, latest_per_key, split_by_label, union_all
 from affinary.operators.batching import count_mini_batches
-from affinary.sources.scan import FeatureSource, partition_values, read_snapshot, scan
+from affinary.sources.scan import FeatureSource, partition_values, read_snapshot, scan, scan_as, scan_optimized
 from affinary.sources.scratch import new_path
 from affinary.sources.sinks import stamp, write_predictions, write_report, write_table
 
@@ -182,6 +182,22 @@ def drop_null_rows(spark, sf_dir):
     return drop_incomplete(_encoded(spark, sf_dir))
 
 
+@query("SELECT p_partkey, p_name, CAST(p_size AS TINYINT) AS p_size, round_even(p_retailprice, 0) AS p_retailprice FROM part WHERE p_size > 5")
+def scan_narrowed(spark, sf_dir):
+    """A scan with narrow types and rounded floats."""
+    columns = ["p_partkey", "p_name", "p_size", "p_retailprice"]
+    path = f"{sf_dir}/part.parquet"
+    return scan_optimized(spark, path, {"p_size": "int8"}, 0, columns=columns, filters=["p_size > 5"])
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment FROM customer WHERE c_acctbal >= 0")
+def scan_cast(spark, sf_dir):
+    """A scan cast to a given schema; the filter column is not among the selected ones."""
+    columns, filters = ["c_custkey", "c_mktsegment"], ["c_acctbal >= 0"]
+    path = f"{sf_dir}/customer.parquet"
+    return scan_as(spark, path, {"c_custkey": "string"}, columns=columns, filters=filters)
+
+
 @query("SELECT part.*, 20230101 AS filename_date FROM part")
 def fill_missing_date(spark, sf_dir):
     return fill_date(logs.table(spark, sf_dir, "part"), "filename_date", calendar.DEFAULT_DATE)

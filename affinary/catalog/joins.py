@@ -33,7 +33,7 @@ from affinary.operators.ranking import (
     top_items,
 )
 from affinary.operators.retrieval import cosine_top_k
-from affinary.plans.evaluation import catalog_items, content_set, evaluation_data, history_rows
+from affinary.plans.evaluation import catalog_items, content_set, evaluation_data, history_rows, popularity_scores
 from affinary.roles import Roles
 from affinary.sources.scratch import materialize
 
@@ -163,12 +163,6 @@ ranked AS (
 RANKED_SQL = f"{LOG_SQL},{USERS_SQL},{HISTORY_SQL}"
 
 
-def popularity_scores(log: DataFrame) -> DataFrame:
-    """Positives per item in the history window, the score of the plain popularity model."""
-    history = history_rows(log, EVAL_DAY, HISTORY_DAYS, ROLES, INFERRED)
-    return history.groupBy("item_id").agg(F.count(F.lit(1)).alias("score"))
-
-
 def flagged_log(spark, sf_dir) -> DataFrame:
     people = logs.users(spark, sf_dir).select("user_id", "is_infering_user")
     return logs.interactions(spark, sf_dir).join(people, "user_id")
@@ -178,31 +172,28 @@ def day_data(log: DataFrame, columns=()):
     return evaluation_data(log, INFER_DAY, HISTORY_DAYS, columns, ROLES, INFERRED)
 
 
-def popular_catalog(log: DataFrame) -> DataFrame:
-    scores = materialize(popularity_scores(log), "scores")
+def popular_catalog(history: DataFrame) -> DataFrame:
+    scores = materialize(popularity_scores(history, ROLES), "scores")
     return materialize(catalog_positions(scores, "score", ROLES, scores.count()), "catalog")
 
 
 @query(f"WITH {RANKED_SQL} SELECT user_id, count(*) AS n_candidates FROM candidates GROUP BY 1")
 def candidates_per_user(spark, sf_dir):
-    log = flagged_log(spark, sf_dir)
-    data = day_data(log)
+    data = day_data(flagged_log(spark, sf_dir))
     return candidate_counts(data.users, catalog_items(data.history, ROLES), data.history, ROLES)
 
 
 @query(f"WITH {RANKED_SQL} SELECT user_id, item_id, score, prediction_rank FROM ranked WHERE prediction_rank <= 20")
 def top_items_per_user(spark, sf_dir):
-    log = flagged_log(spark, sf_dir)
-    data = day_data(log)
-    return top_items(data.users, popular_catalog(log), data.history, 20, ROLES)
+    data = day_data(flagged_log(spark, sf_dir))
+    return top_items(data.users, popular_catalog(data.history), data.history, 20, ROLES)
 
 
 @query(f"WITH {RANKED_SQL} SELECT user_id, item_id, prediction_rank FROM ranked SEMI JOIN firsts USING (user_id, item_id)")
 def rank_of_pairs(spark, sf_dir):
-    log = flagged_log(spark, sf_dir)
-    data = day_data(log)
+    data = day_data(flagged_log(spark, sf_dir))
     wanted = data.rows.select("user_id", "item_id")
-    return rank_pairs(wanted, popular_catalog(log), data.history, ROLES)
+    return rank_pairs(wanted, popular_catalog(data.history), data.history, ROLES)
 
 
 @query(
@@ -223,16 +214,17 @@ def rank_scored_orders(spark, sf_dir):
     WHERE user_id IN (SELECT user_id FROM candidates) AND item_id IN (SELECT item_id FROM content)"""
 )
 def rows_with_predictions(spark, sf_dir):
-    log = flagged_log(spark, sf_dir)
-    data = day_data(log)
+    data = day_data(flagged_log(spark, sf_dir))
     counts = candidate_counts(data.users, catalog_items(data.history, ROLES), data.history, ROLES)
+    log = logs.interactions(spark, sf_dir)
     rows = having_predictions(log.select("event_id", "user_id", "item_id"), counts.filter("n_candidates > 0"), ["user_id"])
-    return having_predictions(rows, content_set(log, EVAL_DAY, HISTORY_DAYS, ROLES), ["item_id"])
+    content = content_set(history_rows(log, EVAL_DAY, HISTORY_DAYS, ROLES), ROLES)
+    return having_predictions(rows, content, ["item_id"])
 
 
 @query(f"WITH {RANKED_SQL} SELECT item_id, item_id AS content_id FROM content")
 def content_items(spark, sf_dir):
-    return content_set(logs.interactions(spark, sf_dir), EVAL_DAY, HISTORY_DAYS, ROLES)
+    return content_set(history_rows(logs.interactions(spark, sf_dir), EVAL_DAY, HISTORY_DAYS, ROLES), ROLES)
 
 
 @query(
@@ -240,9 +232,8 @@ def content_items(spark, sf_dir):
     FROM eval_rows e LEFT JOIN (SELECT * FROM ranked WHERE prediction_rank <= 20) r USING (user_id, item_id)"""
 )
 def join_evaluation_ranks(spark, sf_dir):
-    log = flagged_log(spark, sf_dir)
-    data = day_data(log)
-    best = top_items(data.users, popular_catalog(log), data.history, 20, ROLES)
+    data = day_data(flagged_log(spark, sf_dir))
+    best = top_items(data.users, popular_catalog(data.history), data.history, 20, ROLES)
     return attach_ranks(data.rows, best, ROLES).select("user_id", "item_id", "duration", "prediction_rank")
 
 

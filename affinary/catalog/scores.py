@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinary.catalog import logs
-from affinary.catalog.joins import RANKED_SQL, day_data, popularity_scores, flagged_log
+from affinary.catalog.joins import RANKED_SQL, day_data, flagged_log
 from affinary.catalog.logs import EVAL_DAY, INFER_DAY, ITEMS_SQL, LOG_SQL, OBS_SQL, ORDERS_SQL, ROLES
 from affinary.catalog.registry import query, rounded
 from affinary.operators.learning import clicked
 from affinary.operators.metrics import CUTOFFS, DURATION_CUTOFFS, auc, best_run, duration_at_k, evaluate, log_loss, log_loss_of_probability
+from affinary.operators.ranking import catalog_positions
 from affinary.operators.sampling import resample_check
 from affinary.operators.slices import slice_report
-from affinary.plans.evaluation import ranked_rows, report
+from affinary.plans.evaluation import popularity_scores, ranked_rows, report
 from affinary.sources.scratch import materialize
 
 # ---- ranking metrics ------------------------------------------------------
@@ -60,9 +61,8 @@ def _metric_sql(*names: str) -> str:
 
 def _evaluated(spark, sf_dir):
     """Evaluation rows of the popularity model with their ranks and slicing features."""
-    log = flagged_log(spark, sf_dir)
-    data = day_data(log)
-    scores = materialize(popularity_scores(log), "scores")
+    data = day_data(flagged_log(spark, sf_dir))
+    scores = materialize(popularity_scores(data.history, ROLES), "scores")
     ranked = ranked_rows(data, scores, "score", ROLES)
     people = logs.users(spark, sf_dir).select("user_id", "user_region", "market_segment")
     kinds = logs.items(spark, sf_dir).select("item_id", "item_type")
@@ -101,24 +101,23 @@ def watch_time_at_k(spark, sf_dir):
     return rounded(duration_at_k(_evaluated(spark, sf_dir), ROLES))
 
 
-# All order lines, each ranked among the lines of its user: a large evaluated
-# table with several labels for the metrics alone.
+# All order lines, each with the place of its item by number of lines: a large
+# evaluated table with several labels for the metrics alone.
 _LINES_RANKED = f"""{ORDERS_SQL}, evaluated AS (
-  SELECT user_id, item_id, is_interacted, duration, p_type AS item_type, p_size AS item_size,
-         CAST(1 + (CAST('0x' || substr(md5(concat_ws('|', 'rank', event_id)), 1, 15) AS BIGINT) % 1500) AS INTEGER) AS prediction_rank,
+  SELECT user_id, item_id, is_interacted, duration, p_type AS item_type, p_size AS item_size, prediction_rank,
          price / 100000 AS prediction
-  FROM lines JOIN part ON item_id = p_partkey)"""
+  FROM lines JOIN part ON item_id = p_partkey JOIN (
+    SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, md5(concat_ws('|', 'tie', item_id)), item_id) AS prediction_rank
+    FROM lines GROUP BY 1) places USING (item_id))"""
 
 
 def _ranked_lines(spark, sf_dir):
-    from affinary.functions.columns import hash_slot
-
+    
     lines = logs.order_lines(spark, sf_dir)
-    ranked = lines.withColumns(
-        {
-            "prediction_rank": (1 + hash_slot(1500, "rank", "event_id")).cast("int"),
-            "prediction": F.col("price") / 100000,
-        }
+    counts = materialize(lines.groupBy("item_id").agg(F.count(F.lit(1)).alias("score")), "counts")
+    places = catalog_positions(counts, "score", ROLES, counts.count())
+    ranked = lines.withColumn("prediction", F.col("price") / 100000).join(
+        places.select("item_id", F.col("position").alias("prediction_rank")), "item_id"
     )
     return ranked.join(logs.items(spark, sf_dir), "item_id")
 

@@ -71,6 +71,12 @@ def condition(column_name: str, operator: str, value: Any) -> Column:
             raise ValueError(f"{operator!r} is not a valid operator in {(column_name, operator, value)!r}")
 
 
+def all_of(filters: Iterable[Predicate] | None) -> Column:
+    """One boolean column for filters that compare with plain values."""
+    triples = [parse(entry) if isinstance(entry, str) else entry for entry in filters or ()]
+    return reduce(lambda left, right: left & right, [condition(*triple) for triple in triples], F.lit(True))
+
+
 def apply_filters(df: DataFrame, filters: Iterable[Predicate] | None) -> DataFrame:
     """Keep the rows that satisfy every filter.
 

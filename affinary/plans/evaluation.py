@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinary.functions.calendar import days_before, window_filters
-from affinary.functions.predicates import Predicate, apply_filters
+from affinary.functions.predicates import Predicate, all_of, apply_filters
 from affinary.operators.metrics import duration_at_k
 from affinary.operators.pairs import anti_join, first_per_key
 from affinary.operators.ranking import (
@@ -30,7 +30,7 @@ class EvaluationData:
 
     users: distinct users with a positive that day
     rows: that day's first positive of every unseen pair whose item is in the content set
-    history: distinct positive pairs of the window before
+    history: distinct positive pairs of the window before, with their ``n_positives``
     """
 
     users: DataFrame
@@ -38,18 +38,14 @@ class EvaluationData:
     history: DataFrame
 
 
-def content_set(log: DataFrame, day: int, days: int, roles: Roles = Roles()) -> DataFrame:
-    """Items with a positive in the history window; the item is repeated as ``content_id``."""
-    filters = [*window_filters(day, days, column=roles.event_date), f"{roles.label} == {POSITIVE}"]
-    items = apply_filters(log, filters).select(roles.item_id).distinct()
-    return items.withColumn("content_id", F.col(roles.item_id))
+def history_rows(log: DataFrame, day: int, days: int, roles: Roles = Roles()) -> DataFrame:
+    """Positives of the ``days`` days before ``day``."""
+    return apply_filters(log, [*window_filters(day, days, column=roles.event_date), f"{roles.label} == {POSITIVE}"])
 
 
-def history_rows(
-    log: DataFrame, day: int, days: int, roles: Roles = Roles(), extra: Sequence[Predicate] = ()
-) -> DataFrame:
-    filters = [*window_filters(day, days, column=roles.event_date), f"{roles.label} == {POSITIVE}", *extra]
-    return apply_filters(log, filters)
+def content_set(history: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """Distinct items of the history; the item is repeated as ``content_id``."""
+    return history.select(roles.item_id).distinct().withColumn("content_id", F.col(roles.item_id))
 
 
 def evaluation_data(
@@ -63,18 +59,22 @@ def evaluation_data(
 ) -> EvaluationData:
     """Rows to evaluate on the day before ``infer_day`` and the history before that day.
 
-    The rows and the history pairs are used by several joins, so they are written once.
+    The history window is read once: its pairs are counted, with those of the
+    evaluated users marked, and stored.  The content set (items of all users) and
+    the history of the evaluated users both come from that table.
     """
     day = days_before(infer_day, 1)
+    user, item = roles.pair
     today = apply_filters(log, [f"{roles.event_date} == {day}", f"{roles.label} == {POSITIVE}", *user_filters])
-    kept = list(dict.fromkeys([*roles.pair, roles.label, roles.duration, *columns]))
+    kept = list(dict.fromkeys([user, item, roles.label, roles.duration, *columns]))
     order = [roles.row_id] if roles.row_id else kept
     firsts = first_per_key(today.select(*dict.fromkeys([*kept, *order])), roles.pair, order).select(*kept)
-    firsts = stage(firsts, "eval-rows")
-    history = stage(history_rows(log, day, days, roles, user_filters).select(*roles.pair).distinct(), "history")
-    unseen = anti_join(firsts, history, roles.pair)
-    rows = having_predictions(unseen, content_set(log, day, days, roles), [roles.item_id])
-    return EvaluationData(firsts.select(roles.user_id).distinct(), stage(rows, "unseen-rows"), history)
+
+    mine = F.count(F.when(all_of(user_filters), 1)).alias("n_positives")
+    window = stage(history_rows(log, day, days, roles).groupBy(user, item).agg(mine), "window")
+    history = window.filter(F.col("n_positives") > 0)
+    rows = having_predictions(anti_join(firsts, history, roles.pair), content_set(window, roles), [item])
+    return EvaluationData(today.select(user).distinct(), stage(rows, "rows"), history)
 
 
 def catalog_items(history: DataFrame, roles: Roles = Roles()) -> DataFrame:
@@ -82,6 +82,11 @@ def catalog_items(history: DataFrame, roles: Roles = Roles()) -> DataFrame:
     return history.select(roles.item_id).distinct()
 
 
+def popularity_scores(history: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """Positives per history item: the score of recommending what is popular."""
+    return history.groupBy(roles.item_id).agg(F.sum("n_positives").alias("score"))
+
+
 def ranked_rows(
     data: EvaluationData,
     scored_items: DataFrame,
