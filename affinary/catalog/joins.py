@@ -256,4 +256,4 @@ def cosine_top_items(spark, sf_dir):
     user_vectors = log.select("user_id").distinct().join(vectors, F.col("user_id") == F.col("vec_id")).drop("vec_id")
     item_vectors = log.select("item_id").distinct().join(vectors, F.lit(last) - F.col("item_id") == F.col("vec_id"))
     seen = log.filter("is_interacted = 2").select("user_id", "item_id").distinct()
-    return cosine_top_k(user_vectors, item_vectors.drop("vec_id"), 10, seen, ROLES)
+    return cosine_top_k(user_vectors, item_vectors.drop("vec_id"), 10, seen, roles=ROLES)

@@ -10,6 +10,7 @@ from affinary.catalog.logs import FEATURES, HISTORY_DAYS, INFER_DAY, ROLES, SPEC
 from affinary.catalog.registry import query
 from affinary.catalog.training import stored_observations
 from affinary.functions.calendar import full_training_split, refit_split
+from affinary.operators.factorization import fit_factor_model
 from affinary.operators.learning import (
     clicked,
     daily_refit,
@@ -19,6 +20,7 @@ from affinary.operators.learning import (
     search_space,
 )
 from affinary.operators.metrics import auc
+from affinary.operators.retrieval import vector_top_k
 from affinary.plans.evaluation import ranked_rows, report
 from affinary.plans.training import training_set, window_rows
 from affinary.sources.scratch import materialize
@@ -84,3 +86,15 @@ def parameter_search(spark, sf_dir):
 def feature_importances(spark, sf_dir):
     train, held_out = _sets(spark, sf_dir)
     return feature_importance(fit_click_model(train, FEATURES, ROLES, _SIZE), held_out)
+
+
+@query()
+def factor_model_top_items(spark, sf_dir):
+    """Top items per user by a model with user-item interactions."""
+    train, _ = _sets(spark, sf_dir)
+    model = fit_factor_model(train, ["market_segment", "user_region", "user_nation"], _ITEM_PARTS, ROLES, size=256)
+    data = day_data(flagged_log(spark, sf_dir))
+    people = data.users.join(logs.users(spark, sf_dir), "user_id")
+    goods = data.history.select("item_id").distinct().join(logs.items(spark, sf_dir), "item_id")
+    seen = data.history.select("user_id", "item_id")
+    return vector_top_k(model.user_vectors(people, ROLES), model.item_vectors(goods, ROLES), 20, seen, ROLES)

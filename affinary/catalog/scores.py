@@ -13,7 +13,7 @@ from affinary.operators.metrics import CUTOFFS, DURATION_CUTOFFS, auc, best_run,
 from affinary.operators.ranking import catalog_positions
 from affinary.operators.sampling import resample_check
 from affinary.operators.slices import slice_report
-from affinary.plans.evaluation import popularity_scores, ranked_rows, report
+from affinary.plans.evaluation import compare_models, popularity_scores, ranked_rows, report
 from affinary.sources.scratch import materialize
 
 # ---- ranking metrics ------------------------------------------------------
@@ -159,6 +159,26 @@ def offline_evaluation(spark, sf_dir):
     return rounded(report(evaluated, ["user_region", "item_type", "market_segment"], _METRICS, INFER_DAY, ROLES).slices)
 
 
+_REACH_SQL = EVALUATED_SQL.replace("count(*) AS score FROM hist", "count(DISTINCT user_id) AS score FROM hist")
+_BY_REGION = _slices_sql("evaluated", ("user_region",), ("recall", "ndcg"))
+
+
+@query(
+    f"""SELECT 'popular' AS model, * FROM (WITH {EVALUATED_SQL}, {_BY_REGION})
+    UNION ALL SELECT 'reach' AS model, * FROM (WITH {_REACH_SQL}, {_BY_REGION})"""
+)
+def compare_two_models(spark, sf_dir):
+    """Two item scores, positives and distinct users, evaluated on the same rows."""
+    data = day_data(flagged_log(spark, sf_dir))
+    reach = data.history.groupBy("item_id").agg(F.count(F.lit(1)).alias("score"))
+    models = {
+        "popular": materialize(popularity_scores(data.history, ROLES), "scores"),
+        "reach": materialize(reach, "scores"),
+    }
+    regions = logs.users(spark, sf_dir).select("user_id", "user_region")
+    return rounded(compare_models(data, models, "score", {"user_id": regions}, ["recall_at_k", "ndcg_at_k"], ROLES))
+
+
 @query(f"WITH {_LINES_RANKED}, {_slices_sql('evaluated', ('item_type', 'item_size'), _NAMES)}")
 def slice_report_orders(spark, sf_dir):
     return rounded(slice_report(_ranked_lines(spark, sf_dir), ["item_type", "item_size"], _METRICS, ROLES))

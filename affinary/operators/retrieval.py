@@ -26,8 +26,12 @@ ITEMS_PER_CELL = 32_768
 _ROWS_AT_ONCE = 256  # user rows scored per matrix product inside a cell
 
 
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
+
+
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    matrix = np.stack(vectors.to_numpy()).astype(np.float64)
+    matrix = _matrix(vectors)
     return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
 
 
@@ -40,18 +44,25 @@ def _best_columns(scores: np.ndarray, k: int) -> np.ndarray:
     return usable[np.argsort(-scores[usable], kind="stable")][:k]
 
 
-def cosine_top_k(
+def cosine_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None, **options) -> DataFrame:
+    """The ``k`` items with the greatest cosine score (moved to [0, 1]) for every user."""
+    return vector_top_k(users, items, k, seen, cosine=True, **options)
+
+
+def vector_top_k(
     users: DataFrame,
     items: DataFrame,
     k: int,
     seen: DataFrame | None = None,
     roles: Roles = Roles(),
+    *,
+    cosine: bool = False,
     vector: str = "vector",
     digits: int = 6,
     users_per_cell: int = USERS_PER_CELL,
     items_per_cell: int = ITEMS_PER_CELL,
 ) -> DataFrame:
-    """The ``k`` items with the greatest cosine score (moved to [0, 1]) for every user.
+    """The ``k`` items with the greatest dot product, or cosine score, for every user.
 
     ``users`` and ``items`` hold one row per id.  Pairs in ``seen`` are left out.
     Scores are rounded before ranking, equal scores are ordered by item.
@@ -100,12 +111,14 @@ def cosine_top_k(
         known_columns = column_of.reindex(known[item]).to_numpy(dtype=int)
         order = np.argsort(known_rows, kind="stable")
         known_rows, known_columns = known_rows[order], known_columns[order]
-        user_matrix, item_matrix = _unit_rows(asking[vector]), _unit_rows(right[vector])
+        rows_of = _unit_rows if cosine else _matrix
+        user_matrix, item_matrix = rows_of(asking[vector]), rows_of(right[vector])
 
         def pieces() -> Iterator[pd.DataFrame]:
             for start in range(0, len(user_ids), _ROWS_AT_ONCE):
                 block = user_matrix[start : start + _ROWS_AT_ONCE]
-                scores = np.round((block @ item_matrix.T + 1) / 2, digits)
+                products = block @ item_matrix.T
+                scores = np.round((products + 1) / 2 if cosine else products, digits)
                 low, high = np.searchsorted(known_rows, [start, start + len(block)])
                 scores[known_rows[low:high] - start, known_columns[low:high]] = -np.inf
                 for offset, line in enumerate(scores):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from affinary.functions.calendar import days_before, window_filters
 from affinary.functions.predicates import Predicate, all_of, apply_filters
 from affinary.operators.metrics import duration_at_k
-from affinary.operators.pairs import anti_join, first_per_key
+from affinary.operators.pairs import anti_join, first_per_key, union_all
 from affinary.operators.ranking import (
     attach_ranks,
     candidate_counts,
@@ -116,6 +116,31 @@ def ranked_rows(
     return attach_ranks(rows, ranks, roles)
 
 
+def compare_models(
+    data: EvaluationData,
+    models: Mapping[str, DataFrame],
+    score: str,
+    features: Mapping[str, DataFrame],
+    metrics: Sequence[str],
+    roles: Roles = Roles(),
+    top_k: int = 1000,
+    stage: Stage = materialize,
+) -> DataFrame:
+    """The sliced report of every model version over the same rows, with the model's name.
+
+    ``models`` gives each version's scored items; ``features`` the tables that
+    bring the slicing columns, by the key to join on.
+    """
+    slices = [name for key, table in features.items() for name in table.columns if name != key]
+    reports = []
+    for name, scored_items in models.items():
+        ranked = ranked_rows(data, scored_items, score, roles, top_k, stage=stage)
+        for key, table in features.items():
+            ranked = ranked.join(table, key)
+        reports.append(slice_report(ranked, slices, metrics, roles).select(F.lit(name).alias("model"), "*"))
+    return union_all(*reports)
+
+
 @dataclass(frozen=True)
 class EvaluationReport:
     slices: DataFrame
