@@ -145,8 +145,9 @@ def _settled(obs):
     return materialize(resolve_labels(obs, ROLES), "settled")
 
 
-def _banded_lines(spark, sf_dir):
-    return materialize(logs.with_bands(logs.order_lines(spark, sf_dir), ORDER_BAND_CUTS), "lines")
+def _stored_lines(spark, sf_dir):
+    """Order lines as a stored log; the given file is one split, a log has many."""
+    return materialize(logs.order_lines(spark, sf_dir).repartition("user_id"), "lines")
 
 
 @query(f"WITH {OBS_SQL}, {_pool_sql('obs')} SELECT * FROM pool")
@@ -173,8 +174,10 @@ def downsample_negatives(spark, sf_dir):
 )
 def downsample_negatives_orders(spark, sf_dir):
     key = training_batch_key(ORDER_ROLES)
-    lines = _banded_lines(spark, sf_dir)
-    return thin_negatives(lines, ORDER_SPEC.resampling, key, ORDER_ROLES, lines.count()).select(*key)
+    stored = _stored_lines(spark, sf_dir)
+    n_rows = stored.count()
+    lines = logs.with_bands(stored, ORDER_BAND_CUTS)
+    return thin_negatives(lines, ORDER_SPEC.resampling, key, ORDER_ROLES, n_rows).select(*key)
 
 
 @query(
@@ -223,7 +226,7 @@ def batch_index(spark, sf_dir):
 
 @query(f"WITH {ORDERS_SQL}, numbered AS ({_numbered_sql('lines', 10)}) SELECT event_id, filename_date, batch_idx FROM numbered")
 def batch_index_orders(spark, sf_dir):
-    lines = materialize(logs.order_lines(spark, sf_dir), "lines")
+    lines = _stored_lines(spark, sf_dir)
     batched = add_batches(lines, 10, training_batch_key(ORDER_ROLES), ORDER_ROLES, n_rows=lines.count())
     return batched.select("event_id", "filename_date", "batch_idx")
 
