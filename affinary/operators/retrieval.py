@@ -26,24 +26,6 @@ ITEMS_PER_CELL = 32_768
 _ROWS_AT_ONCE = 256  # user rows scored per matrix product inside a cell
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype(np.float64)
-
-
-def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    matrix = _matrix(vectors)
-    return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
-
-
-def _best_columns(scores: np.ndarray, k: int) -> np.ndarray:
-    """Columns of the k greatest usable scores, equal scores in column order."""
-    usable = np.flatnonzero(np.isfinite(scores))
-    if len(usable) > k:
-        bar = np.partition(scores[usable], len(usable) - k)[len(usable) - k]
-        usable = usable[scores[usable] >= bar]
-    return usable[np.argsort(-scores[usable], kind="stable")][:k]
-
-
 def cosine_top_k(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None, **options) -> DataFrame:
     """The ``k`` items with the greatest cosine score (moved to [0, 1]) for every user."""
     return vector_top_k(users, items, k, seen, cosine=True, **options)
@@ -97,6 +79,22 @@ def vector_top_k(
         ]
     )
 
+    # The cell function and its helpers are local on purpose: they travel to the
+    # workers by value, which need not have this package installed.
+    def matrix_of(vectors: pd.Series) -> np.ndarray:
+        matrix = np.stack(vectors.to_numpy()).astype(np.float64)
+        if not cosine:
+            return matrix
+        return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+
+    def best_columns(scores: np.ndarray) -> np.ndarray:
+        """Columns of the k greatest usable scores, equal scores in column order."""
+        usable = np.flatnonzero(np.isfinite(scores))
+        if len(usable) > k:
+            bar = np.partition(scores[usable], len(usable) - k)[len(usable) - k]
+            usable = usable[scores[usable] >= bar]
+        return usable[np.argsort(-scores[usable], kind="stable")][:k]
+
     def best_in_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         is_user = left[vector].notna()
         asking, known = left[is_user], left[~is_user]
@@ -111,8 +109,7 @@ def vector_top_k(
         known_columns = column_of.reindex(known[item]).to_numpy(dtype=int)
         order = np.argsort(known_rows, kind="stable")
         known_rows, known_columns = known_rows[order], known_columns[order]
-        rows_of = _unit_rows if cosine else _matrix
-        user_matrix, item_matrix = rows_of(asking[vector]), rows_of(right[vector])
+        user_matrix, item_matrix = matrix_of(asking[vector]), matrix_of(right[vector])
 
         def pieces() -> Iterator[pd.DataFrame]:
             for start in range(0, len(user_ids), _ROWS_AT_ONCE):
@@ -122,7 +119,7 @@ def vector_top_k(
                 low, high = np.searchsorted(known_rows, [start, start + len(block)])
                 scores[known_rows[low:high] - start, known_columns[low:high]] = -np.inf
                 for offset, line in enumerate(scores):
-                    best = _best_columns(line, k)
+                    best = best_columns(line)
                     yield pd.DataFrame({user: user_ids[start + offset], item: item_ids[best], "score": line[best]})
 
         return pd.concat(pieces(), ignore_index=True)
