@@ -32,8 +32,9 @@ def ordered_block(df: DataFrame, key: str, rows_per_block: int) -> tuple[Column,
     n, low, high = known.agg(F.count(F.lit(1)), F.min("k"), F.max("k")).first()
     if low is None:
         return F.lit(-1).cast("bigint"), n
-    shares = [i / SEGMENTS for i in range(1, SEGMENTS)]
-    cuts = sorted({int(x) for x in known.approxQuantile("k", shares, 1 / (4 * SEGMENTS))} - {low})
+    segments = min(SEGMENTS, max(1, n // rows_per_block))
+    shares = [i / segments for i in range(1, segments)]
+    cuts = sorted({int(x) for x in known.approxQuantile("k", shares, 1 / (4 * SEGMENTS))} - {low}) if shares else []
     starts = [low, *cuts]
     ends = [*cuts, high + 1]
     per_segment = max(1, ceil(n / len(starts) / rows_per_block))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import mixing
+from affinary.llm import mixing, packing, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +30,15 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixed).select(
         F.col("kept.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "source"
     )
+
+
+@query
+def op7_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals, quantiles and truncated totals for every encoded length that occurs."""
+    return tokens.length_histogram(tokens.encoded_lengths(_table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 ids, one row per piece."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
