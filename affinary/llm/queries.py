@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import mixing, packing, tokens
+from affinary.llm import mixing, packing, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,3 +42,20 @@ def op7_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 ids, one row per piece."""
     return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every text: the plain kinds counted and digested, all spans listed."""
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda span: span["kind"].isin(*kinds))
+
+    plain = of(*secret_spans.PLAIN_KINDS)
+    counts = [F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in secret_spans.PLAIN_KINDS]
+    return secret_spans.secret_spans(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *counts,
+        F.sha2(secret_spans.spans_text(plain).cast("binary"), 256).alias("base_sha256"),
+        secret_spans.spans_text(F.col("spans")).alias("spans"),
+    )
