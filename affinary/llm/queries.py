@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import mixing, packing, secret_spans, tokens
+from affinary.llm import host_trust, html_text, mixing, packing, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +59,24 @@ def op4_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_spans.spans_text(plain).cast("binary"), 256).alias("base_sha256"),
         secret_spans.spans_text(F.col("spans")).alias("spans"),
     )
+
+
+URL_RULES = (
+    host_trust.Rule("allow", "org/"),
+    host_trust.Rule("block", "example.org/es/"),
+    host_trust.Rule("block", "example.org/en/1"),
+    host_trust.Rule("allow", "com/fr/"),
+    host_trust.Rule("block", "com/de/"),
+)
+
+
+@query
+def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for the url of every page."""
+    return host_trust.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
