@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinary.llm.order import ordered_block
-from affinary.llm.tokens import WordwiseEncoder, default_vocabulary
+from affinary.llm.tokens import TextEncoder, default_vocabulary
 
 _STREAM = 1 << 21  # ids packed at once
 _NEVER = float("inf")
@@ -125,10 +125,9 @@ def pack(
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordwiseEncoder(file)
-        vocabulary = encoder._tokenizer
-        ends = np.zeros(vocabulary.get_vocab_size(), dtype=bool)
-        for word, number in vocabulary.get_vocab().items():
+        encoder = TextEncoder(file)
+        ends = np.zeros(max(encoder.vocabulary.values()) + 1, dtype=bool)
+        for word, number in encoder.vocabulary.items():
             ends[number] = word[-1] in ".!?。！？" or "Ċ" in word  # Ċ stands for a line's end
         tail = np.array([end_id], dtype="<u4").tobytes()
         waiting: list[tuple[int | None, bytes]] = []
@@ -178,9 +177,8 @@ def pack(
             yield pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
-            blocks, owners = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts = [text or "" for text in batch.column(2).to_pylist()]
-            for number, owner, data in zip(blocks, owners, encoder.ids(texts)):
+            for number, owner, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                data = encoder.ids(text.as_py() or "")
                 if number != current:
                     yield from flush()
                     current, sequence = number, 0

@@ -1,23 +1,24 @@
 """Token ids of whole texts, and the exact histogram of encoded lengths.
 
-Words repeat far more often than texts, so a text is encoded word by word through a
-bounded memory of words already seen.  A cut in front of a space that follows no
-other white space never changes the ids: the byte-level tokenizers used here begin a
-piece there in any case.
+A text in common scripts is merged by tiktoken, from the vocabulary of the same file, when that
+is sure to give the ids that tokenizers gives; all others are encoded by tokenizers.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_REMEMBERED = 400_000  # words per task
-_LONG = 64  # longer words are not remembered
-_AT_ONCE = 256  # texts whose unknown words are encoded together
+# pieces of text that are merged on their own (fixed pattern of byte-level tokenizers)
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# beyond Latin letters and general punctuation, libraries may know different versions of Unicode
+_RARE = re.compile("[^\u0000-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 
 
 def default_vocabulary() -> str:
@@ -26,56 +27,61 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class WordwiseEncoder:
-    """``ids(texts)``: for every text its ids as little-endian unsigned 32-bit bytes."""
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones are themselves, others follow from 256."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {chr(byte): byte for byte in printable} | {chr(256 + i): byte for i, byte in enumerate(others)}
+
+
+class TextEncoder:
+    """Ids of texts as little-endian unsigned 32-bit bytes, special tokens in a text included.
+
+    Only a plain byte-level vocabulary whose merges come in the order of their ids is merged by
+    tiktoken, and only texts without special tokens and rare characters.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._first: dict[str, bytes] = {}  # as the first word of a text
-        self._later: dict[str, bytes] = {}  # behind a space
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        """The text cut at its spaces, but not behind white space; the words joined by spaces are the text."""
-        parts = text.split(" ")
-        if all(part and not part[-1].isspace() for part in parts[:-1]):
-            return parts
-        merged: list[list[str]] = []
-        is_open = False  # white space stands at the end so far
-        for part in parts:
-            if is_open:
-                merged[-1].append(part)
-            else:
-                merged.append([part])
-            # a leading empty first part is the space at the start of the text
-            is_open = not part or part[-1].isspace()
-        return [" ".join(group) for group in merged]
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        for begin in range(0, len(texts), _AT_ONCE):
-            cut = [self.words(text) for text in texts[begin : begin + _AT_ONCE]]
-            if len(self._later) > _REMEMBERED:
-                self._later.clear()
-            firsts = list({words[0] for words in cut})
-            self._first = dict(zip(firsts, self._encode(firsts)))
-            seen: set[str] = set()
-            for words in cut:
-                seen.update(words[1:])
-            unknown = list(seen - self._later.keys())
-            found = dict(zip(unknown, self._encode([" " + word for word in unknown])))
-            self._later.update(found)
-            known = self._later.__getitem__
-            for words in cut:
-                yield self._first[words[0]] + b"".join(map(known, words[1:]))
-            for word in unknown:
-                if len(word) > _LONG:
-                    del self._later[word]
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        self._path = path
+        self._exact = None
+        self.vocabulary: dict[str, int] = dict(described["model"]["vocab"])
+        self._special = [token["content"] for token in described["added_tokens"]]
+        self._fast = self._merger(described)
+
+    def _merger(self, described: dict):
+        model, split = described["model"], described["pre_tokenizer"] or {}
+        is_plain = (
+            model.get("type") == "BPE"
+            and not model.get("dropout")
+            and described["normalizer"] is None
+            and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True)
+            and not split.get("add_prefix_space")
+        )
+        if not is_plain:
+            return None
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+        made = [self.vocabulary.get(left + right, -1) for left, right in pairs]
+        byte_of = _byte_of()
+        words = {word: number for word, number in self.vocabulary.items() if word not in self._special}
+        if any(a >= b for a, b in zip(made, made[1:])) or not all(char in byte_of for word in words for char in word):
+            return None
+        import tiktoken
+
+        ranks = {bytes(byte_of[char] for char in word): number for word, number in words.items()}
+        return tiktoken.Encoding("texts", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> bytes:
+        is_common = self._fast is not None and (text.isascii() or not _RARE.search(text))
+        if is_common and not any(token in text for token in self._special):
+            return self._fast.encode_to_numpy(text, disallowed_special=()).tobytes()
+        if self._exact is None:
+            from tokenizers import Tokenizer
+
+            self._exact = Tokenizer.from_file(self._path)
+        return array("I", self._exact.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def encoded_lengths(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -83,10 +89,9 @@ def encoded_lengths(docs: DataFrame, path: str | None = None) -> DataFrame:
     file = path or default_vocabulary()
 
     def lengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordwiseEncoder(file)
+        encoder = TextEncoder(file)
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            counts = [len(ids) // 4 for ids in encoder.ids(texts)]
+            counts = [len(encoder.ids(text.as_py() or "")) // 4 for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
