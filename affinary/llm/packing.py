@@ -4,7 +4,7 @@ Documents, each ended by the end id, form a stream in the order of their ids.  W
 of at most ``size`` ids cover the stream without gaps.  A window may end at a document
 end (free), at a sentence end (``sentence_cut``) or inside a sentence
 (``inner_cut``, only where a window is full); it also costs ``size - length`` of
-padding, nothing when its length is a power of two, and ``per_window``.  The cheapest
+padding and ``per_window``.  The cheapest
 cuts come from f(j) = min f(i) + size - (p(j) - p(i)) + cost(j) over the window in front
 of j; a queue that stays monotone in f(i) + p(i) gives each minimum in constant time.
 
@@ -12,7 +12,8 @@ Cuts inside sentences: of the full windows that end within one sentence only the
 is followed, so the number of cut places stays linear.
 
 Blocks of about ``docs_per_block`` documents along the ids are packed on their own, at most
-``_STREAM`` ids at once besides one document; what is left at an end is cut into powers of two.
+``_STREAM`` ids at once besides one document; the last window is cut into powers of two, which
+need no padding.
 
 Null text is an empty text (only the end id), null ids come first, repeated rows are
 documents of their own, an empty table gives no rows.
@@ -49,47 +50,40 @@ class PackingCosts:
 
 def window_cuts(places: list[int], costs: list[float], rule: PackingCosts) -> list[int]:
     """Where the cheapest windows end; ``places`` ascend and the last one ends the stream."""
-    size, halves = rule.size, []
-    power = 1
-    while power <= rule.size:
-        if power >= rule.size // 8:
-            halves.append(power)
-        power *= 2
-    # nodes: place, cost so far, node before
-    at, cost, before = [0], [0.0], [-1]
-    node_at = {0: 0}
-    queue = deque([0])  # nodes with ascending cost + place
-    scanned = 0  # nodes whose full window has been looked at
-
-    def add(place: int, value: float, source: int) -> None:
-        node = len(at)
-        at.append(place)
-        cost.append(value)
-        before.append(source)
-        node_at[place] = node
-        key = value + place
-        while queue and cost[queue[-1]] + at[queue[-1]] >= key:
-            queue.pop()
-        queue.append(node)
-
+    size, window, inner = rule.size, rule.per_window, rule.inner_cut + rule.per_window
+    # nodes: place, cost so far plus place, node before
+    at, keys, before = [0], [0.0], [-1]
+    queue = deque([0])  # nodes with ascending keys
+    scanned, last = 0, 0  # nodes whose full window has been looked at; place of the last node
     for place, end_cost in zip(places, costs):
         # the cheapest full window that ends between the place before and this one
+        reach = place - size
         best, source = _NEVER, -1
-        while scanned < len(at) and at[scanned] + size < place:
-            if at[scanned] + size > at[-1] and cost[scanned] <= best:
-                best, source = cost[scanned], scanned
+        while at[scanned] < reach:
+            start = at[scanned]
+            if start + size > last and keys[scanned] - start <= best:
+                best, source = keys[scanned] - start, scanned
             scanned += 1
         if source >= 0:
-            add(at[source] + size, best + rule.inner_cut + rule.per_window, source)
-        while at[queue[0]] < place - size:
+            last = at[source] + size
+            key = best + inner + last
+            while queue and keys[queue[-1]] >= key:
+                queue.pop()
+            queue.append(len(at))
+            at.append(last)
+            keys.append(key)
+            before.append(source)
+        while at[queue[0]] < reach:
             queue.popleft()
         source = queue[0]
-        best = cost[source] + size - (place - at[source])
-        for length in halves:
-            node = node_at.get(place - length)
-            if node is not None and cost[node] < best:
-                best, source = cost[node], node
-        add(place, best + end_cost + rule.per_window, source)
+        key = keys[source] + size + end_cost + window
+        while queue and keys[queue[-1]] >= key:
+            queue.pop()
+        queue.append(len(at))
+        at.append(place)
+        keys.append(key)
+        before.append(source)
+        last = place
     cuts, node = [], len(at) - 1
     while node > 0:
         cuts.append(at[node])
