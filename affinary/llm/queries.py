@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import host_trust, html_text, mixing, packing, secret_spans, tokens
+from affinary.llm import fingerprints, host_trust, html_text, mixing, packing, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +80,9 @@ def op2_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_order_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and their edited texts, with likenesses."""
+    return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
