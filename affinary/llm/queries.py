@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import fingerprints, host_trust, html_text, mixing, packing, secret_spans, tokens
+from affinary.llm import fingerprints, host_trust, html_text, language_id, mixing, packing, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,3 +86,14 @@ def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_order_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all texts and their edited texts, with likenesses."""
     return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from two thirds of the documents."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs)
+    rows = docs.select(
+        F.col("doc_id"), F.coalesce(language_id.fold(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), F.col("text")
+    )
+    return language_id.label(rows, model).drop("text")
