@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import fingerprints, host_trust, html_text, language_id, mixing, packing, secret_spans, tokens
+from affinary.llm import fingerprints, host_trust, html_text, language_id, mixing, near_vectors, packing, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,9 @@ def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id"), F.coalesce(language_id.fold(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), F.col("text")
     )
     return language_id.label(rows, model).drop("text")
+
+
+@query
+def op6_stable_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
