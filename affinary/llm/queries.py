@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import fingerprints, host_trust, html_text, language_id, mixing, near_vectors, packing, secret_spans, tokens
+from affinary.llm import fingerprints, host_trust, html_text, jaccard_join, language_id, mixing, near_vectors, packing, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +103,9 @@ def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_stable_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
     return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by a Jaccard similarity of 0.9 or more on 3-word shingles."""
+    return jaccard_join.components_of(_table(spark, sf_dir, "documents"))
