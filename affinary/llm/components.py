@@ -22,19 +22,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     oriented = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     current = materialize(oriented, "edges")
-    print_before = None
-    while True:
+    before = _summary(current)
+    while before[0]:
         both = current.union(current.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = both.join(least.select("u", F.least("m", "u").alias("m")), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.distinct(), "large-star")
+        large = materialize(large, "large-star")
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         current = materialize(small.union(smallest.select("u", "m")).distinct(), "small-star")
-        fingerprint = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if fingerprint == print_before:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        print_before = fingerprint
+        after = _summary(current)
+        if after == before:
+            break
+        before = after
+    return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _summary(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
 def sorted_groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:

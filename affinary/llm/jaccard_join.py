@@ -4,11 +4,13 @@ The Jaccard distance is a metric, so a pivot's distances bound all others.  Most
 a corpus are as far from any pivot as can be, so regions are made in two steps.
 
 1. *Cells.*  The shingles are cut into classes by hash.  Sets that are linked differ in at most
-   ``d`` shingles, so of ``d + 1 + SPARE`` classes they agree in more than ``SPARE``, at least one of them
+   ``d`` shingles, so of ``d + 1 + spare`` classes they agree in more than ``spare``, at least one of them
    not empty.  Every part of a set that lies in one class is a pivot of that class's
-   space, and its cell holds the sets at distance zero from it.  (Sets with more than SPARE empty
+   space, and its cell holds the sets at distance zero from it.  (Sets with more than ``spare`` empty
    classes also share cells for these.)  Sets that no other set shares a cell with are done.
-   Cells that have sets in common form one region: no link leaves it.
+   Sets that meet in a cell are near candidates only if a lower bound of their distance allows it: counts
+   of shingles by further hash classes differ in sum by no more than the sets do.  Sets connected by
+   such candidates form one region: no link leaves it.
 2. *Voronoi regions.*  A region too large for one task picks pivots among its documents.  Each
    document goes to its nearest pivot's region, and as a copy to every other region whose pivot is not
    more than 2 eps further away (two linked documents with different pivots meet there, by the triangle
@@ -30,7 +32,7 @@ share its component); an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from math import ceil
+from math import ceil, exp
 
 import numpy as np
 import pandas as pd
@@ -42,10 +44,11 @@ from affinary.llm.components import connected_components, smallest_reached, sort
 from affinary.llm.shingles import mix, shingle_sets
 from affinary.sources.scratch import materialize
 
-SPARE = 2  # empty classes that a set may have without sharing cells for them
-_RATIO = 1.5  # of the largest to the smallest set size of a level
+_RATIO = 1.4  # of the largest to the smallest set size of a level
 _DEPTH = 4  # times a region is split by pivots before it is dealt into blocks
 _PIVOTS = 16  # of a region that is split
+_CELL_BLOCK = 1024  # sets of a cell that one task group compares with as many others
+_BITS = 1 << 26  # of the map of documents in regions that spares others the shuffle
 
 
 def most_differing(left: int, right: int, percent: int) -> int:
@@ -64,67 +67,188 @@ def level_sizes(largest: int) -> list[int]:
 _LEVELS = np.array(level_sizes(1 << 40), dtype=np.int64)
 
 
-def cells_of(hashes: np.ndarray, percent: int) -> np.ndarray:
+def _classes(level: int, percent: int) -> tuple[int, int]:
+    """(classes, spare) of a level; classes 0 if only equal sets are linked there.
+
+    ``spare`` is above the number of empty classes that all but few sets of the level have.
+    """
+    size = int(_LEVELS[level])
+    differing = most_differing(size, size, percent)
+    if differing == 0:
+        return 0, 0
+    smallest = percent * (int(_LEVELS[level - 1]) + 1) / 100 if level else 1.0
+    spare = 0
+    for _ in range(50):
+        classes = differing + 1 + spare
+        empty = classes * exp(-smallest / classes)
+        spare = min(differing + 1, ceil(empty + 3 * empty**0.5))
+    return differing + 1 + spare, spare
+
+
+def class_table(percent: int) -> list[tuple[int, int]]:
+    """(classes, spare) of every level."""
+    return [_classes(level, percent) for level in range(len(_LEVELS))]
+
+
+def cells_of(hashes: np.ndarray, percent: int, table: list[tuple[int, int]]) -> np.ndarray:
     """The cells of a set: one number per class of its level, and of the next level if its partners may be there."""
     n = len(hashes)
     level = int(np.searchsorted(_LEVELS, n))
     levels = [level, level + 1] if 100 * n >= percent * (int(_LEVELS[level]) + 1) else [level]
     found = []
     mixed = mix(hashes ^ np.uint64(0xD6E8FEB86659FD93))
+    inside = mix(mixed + np.uint64(1))
     for each in levels:
-        size = int(_LEVELS[each])
-        differing = most_differing(size, size, percent)
-        if differing == 0:
-            continue  # only equal sets are linked
-        classes = differing + 1 + SPARE
-        which = (mixed >> np.uint64(32)) % np.uint64(classes)
-        which = which.astype(np.int64)
+        classes, spare = table[each]
+        if not classes:
+            continue
+        which = ((mixed >> np.uint64(32)) % np.uint64(classes)).astype(np.int64)
         sums = np.zeros(classes, dtype=np.uint64)
-        np.add.at(sums, which, mix(mixed + np.uint64(1)))
+        np.add.at(sums, which, inside)
         is_full = np.bincount(which, minlength=classes) > 0
         cells = mix(sums + np.arange(classes, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(each << 40))
-        found.append(cells[is_full] if classes - is_full.sum() <= SPARE else cells)
+        found.append(cells[is_full] if classes - is_full.sum() <= spare else cells)
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
 
+def counts_of(hashes: np.ndarray) -> np.ndarray:
+    """Shingles by hash class, at most 255 each; the number of classes is a power of two near an eighth of the set's size."""
+    width = 32
+    while width * 8 < len(hashes):
+        width *= 2
+    which = (mix(hashes ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(width)).astype(np.int64)
+    return np.minimum(np.bincount(which, minlength=width), 255).astype(np.uint8)
+
+
+def candidates(counts: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``left`` and ``right`` places whose counts allow a link."""
+    width = min(map(len, counts))
+    # folding a wider row of counts keeps the bound; the caps keep it too
+    table = np.array([np.minimum(c.reshape(-1, width).sum(axis=0, dtype=np.int32), 255) for c in counts], dtype=np.int16)
+    found = []
+    step = max(1, (1 << 22) // (max(1, len(right)) * width))
+    for begin in range(0, len(left), step):
+        rows = left[begin : begin + step]
+        apart = np.abs(table[rows][:, None, :] - table[right][None, :, :]).sum(axis=2, dtype=np.int32)
+        allowed = (sizes[rows][:, None] + sizes[right][None, :]) * (100 - percent) // (100 + percent)
+        i, j = np.nonzero(apart <= allowed)
+        found.append((rows[i], right[j]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def _describe(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """(doc_id, n, k1, k2, cells): set size, two hashes of the set, and its cells."""
+    """(doc_id, n, k1, k2, counts): set size, two hashes of the set, and its shingles by class."""
 
     def described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, firsts, seconds, cells = [], [], [], []
+            sizes, firsts, seconds, counts = [], [], [], []
             for hashes in shingle_sets(batch.column(1), words):
                 sizes.append(len(hashes))
                 firsts.append(mix(hashes).sum(dtype=np.uint64))
                 seconds.append(np.bitwise_xor.reduce(mix(hashes + np.uint64(77)), initial=np.uint64(0)))
-                cells.append(cells_of(hashes, percent) if len(hashes) else hashes)
-            ends = np.cumsum([0, *map(len, cells)], dtype=np.int32)
-            flat = pa.array((np.concatenate(cells) if cells else np.zeros(0, np.uint64)).view(np.int64))
+                counts.append(counts_of(hashes).tobytes())
             columns = [
                 batch.column(0),
                 pa.array(sizes, pa.int64()),
                 pa.array(np.array(firsts, dtype=np.uint64).view(np.int64)),
                 pa.array(np.array(seconds, dtype=np.uint64).view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(ends), flat),
+                pa.array(counts, pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "k1", "k2", "cells"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "k1", "k2", "counts"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
-    return rows.mapInArrow(described, "doc_id bigint, n bigint, k1 bigint, k2 bigint, cells array<bigint>")
+    return rows.mapInArrow(described, "doc_id bigint, n bigint, k1 bigint, k2 bigint, counts binary")
+
+
+def _cells(docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """(doc_id, cell) of every document."""
+    table = class_table(percent)
+
+    def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [cells_of(hashes, percent, table) if len(hashes) else hashes for hashes in shingle_sets(batch.column(1), words)]
+            ends = np.cumsum([0, *map(len, cells)], dtype=np.int32)
+            flat = pa.array(np.concatenate(cells).view(np.int64)) if cells else pa.array([], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], ["doc_id", "cells"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text")).filter("doc_id is not null")
+    return rows.mapInArrow(listed, "doc_id bigint, cells array<bigint>").select("doc_id", F.explode("cells").alias("cell"))
+
 
+def _regions(docs: DataFrame, nodes: DataFrame, percent: int, words: int) -> DataFrame:
+    """(node, region) of all nodes that may be linked; ``nodes``: (node, n, counts), one document per set."""
+    # one shuffle of narrow rows serves both uses; a cell's rows lie together
+    cells = _cells(docs, percent, words).repartition("cell").sortWithinPartitions("cell")
 
-def _regions(described: DataFrame) -> DataFrame:
-    """(k1, region) of all sets that share a cell with another set."""
-    entries = described.filter("n > 0 and doc_id is not null").select("k1", F.explode("cells").alias("cell"))
-    full = entries.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("cell")
-    shared = materialize(entries.join(full, "cell").distinct(), "jaccard-cells")
-    pivots = shared.groupBy("cell").agg(F.min("k1").alias("pivot"), F.max("k1").alias("other")).filter("pivot != other")
-    edges = shared.join(pivots.select("cell", "pivot"), "cell").select(F.col("k1").alias("a"), F.col("pivot").alias("b"))
-    edges = materialize(edges.distinct(), "jaccard-stars")
+    def shared_only(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of cells with more than one row; only neighbours are compared."""
+        last: pa.RecordBatch | None = None  # the last row, when it is not known yet whether its cell goes on
+        last_cell, last_shared = None, False
+        for batch in batches:
+            cell = batch.column(1).to_numpy()
+            if not len(cell):
+                continue
+            if last is not None and (last_shared or cell[0] == last_cell):
+                yield last
+            same = cell[1:] == cell[:-1]
+            is_shared = np.zeros(len(cell), dtype=bool)
+            is_shared[1:] |= same
+            is_shared[:-1] |= same
+            is_shared[0] |= cell[0] == last_cell
+            held = batch.slice(len(cell) - 1, 1)
+            last_shared = bool(is_shared[-1])
+            last, last_cell = held, cell[-1]
+            is_shared[-1] = False
+            yield batch.filter(pa.array(is_shared))
+        if last is not None and last_shared:
+            yield last
+
+    shared = cells.mapInArrow(shared_only, "doc_id bigint, cell bigint").withColumnRenamed("doc_id", "node")
+    # copies of a set are in the same cells: only one of them goes on
+    shared = materialize(shared.join(nodes.select("node"), "node", "left_semi").distinct(), "jaccard-cells")
+    full = shared.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    blocks = F.ceil(F.col("members") / _CELL_BLOCK).cast("bigint")
+    placed = shared.join(full, "cell").select("cell", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).alias("mine"))
+    dealt = placed.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("cell", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node")
+    tasks = dealt.join(nodes.select("node", "n", "counts"), "node").select("cell", "low", "high", "mine", "node", "n", "counts")
+    tasks = tasks.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
+
+    def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, 3):
+            if len(group) < 2:
+                continue
+            low, high = group.column(1)[0].as_py(), group.column(2)[0].as_py()
+            mine, node, sizes = (group.column(i).to_numpy() for i in (3, 4, 5))
+            counts = [np.frombuffer(value.as_py(), dtype=np.uint8) for value in group.column(6)]
+            i, j = candidates(counts, sizes, np.flatnonzero(mine == low), np.flatnonzero(mine == high), percent)
+            i, j = i[i != j], j[i != j]
+            if len(i):
+                # connected sets need no more than a star
+                order = np.argsort(node, kind="stable")
+                rank = np.empty_like(order)
+                rank[order] = np.arange(len(order))
+                root = node[order[smallest_reached(len(node), rank[i], rank[j])[rank]]]
+                is_edge = root != node
+                yield pa.RecordBatch.from_arrays([pa.array(node[is_edge]), pa.array(root[is_edge])], ["a", "b"])
+
+    edges = materialize(tasks.mapInArrow(near, "a bigint, b bigint").distinct(), "jaccard-candidates")
     parts = connected_components(edges)
-    alone = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    roots = alone.join(parts, "node", "left_anti")
-    return parts.unionByName(roots).select(F.col("node").alias("k1"), F.col("component").alias("region"))
+    roots = parts.select(F.col("component").alias("node"), "component").distinct()
+    return parts.unionByName(roots).select("node", F.col("component").alias("region"))
+
+
+def _bit_map(ids: DataFrame) -> np.ndarray:
+    """A map of ``_BITS`` bits with the bit of every id's hash set; its size does not depend on their number."""
+    bit = F.pmod(F.xxhash64("node"), F.lit(_BITS))
+    pages = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number(F.col("bit")).alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit"))).alias("bits")
+    )
+    found = np.zeros(_BITS // 8 + 8192, dtype=np.uint8)
+    for row in pages.collect():
+        page = np.frombuffer(row["bits"], dtype=np.uint8)
+        found[(row["page"] - 1) * len(page) : row["page"] * len(page)] |= page
+    return found
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -144,7 +268,19 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             )
             yield out.filter(pa.array(right, pa.bool_()))
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").alias("text"))
+    bits = docs.sparkSession.sparkContext.broadcast(_bit_map(wanted))
+
+    def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # a bucket number of the map begins with bit 1
+            place = batch.column(2).to_numpy() - 1
+            hit = bits.value[place >> 3] >> (place & 7) & 1
+            yield batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
+
+    bit = F.pmod(F.xxhash64("node"), F.lit(_BITS))
+    position = (F.bitmap_bucket_number(bit) - 1) * 32768 + F.bitmap_bit_position(bit) + 1
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").alias("text")).filter("node is not null")
+    texts = texts.withColumn("place", position).mapInArrow(marked, "node bigint, text string")
     rows = texts.join(wanted, "node").select("region", "node", "k1", "text")
     return rows.mapInArrow(read, "region bigint, node bigint, n bigint, hashes binary")
 
@@ -297,14 +433,16 @@ def _split(sets: DataFrame, percent: int, most_sets: int, depth: int) -> tuple[D
 
 
 def components_of(
-    docs: DataFrame, percent: int = 90, words: int = 3, most_sets: int = 2048, most_shingles: int = 4_000_000
+    docs: DataFrame, percent: int = 90, words: int = 3, most_sets: int = 4096, most_shingles: int = 4_000_000
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     described = materialize(_describe(docs, percent, words), "jaccard-sets")
-    regions = materialize(_regions(described), "jaccard-parts")
-    sets = described.filter("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("node"))
+    sets = described.filter("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(
+        F.min("doc_id").alias("node"), F.first("counts").alias("counts")
+    )
     sets = materialize(sets, "jaccard-nodes")
-    wanted = sets.join(regions, "k1").select("region", "node", "k1")
+    regions = materialize(_regions(docs, sets, percent, words), "jaccard-parts")
+    wanted = sets.join(regions, "node").select("region", "node", "k1")
     rows = materialize(_sets_of(docs, wanted, words), "jaccard-hashes")
 
     links: list[DataFrame] = []
