@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinary.sources.scratch import materialize
+
 # pieces of text that are merged on their own (fixed pattern of byte-level tokenizers)
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # beyond Latin letters and general punctuation, libraries may know different versions of Unicode
@@ -111,7 +113,8 @@ def length_histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
     an empty table gives no rows.
     """
     counts = lengths.groupBy(F.col(column).alias("length")).agg(F.count(F.lit(1)).alias("n_docs"))
-    counts = counts.withColumn("span", F.floor(F.col("length") / _SPAN))
+    # written once: both uses below would encode all texts again
+    counts = materialize(counts.withColumn("span", F.floor(F.col("length") / _SPAN)), "length-counts")
     tokens = F.col("n_docs") * F.col("length")
     spans = counts.groupBy("span").agg(F.sum("n_docs").alias("d"), F.sum(tokens).alias("t"))
     longer = Window.orderBy(F.desc("span")).rowsBetween(Window.unboundedPreceding, -1)
