@@ -84,7 +84,7 @@ _OUTSIDE_WEIGHT = -3.5  # the page has an article or main part and the block is
 _LINK_WEIGHT = -3.5  # times the share of characters inside links
 _BIAS, _SENTENCE_WEIGHT, _PER_WORD, _MOST_WORDS = -1.6, 0.9, 0.06, 50
 _HEADING_WEIGHT = 0.7
-_SMOOTH, _DECAY = 0.9, 0.55  # strength of an edge, and its factor per step in the tree
+_SMOOTH, _DECAY = 1.6, 0.6  # strength of an edge, and its factor per step in the tree
 
 
 @dataclass
