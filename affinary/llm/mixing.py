@@ -81,6 +81,8 @@ def schedule(spark, shares: Sequence[float], slots: int) -> DataFrame:
     chunks = -(-slots // _CHUNK)
     parts = min(chunks, max(1, spark.sparkContext.defaultParallelism)) if chunks < 10_000 else chunks // 64
     dealt = spark.range(0, chunks, 1, parts).mapInPandas(deal, "chunk bigint, slot bigint, number int, local bigint")
+    # written, so that the planner knows its size: from a few chunks it would expect a few rows and broadcast them
+    dealt = materialize(dealt, "mix-slots")
     counts = dealt.groupBy("number", "chunk").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("number").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("number", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
@@ -145,9 +147,9 @@ def mix(
     # that; slots it lacks in the schedule are added behind it, the last one is cut short.
     taking = table.select("number", F.floor("target").cast("bigint").alias("quota")).filter("quota > 0")
     need = F.ceil(F.col("quota") / block_words).cast("bigint")
-    wanted = taking.select("number", "quota", F.explode(F.sequence(F.lit(0), need - 1)).alias("rank"))
+    wanted = taking.select("number", F.explode(F.sequence(F.lit(0), need - 1)).alias("rank"))
     seated = wanted.join(dealt, ["number", "rank"], "left")
-    seats = seated.select("number", "rank", "quota", F.coalesce("slot", F.lit(slots) + F.col("rank")).alias("slot"))
+    seats = materialize(seated.select("number", "rank", F.coalesce("slot", F.lit(slots) + F.col("rank")).alias("slot")), "mix-seats")
 
     epochs = F.explode(F.sequence(F.lit(0), F.lit(cap - 1))).alias("epoch")
     copies = placed.filter("size > 0").select("number", "start", "size", F.floor("target").cast("bigint").alias("quota"), "source_size", epochs)
@@ -157,7 +159,7 @@ def mix(
     touched = F.sequence(F.floor(F.col("low") / block_words), F.floor((F.col("high") - 1) / block_words))
     parts = spans.select("*", F.explode(touched).alias("rank"))
     words = F.least(F.col("high"), (F.col("rank") + 1) * block_words) - F.greatest(F.col("low"), F.col("rank") * block_words)
-    pieces = parts.join(seats.select("number", "rank", "slot"), ["number", "rank"])
+    pieces = parts.join(seats, ["number", "rank"])
     return Mix(placed, pieces.select("slot", "number", "start", "epoch", words.alias("words")))
 
 
