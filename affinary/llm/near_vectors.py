@@ -99,12 +99,13 @@ def near_vectors(
     entries = entries.select("rep", "label", "h1", "h2", "table", F.xxhash64("label", "size", "table", "key").alias("bucket"))
     full = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     blocks = F.ceil(F.col("members") / block).cast("bigint")
-    placed = entries.join(full, "bucket").select("*", blocks.alias("blocks"), F.pmod(F.xxhash64("rep", F.lit(seed)), blocks).alias("mine"))
+    # sizes of exploded rows are underestimated, so joins by sorting are asked for
+    placed = entries.join(full.hint("merge"), "bucket").select("*", blocks.alias("blocks"), F.pmod(F.xxhash64("rep", F.lit(seed)), blocks).alias("mine"))
     dealt = placed.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select(
         "bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "table", "label", "h1", "h2"
     )
-    told = classes.select("label", "h1", "h2", "rep", "n", "size", "vector", "keys")
+    told = classes.select("label", "h1", "h2", "rep", "n", "size", "vector", "keys").hint("merge")
     tasks = dealt.join(told, ["label", "h1", "h2"]).select(
         "bucket", "low", "high", F.col("mine"), F.col("table").cast("bigint").alias("table"), "label", "size", "rep", "n", "keys", "vector"
     )
