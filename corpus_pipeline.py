@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from affinary.llm import jaccard_join, language_id, mixing, packing, secret_spans
 from affinary.sources.scratch import materialize
 
-LEAST_SCORE = 0.35  # mean probability of the best language, below which a document is rejected
+LEAST_SCORE = 0.3  # mean probability of the best language, below which a document is rejected
 
 ORACLE_SQL = None
 
