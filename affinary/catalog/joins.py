@@ -174,7 +174,7 @@ def day_data(log: DataFrame, columns=()):
 
 def popular_catalog(history: DataFrame) -> DataFrame:
     scores = materialize(popularity_scores(history, ROLES), "scores")
-    return materialize(catalog_positions(scores, "score", ROLES, scores.count()), "catalog")
+    return materialize(catalog_positions(scores, "score", ROLES), "catalog")
 
 
 @query(f"WITH {RANKED_SQL} SELECT user_id, count(*) AS n_candidates FROM candidates GROUP BY 1")
@@ -244,9 +244,9 @@ def join_evaluation_ranks(spark, sf_dir):
           JOIN embeddings ON vec_id = m - item_id),
     seen AS (SELECT DISTINCT user_id, item_id FROM log WHERE is_interacted = 2),
     scored AS (
-      SELECT user_id, item_id, round((list_dot_product(a, b) / sqrt(list_dot_product(a, a)) / sqrt(list_dot_product(b, b)) + 1) / 2, 6) AS score
+      SELECT user_id, item_id, round((list_dot_product(a, b) / sqrt(list_dot_product(a, a)) / sqrt(list_dot_product(b, b)) + 1) / 2, 12) AS exact
       FROM u CROSS JOIN i ANTI JOIN seen USING (user_id, item_id))
-    SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS prediction_rank
+    SELECT user_id, item_id, round(exact, 6) AS score, row_number() OVER (PARTITION BY user_id ORDER BY exact DESC, item_id) AS prediction_rank
     FROM scored QUALIFY prediction_rank <= 10"""
 )
 def cosine_top_items(spark, sf_dir):
@@ -256,4 +256,4 @@ def cosine_top_items(spark, sf_dir):
     user_vectors = log.select("user_id").distinct().join(vectors, F.col("user_id") == F.col("vec_id")).drop("vec_id")
     item_vectors = log.select("item_id").distinct().join(vectors, F.lit(last) - F.col("item_id") == F.col("vec_id"))
     seen = log.filter("is_interacted = 2").select("user_id", "item_id").distinct()
-    return cosine_top_k(user_vectors, item_vectors.drop("vec_id"), 10, seen, roles=ROLES)
+    return rounded(cosine_top_k(user_vectors, item_vectors.drop("vec_id"), 10, seen, roles=ROLES))

@@ -40,14 +40,15 @@ def vector_top_k(
     *,
     cosine: bool = False,
     vector: str = "vector",
-    digits: int = 6,
+    digits: int = 12,
     users_per_cell: int = USERS_PER_CELL,
     items_per_cell: int = ITEMS_PER_CELL,
 ) -> DataFrame:
     """The ``k`` items with the greatest dot product, or cosine score, for every user.
 
     ``users`` and ``items`` hold one row per id.  Pairs in ``seen`` are left out.
-    Scores are rounded before ranking, equal scores are ordered by item.
+    Equal scores are ordered by item; ``digits`` only has to take off what the order of
+    a sum leaves in the last bits, so that equal vectors have equal scores.
     """
     user, item = roles.pair
     user_blocks = max(1, ceil(users.count() / users_per_cell))
@@ -64,11 +65,18 @@ def vector_top_k(
     item_type = items.schema[item].dataType
     # fresh aliases: both sides may come from one table of vectors
     mine = F.col(vector).alias(vector)
-    rows = users.select(user, F.lit(None).cast(item_type).alias(item), mine, user_block(), every_item_block)
+    # asking rows hold any item: a null would turn 64-bit ids into floating numbers in pandas
+    some_item = items.agg(F.min(item)).first()[0]
+    if some_item is None:
+        some_item = 0
+    rows = users.select(
+        user, F.lit(some_item).cast(item_type).alias(item), mine, F.lit(True).alias("_asks"), user_block(), every_item_block
+    )
     if seen is not None:
         no_vector = F.lit(None).cast(users.schema[vector].dataType).alias(vector)
         asked = seen.select(user, item).distinct().join(users.select(user), user, "left_semi")
-        rows = rows.unionByName(asked.select(user, item, no_vector, user_block(), item_block()))
+        asked = asked.filter(F.col(item).isNotNull())
+        rows = rows.unionByName(asked.select(user, item, no_vector, F.lit(False).alias("_asks"), user_block(), item_block()))
     columns = items.select(F.col(item).alias(item), mine, item_block(), every_user_block)
 
     schema = T.StructType(
@@ -96,7 +104,7 @@ def vector_top_k(
         return usable[np.argsort(-scores[usable], kind="stable")][:k]
 
     def best_in_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        is_user = left[vector].notna()
+        is_user = left["_asks"]
         asking, known = left[is_user], left[~is_user]
         if asking.empty or right.empty:
             return pd.DataFrame({user: left[user][:0], item: right[item][:0], "score": np.array([], float)})
