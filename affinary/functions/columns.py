@@ -25,25 +25,33 @@ SPARK_TYPES = {
 }
 
 
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
+
+
 def spark_type(name: str) -> str:
     return SPARK_TYPES.get(name, name)
 
 
 def narrow_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast each listed column to its narrow type, losing nothing.
+    """Cast each listed column to its narrow type where all values fit.
 
-    One aggregate finds the columns holding a value that does not fit; those are
-    reported and keep their type, all others are cast.
+    One aggregate finds the columns holding a value that does not fit, or that has a
+    fraction a whole type would cut off; those are reported and keep their type, all others
+    are cast.  A narrower floating type keeps fewer digits, as it must.
     """
     wanted = {name: spark_type(kind) for name, kind in types.items() if name in df.columns}
     if not wanted:
         return df
-    lost = df.agg(
-        *[
-            F.max(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()).alias(name)
-            for name, kind in wanted.items()
-        ]
-    ).first()
+    types_now = dict(df.dtypes)
+
+    def does_not_fit(name: str, kind: str) -> Column:
+        value, cast = F.col(name), F.col(name).try_cast(kind)
+        misfit = cast.isNull()
+        if kind in WHOLE_TYPES and types_now[name].split("(")[0] in ("float", "double", "decimal"):
+            misfit = misfit | (cast.cast(types_now[name]) != value)
+        return F.max(value.isNotNull() & misfit).alias(name)
+
+    lost = df.agg(*[does_not_fit(name, kind) for name, kind in wanted.items()]).first()
     failing = [name for name in wanted if lost[name]]
     for name in failing:
         warnings.warn(f"column {name!r} holds values that do not fit {wanted[name]}, left as it is", stacklevel=2)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -18,15 +19,15 @@ _own_folders: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a folder of its own
-    that is removed when the process ends.  On a cluster a folder of one machine
+    Only a session that runs in one process may go without the setting; it gets a folder of
+    its own that is removed when the process ends.  On a cluster a folder of one machine
     would be lost with that machine, so there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _own_folders:
         folder = tempfile.mkdtemp(prefix="affinary-")

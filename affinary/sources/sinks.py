@@ -45,9 +45,12 @@ def training_columns(roles: Roles, features: Sequence[str]) -> list[str]:
     return [roles.event_date, roles.batch, *features, roles.weight, roles.label]
 
 
-def write_training_set(df: DataFrame, path: str, roles: Roles, features: Sequence[str], mode: str = "append") -> None:
+def write_training_set(df: DataFrame, path: str, roles: Roles, features: Sequence[str], mode: str = "replace_partitions") -> None:
     """Write complete rows only, one directory per date, batch and label.
 
+    Writing the same set again replaces its directories; use "overwrite" when a whole
+    set is built anew, since it may have fewer batches than before.
+
     Rows are brought together by date and batch first, so a directory gets one
     file, not one per task; a batch has a fixed number of rows, so no directory
     and no task of this shuffle is large.
