@@ -431,13 +431,13 @@ def pairwise_dot_products(spark, sf_dir):
 
 @query(
     """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
-    SELECT vec_id, round(e[1] / sqrt(list_dot_product(e, e)), 6) AS first_unit,
-      CAST(1 AS DOUBLE) AS squared_length FROM v"""
+    SELECT vec_id, CAST(i - 1 AS INTEGER) AS place, round(e[i] / sqrt(list_dot_product(e, e)), 6) AS unit
+    FROM v, unnest(range(1, len(e) + 1)) AS places(i)"""
 )
 def unit_vectors(spark, sf_dir):
-    unit = l2_normalize(F.col("embedding"))
-    vectors = logs.table(spark, sf_dir, "embeddings").select("vec_id", unit.alias("unit"))
-    return rounded(vectors.select("vec_id", F.col("unit")[0].alias("first_unit"), dot(F.col("unit"), F.col("unit")).alias("squared_length")))
+    """Every component of every vector at length one."""
+    vectors = logs.table(spark, sf_dir, "embeddings")
+    return rounded(vectors.select("vec_id", F.posexplode(l2_normalize(F.col("embedding"))).alias("place", "unit")))
 
 
 @query(

@@ -29,18 +29,21 @@ _SIZE = 1 << 14
 _ITEM_PARTS = ["item_brand", "item_type"]
 
 
-def _sets(spark, sf_dir):
-    obs = stored_observations(spark, sf_dir)
+def _train(obs):
     split = full_training_split(INFER_DAY, HISTORY_DAYS)
-    train = materialize(training_set(obs, split.train, FEATURES, SPEC), "train")
-    held_out = materialize(window_rows(obs, split.validation, SPEC), "validation")
-    return train, held_out
+    return materialize(training_set(obs, split.train, FEATURES, SPEC), "train")
+
+
+def _sets(spark, sf_dir, obs=None):
+    obs = stored_observations(spark, sf_dir) if obs is None else obs
+    split = full_training_split(INFER_DAY, HISTORY_DAYS)
+    return _train(obs), materialize(window_rows(obs, split.validation, SPEC), "validation")
 
 
 @query()
 def train_score_evaluate(spark, sf_dir):
     """Fit the click model, rank every user's unseen items by it, report per slice."""
-    train, _ = _sets(spark, sf_dir)
+    train = _train(stored_observations(spark, sf_dir))
     model = fit_click_model(train, FEATURES, ROLES, _SIZE)
     data = day_data(flagged_log(spark, sf_dir))
     # for one user the model orders items by their own part of the logit
@@ -64,8 +67,8 @@ def score_held_out_day(spark, sf_dir):
 @query()
 def daily_model_refit(spark, sf_dir):
     """AUC of the full model and of its refit on the newest days."""
-    train, held_out = _sets(spark, sf_dir)
     obs = stored_observations(spark, sf_dir)
+    train, held_out = _sets(spark, sf_dir, obs)
     recent = materialize(training_set(obs, refit_split(INFER_DAY).train, FEATURES, SPEC), "recent")
     full, refit = daily_refit(train, recent, FEATURES, ROLES)
     areas = [
@@ -78,7 +81,7 @@ def daily_model_refit(spark, sf_dir):
 @query()
 def parameter_search(spark, sf_dir):
     train, held_out = _sets(spark, sf_dir)
-    trials = search_space({"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]}, samples=4)
+    trials = search_space({"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]})
     return search_parameters(train, held_out, FEATURES, trials, ROLES, _SIZE)
 
 
@@ -91,7 +94,7 @@ def feature_importances(spark, sf_dir):
 @query()
 def factor_model_top_items(spark, sf_dir):
     """Top items per user by a model with user-item interactions."""
-    train, _ = _sets(spark, sf_dir)
+    train = _train(stored_observations(spark, sf_dir))
     model = fit_factor_model(train, ["market_segment", "user_region", "user_nation"], _ITEM_PARTS, ROLES, size=256)
     data = day_data(flagged_log(spark, sf_dir))
     people = data.users.join(logs.users(spark, sf_dir), "user_id")
