@@ -115,7 +115,7 @@ def _ranked_lines(spark, sf_dir):
     
     lines = logs.order_lines(spark, sf_dir)
     counts = materialize(lines.groupBy("item_id").agg(F.count(F.lit(1)).alias("score")), "counts")
-    places = catalog_positions(counts, "score", ROLES, counts.count())
+    places = catalog_positions(counts, "score", ROLES)
     ranked = lines.withColumn("prediction", F.col("price") / 100000).join(
         places.select("item_id", F.col("position").alias("prediction_rank")), "item_id"
     )

@@ -164,7 +164,7 @@ def active_users_per_day(spark, sf_dir):
 def downsample_negatives(spark, sf_dir):
     key = training_batch_key(ROLES)
     settled = _settled(logs.observations(spark, sf_dir))
-    return thin_negatives(settled, SPEC.resampling, key, ROLES, settled.count()).select(*key)
+    return thin_negatives(settled, SPEC.resampling, key, ROLES).select(*key)
 
 
 @query(
@@ -175,9 +175,8 @@ def downsample_negatives(spark, sf_dir):
 def downsample_negatives_orders(spark, sf_dir):
     key = training_batch_key(ORDER_ROLES)
     stored = _stored_lines(spark, sf_dir)
-    n_rows = stored.count()
     lines = logs.with_bands(stored, ORDER_BAND_CUTS)
-    return thin_negatives(lines, ORDER_SPEC.resampling, key, ORDER_ROLES, n_rows).select(*key)
+    return thin_negatives(lines, ORDER_SPEC.resampling, key, ORDER_ROLES).select(*key)
 
 
 @query(
@@ -188,7 +187,7 @@ def synthetic_negative_supply(spark, sf_dir):
     obs = stored_observations(spark, sf_dir)
     pool = popular_pool(obs, SPEC.resampling, ROLES)
     settled = _settled(obs)
-    return synthetic_negative_counts(settled, pool, SPEC.resampling, ROLES, n_rows=settled.count())
+    return synthetic_negative_counts(settled, pool, SPEC.resampling, ROLES)
 
 
 @query(
@@ -198,7 +197,7 @@ def upsample_negatives(spark, sf_dir):
     obs = stored_observations(spark, sf_dir)
     pool = popular_pool(obs, SPEC.resampling, ROLES)
     settled = _settled(obs)
-    return synthetic_negatives(settled, pool, SPEC.resampling, ROLES, n_rows=settled.count())
+    return synthetic_negatives(settled, pool, SPEC.resampling, ROLES)
 
 
 # ---- order and batches ----------------------------------------------------
@@ -227,7 +226,7 @@ def batch_index(spark, sf_dir):
 @query(f"WITH {ORDERS_SQL}, numbered AS ({_numbered_sql('lines', 10)}) SELECT event_id, filename_date, batch_idx FROM numbered")
 def batch_index_orders(spark, sf_dir):
     lines = _stored_lines(spark, sf_dir)
-    batched = add_batches(lines, 10, training_batch_key(ORDER_ROLES), ORDER_ROLES, n_rows=lines.count())
+    batched = add_batches(lines, 10, training_batch_key(ORDER_ROLES), ORDER_ROLES)
     return batched.select("event_id", "filename_date", "batch_idx")
 
 

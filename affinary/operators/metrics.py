@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from affinary.functions.columns import double_array
 from affinary.functions.vectors import discount
-from affinary.operators.ordering import fits_one_task, slotted_running_sum, value_slots
+from affinary.operators.ordering import VALUE_SLOTS, slotted_running_sum, value_slots
 from affinary.roles import POSITIVE, Roles
 from affinary.sources.scratch import Stage, materialize
 
@@ -206,7 +206,7 @@ def auc(
 
     Rows are combined per distinct score first, and that table is staged; the
     negatives below each score come from slot totals plus a sum inside the slot,
-    so no task sorts all scores, unless their number is found to fit one.
+    so no task sorts all scores.
     """
     usable = df.filter(F.col(score).isNotNull() & ~F.isnan(score) & target.isNotNull())
     value = F.col(score).cast("double")
@@ -214,12 +214,8 @@ def auc(
         F.sum(F.when(target, 1).otherwise(0)).alias("_pos"), F.sum(F.when(target, 0).otherwise(1)).alias("_neg")
     )
     ties = stage(ties, "scores")
-    if fits_one_task(ties.count()):
-        lower = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-        below = ties.withColumn("_below", F.coalesce(F.sum("_neg").over(lower), F.lit(0)))
-    else:
-        slotted = value_slots(ties, "_s", F.lit(""))
-        below = slotted_running_sum(slotted, by, ["_bin"], ["_s"], F.col("_neg"), "_below")
+    slotted = value_slots(ties, "_s", F.lit(""))
+    below = slotted_running_sum(slotted, by, VALUE_SLOTS, ["_s"], F.col("_neg"), "_below")
     wins = F.sum(F.col("_pos").cast("double") * (F.col("_below") + F.col("_neg") / 2))
     pairs = F.sum("_pos").cast("double") * F.sum("_neg")
     area = F.try_divide(wins, pairs).alias("auc")

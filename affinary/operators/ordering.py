@@ -6,10 +6,7 @@ slots along its sort order.  Slot totals are counted first (map-side combined,
 a bounded number of rows per group), their running sums give each slot's
 offset, and only rows of one slot are ever sorted together.
 
-Callers that know a bound on the number of rows, such as the count of a stored
-table, pass it as ``n_rows``.  Up to ``ONE_TASK_ROWS`` a group cannot be too large
-for a task and the plain window is used; beyond it the number of slots follows
-the bound.
+There is one form for tables of every size.
 """
 
 from __future__ import annotations
@@ -23,22 +20,9 @@ from pyspark.sql import functions as F
 
 from affinary.functions.columns import double_array, shuffle_hash
 
-ONE_TASK_ROWS = 1 << 20
-SLOT_DIGITS = 4  # leading hash digits per slot when no bound is known: 65,536 slots in a group
-
-
-def fits_one_task(n_rows: int | None) -> bool:
-    return n_rows is not None and n_rows <= ONE_TASK_ROWS
-
-
-def slot_digits(n_rows: int | None) -> int:
-    """Digits that keep a slot within a task even if all rows are in one group."""
-    if n_rows is None:
-        return SLOT_DIGITS
-    digits = 1
-    while n_rows >> (4 * digits) > ONE_TASK_ROWS:
-        digits += 1
-    return digits
+SLOT_DIGITS = 4  # leading hash digits per slot: 65,536 slots in a group
+VALUE_CUTS = 512  # quantiles of a value; each stretch between two has VALUE_PARTS parts
+VALUE_PARTS = 128
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -85,29 +69,31 @@ def hash_running_sum(
     seed: str,
     weight: Column | None = None,
     out: str = "position",
-    n_rows: int | None = None,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
     """Running sum over earlier rows in shuffled order; with no weight, the 0-based position.
 
     ``key`` identifies a row.  Rows that share a key share a hash and so a slot:
-    number true copies with ``number_copies`` first.
+    number true copies with ``number_copies`` first, or name columns that tell
+    them apart in ``tie``.
     """
     unit = F.lit(1) if weight is None else weight
     hashed = df.withColumn("__h", shuffle_hash(seed, *key))
-    if fits_one_task(n_rows):
-        before = _earlier(Window.partitionBy(*(group or [F.lit(0)])).orderBy("__h", *key))
-        return hashed.withColumn(out, F.coalesce(F.sum(unit.cast("bigint")).over(before), F.lit(0))).drop("__h")
-    keyed = hashed.withColumn("__slot", F.substring("__h", 1, slot_digits(n_rows)))
-    placed = slotted_running_sum(keyed, group, ["__slot"], ["__h", *key], unit, out)
+    keyed = hashed.withColumn("__slot", F.substring("__h", 1, SLOT_DIGITS))
+    placed = slotted_running_sum(keyed, group, ["__slot"], ["__h", *key, *tie], unit, out)
     return placed.drop("__h", "__slot")
 
 
-def value_slots(df: DataFrame, value: str, tie: Column, cuts: int = 512) -> DataFrame:
-    """Add slot columns ``_bin``, ``_tie_slot`` that rise with (value, tie).
+VALUE_SLOTS = ["_bin", "_part", "_tie_slot"]
+
+
+def value_slots(df: DataFrame, value: str, tie: Column, cuts: int = VALUE_CUTS) -> DataFrame:
+    """Add slot columns ``VALUE_SLOTS`` that rise with (value, tie).
 
     Cut points are approximate quantiles, a bounded summary read by the driver.
     A cut value gets a bin of its own, so a value that fills the table is
-    isolated, and that bin is divided further by its tie-break hash.
+    isolated, and that bin is divided further by its tie-break hash.  The stretch
+    between two cuts is divided into parts of equal width.
     """
     levels = [step / cuts for step in range(cuts + 1)]
     quantiles = df.approxQuantile(value, levels, 1 / (2 * cuts))
@@ -115,14 +101,20 @@ def value_slots(df: DataFrame, value: str, tie: Column, cuts: int = 512) -> Data
     splits = [float("-inf"), *points, float("inf")]
     binned = Bucketizer(splits=splits, inputCol=value, outputCol="_at", handleInvalid="keep").transform(df)
     # bin 0 starts at minus infinity and has no cut
-    cut = F.get(double_array(points), F.col("_at").cast("int") - 1)
+    bounds, at = double_array(points), F.col("_at").cast("int")
+    cut, following = F.get(bounds, at - 1), F.get(bounds, at)
     binned = binned.withColumn("_bin", (F.col("_at") * 2 + F.when(F.col(value) == cut, 0).otherwise(1)).cast("int"))
     on_cut = F.col("_bin") % 2 == 0
-    return binned.withColumn("_tie_slot", F.when(on_cut, F.substring(tie, 1, 2)).otherwise(F.lit(""))).drop("_at")
+    width = following - cut
+    part = F.least(F.floor((F.col(value) - cut) / width * VALUE_PARTS), F.lit(VALUE_PARTS - 1))
+    # wider stretches than this would overflow
+    part = F.when(~on_cut & (width > 0) & (width < 1e300), part).otherwise(F.lit(0))
+    slots = {"_part": part.cast("int"), "_tie_slot": F.when(on_cut, F.substring(tie, 1, SLOT_DIGITS)).otherwise(F.lit(""))}
+    return binned.withColumns(slots).drop("_at")
 
 
 def value_positions(
-    df: DataFrame, value: str, key: Sequence[str], seed: str = "tie", out: str = "position", n_rows: int | None = None
+    df: DataFrame, value: str, key: Sequence[str], seed: str = "tie", out: str = "position"
 ) -> DataFrame:
     """1-based position of every row, largest ``value`` first, ties in hash order of ``key``.
 
@@ -130,12 +122,9 @@ def value_positions(
     """
     ranked = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
     ranked = ranked.withColumns({"_neg": -F.col(value).cast("double"), "_h": shuffle_hash(seed, *key)})
-    if fits_one_task(n_rows):
-        window = Window.partitionBy(F.lit(0)).orderBy("_neg", "_h", *key)
-        return ranked.withColumn(out, F.row_number().over(window).cast("bigint")).drop("_neg", "_h")
     slotted = value_slots(ranked, "_neg", F.col("_h"))
-    placed = slotted_running_sum(slotted, [], ["_bin", "_tie_slot"], ["_neg", "_h", *key], F.lit(1), out)
-    return placed.withColumn(out, F.col(out) + 1).drop("_neg", "_h", "_bin", "_tie_slot")
+    placed = slotted_running_sum(slotted, [], VALUE_SLOTS, ["_neg", "_h", *key], F.lit(1), out)
+    return placed.withColumn(out, F.col(out) + 1).drop("_neg", "_h", *VALUE_SLOTS)
 
 
 def top_per_group(

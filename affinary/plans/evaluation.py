@@ -103,7 +103,7 @@ def ranked_rows(
     ``user_features`` restricts the users to those with features, which is what
     an inner join of candidate pairs with the features would do.
     """
-    places = stage(catalog_positions(scored_items, score, roles, scored_items.count()), "catalog")
+    places = stage(catalog_positions(scored_items, score, roles), "catalog")
     users = data.users
     if user_features is not None:
         users = users.join(user_features.select(roles.user_id).distinct(), roles.user_id, "left_semi")
@@ -111,7 +111,7 @@ def ranked_rows(
     left = candidate_counts(users, places, data.history, roles, n_items)
     predicted = left.filter(F.col("n_candidates") > 0)
     rows = having_predictions(data.rows, predicted, [roles.user_id])
-    ranks = rank_pairs(data.rows, places, data.history, roles, n_items=n_items)
+    ranks = rank_pairs(data.rows, places, data.history, roles)
     ranks = ranks.filter(F.col("prediction_rank") <= top_k)
     return attach_ranks(rows, ranks, roles)
 

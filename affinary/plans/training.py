@@ -61,9 +61,8 @@ def training_set(
     key = training_batch_key(roles)
     if plan.active:
         settled = stage(settled, "settled")
-        n_rows = settled.count()
-        thinned = thin_negatives(settled, plan, key, roles, n_rows)
-        settled = add_synthetic_negatives(thinned, pool, plan, columns, roles, stage, n_rows)
+        thinned = thin_negatives(settled, plan, key, roles, stage)
+        settled = add_synthetic_negatives(thinned, pool, plan, columns, roles, stage)
     settled = stage(settled, "resampled")
-    batched = add_batches(settled, spec.batch_size, key, roles, mini_batches=mini_batches, n_rows=settled.count())
+    batched = add_batches(settled, spec.batch_size, key, roles, mini_batches=mini_batches)
     return batched.select(*training_columns(roles, features)).dropna("any")

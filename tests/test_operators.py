@@ -1,7 +1,9 @@
 """Operators on small hand-made or generated tables, checked against plain Python."""
 
+import math
 import random
 from collections import Counter, defaultdict
+from dataclasses import replace
 from math import log2
 
 import pytest
@@ -27,6 +29,7 @@ from affinary.operators.sampling import (
     add_synthetic_negatives,
     synthetic_negative_counts,
     synthetic_negatives,
+    take_by_hash,
     thin_negatives,
 )
 from affinary.operators.slices import slice_report
@@ -120,30 +123,15 @@ def test_positions_do_not_depend_on_partitions(spark, skewed):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("n_rows", [None, 6000, 10**13])
-def test_positions_do_not_depend_on_the_row_bound(skewed, n_rows):
-    _, df = skewed
-    first = {r.event_id: r.position for r in ordering.hash_running_sum(df, ["g"], ["event_id"], "s").collect()}
-    bound = ordering.hash_running_sum(df, ["g"], ["event_id"], "s", n_rows=n_rows)
-    assert {r.event_id: r.position for r in bound.collect()} == first
-
-
-def test_slot_digits_follow_the_bound():
-    assert ordering.slot_digits(None) == ordering.SLOT_DIGITS
-    for n_rows in (1 << 20, 10**9, 10**13):
-        assert n_rows / 16 ** ordering.slot_digits(n_rows) <= ordering.ONE_TASK_ROWS
-
-
 def test_null_groups_keep_their_rows(spark):
     df = spark.createDataFrame([(n, None if n % 2 else "a") for n in range(10)], "event_id int, g string")
     placed = ordering.hash_running_sum(df, ["g"], ["event_id"], "s").collect()
     assert sorted(r.position for r in placed if r.g is None) == list(range(5))
 
 
-@pytest.mark.parametrize("n_rows", [None, 6000])
-def test_value_positions_with_heavy_ties(skewed, n_rows):
+def test_value_positions_with_heavy_ties(skewed):
     data, df = skewed
-    placed = ordering.value_positions(df, "v", ["event_id"], n_rows=n_rows)
+    placed = ordering.value_positions(df, "v", ["event_id"])
     placed = placed.withColumn("h", shuffle_hash("tie", "event_id"))
     found = sorted((r.position, -r.v, r.h) for r in placed.collect())
     assert [at for at, _, _ in found] == list(range(1, len(data) + 1))
@@ -258,6 +246,17 @@ def test_cosine_top_k_in_many_cells(spark):
         assert mine == [(rank, b) for rank, b in enumerate(order, start=1)]
 
 
+def test_cosine_top_k_keeps_long_ids_and_close_scores(spark):
+    big = 2**60
+    angles = [0.5 + step * 1e-8 for step in range(10)]
+    users = spark.createDataFrame([(big + n, [1.0, 0.0]) for n in range(3)], "user_id bigint, vector array<double>")
+    vectors = [(big + n, [math.cos(angle), math.sin(angle)]) for n, angle in enumerate(angles)]
+    items = spark.createDataFrame(vectors, "item_id bigint, vector array<double>")
+    pairs = spark.createDataFrame([(big, big), (big + 1, big + 1)], "user_id bigint, item_id bigint")
+    found = {(r.user_id - big, r.prediction_rank): r.item_id - big for r in cosine_top_k(users, items, 2, pairs).collect()}
+    assert found == {(0, 1): 1, (0, 2): 2, (1, 1): 0, (1, 2): 2, (2, 1): 0, (2, 2): 1}
+
+
 # ---- resampling -----------------------------------------------------------
 
 
@@ -289,7 +288,7 @@ def test_thin_negatives_takes_exact_fractions(labelled):
         assert after[band, day] == round(fraction * n), (band, day)
     assert sum(r.is_interacted == 2 for r in kept) == sum(row[4] == 2 for row in data)
     for other in (df.repartition(7), df):
-        again = thin_negatives(other, PLAN, training_batch_key(ROLES), ROLES, len(data) if other is df else None)
+        again = thin_negatives(other, PLAN, training_batch_key(ROLES), ROLES)
         assert {r.event_id for r in again.collect()} == {r.event_id for r in kept}
 
 
@@ -336,6 +335,25 @@ def test_synthetic_negatives(spark, labelled):
     assert add_synthetic_negatives(df, None, PLAN, columns, ROLES).count() == len(data)
 
 
+def test_null_groups_are_thinned_like_others(spark):
+    df = spark.createDataFrame([(n, None if n % 2 else "a") for n in range(20)], "event_id int, g string")
+    kept = take_by_hash(df, ["g"], F.lit(0.5), ["event_id"], "s").collect()
+    assert Counter(r.g for r in kept) == {None: 5, "a": 5}
+
+
+def test_synthetic_negatives_tell_null_features_apart(spark):
+    """Features that only differ in where a null stands, or hold the separator, are different pool rows."""
+    roles = replace(ROLES, item_features=("f1", "f2"), context_features=())
+    pool_rows = [(1, 20240101, None, "X", 1), (1, 20240101, "X", None, 1), (1, 20240101, "X|Y", "Z", 1), (1, 20240101, "X", "Y|Z", 1)]
+    pool = spark.createDataFrame(pool_rows, "item_id int, filename_date int, f1 string, f2 string, popularity_item_group int")
+    rows = [(n, n, 2, 20240101, 2, 1.0, 1, 5.0, None, None) for n in range(10)]
+    columns = "event_id int, user_id int, item_id int, filename_date int, is_interacted int, weighted_lr double, popularity_item_group int, duration double, f1 string, f2 string"
+    df = spark.createDataFrame(rows, columns)
+    plan = Resampling(popular={1: 0.5}, tail={3: 0.5})
+    drawn = [tuple(r) for r in synthetic_negatives(df, pool, plan, roles).collect()]
+    assert len(drawn) == len(set(drawn)) == 20
+
+
 def test_empty_pool_adds_nothing(spark, labelled):
     data, df = labelled
     pool = spark.createDataFrame([], "item_id int, filename_date int, popularity_item_group int")

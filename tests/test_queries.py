@@ -22,11 +22,7 @@ def test_query_matches_sql(spark, connection, name):
     assert [p for p in problems if p.startswith("!")] == []
 
 
-BEYOND_ONE_TASK = [
-    "auc_orders",
-    "auc_per_day",
-    "batch_index_orders",
-    "downsample_negatives",
+SPANNED = [
     "offline_evaluation",
     "top_items_per_user",
     "training_batches",
@@ -34,10 +30,9 @@ BEYOND_ONE_TASK = [
 ]
 
 
-@pytest.mark.parametrize("name", BEYOND_ONE_TASK)
+@pytest.mark.parametrize("name", SPANNED)
 def test_large_table_paths_match_sql(monkeypatch, spark, connection, name):
-    """The same results when nothing is taken to fit one task and groups are cut into small spans."""
-    monkeypatch.setattr("affinary.operators.ordering.ONE_TASK_ROWS", 4)
+    """The same results when groups are cut into small spans."""
     monkeypatch.setattr("affinary.operators.ranking.SPAN_BITS", 3)
     problems = differences(QUERIES[name](spark, SF_DIR), connection, ORACLE[name])
     assert [p for p in problems if p.startswith("!")] == []
