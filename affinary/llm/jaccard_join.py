@@ -206,7 +206,16 @@ def _regions(docs: DataFrame, nodes: DataFrame, percent: int, words: int) -> Dat
     shared = cells.mapInArrow(shared_only, "doc_id bigint, cell bigint").withColumnRenamed("doc_id", "node")
     # copies of a set are in the same cells: only one of them goes on
     shared = materialize(shared.join(nodes.select("node"), "node", "left_semi").distinct(), "jaccard-cells")
-    full = shared.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    # near sets share many cells with the same members; one of these says all
+    same = ["members", "least", "most", "h1", "h2"]
+    full = shared.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min("node").alias("least"),
+        F.max("node").alias("most"),
+        F.bit_xor(F.xxhash64("node")).alias("h1"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"),
+    )
+    full = full.filter("members > 1").groupBy(*same).agg(F.min("cell").alias("cell")).select("cell", "members")
     blocks = F.ceil(F.col("members") / _CELL_BLOCK).cast("bigint")
     placed = shared.join(full, "cell").select("cell", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).alias("mine"))
     dealt = placed.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
@@ -433,7 +442,7 @@ def _split(sets: DataFrame, percent: int, most_sets: int, depth: int) -> tuple[D
 
 
 def components_of(
-    docs: DataFrame, percent: int = 90, words: int = 3, most_sets: int = 4096, most_shingles: int = 4_000_000
+    docs: DataFrame, percent: int = 90, words: int = 3, most_sets: int = 4096, most_shingles: int = 2_000_000
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     described = materialize(_describe(docs, percent, words), "jaccard-sets")

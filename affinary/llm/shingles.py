@@ -9,7 +9,7 @@ import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTES = 1 << 20  # texts and words are hashed in pieces of about so many bytes
+_BYTES = 1 << 18  # texts and words are hashed in pieces of about so many bytes
 _TABLE = np.random.default_rng(5).integers(0, 1 << 63, 256, dtype=np.uint64)
 
 
