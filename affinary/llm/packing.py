@@ -84,7 +84,14 @@ def window_cuts(places: list[int], costs: list[float], rule: PackingCosts) -> li
         keys.append(key)
         before.append(source)
         last = place
-    cuts, node = [], len(at) - 1
+    # the last window is cut into powers of two, so it pads nothing wherever it begins
+    ending, node = at[-1], len(at) - 1
+    first = node
+    while first > 0 and at[first - 1] >= ending - size:
+        first -= 1
+    if first < node:
+        before[node] = min(range(first, node), key=lambda i: keys[i] - at[i])
+    cuts = []
     while node > 0:
         cuts.append(at[node])
         node = before[node]
