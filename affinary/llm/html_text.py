@@ -82,9 +82,9 @@ _BAD_NAMES = frozenset(
 _GOOD_NAME_WEIGHT, _BAD_NAME_WEIGHT, _BAD_IN_ARTICLE_WEIGHT = 2.0, -6.0, -9.0
 _OUTSIDE_WEIGHT = -3.5  # the page has an article or main part and the block is not in it
 _LINK_WEIGHT = -3.5  # times the share of characters inside links
-_BIAS, _SENTENCE_WEIGHT, _PER_WORD, _MOST_WORDS = -1.6, 0.9, 0.06, 50
+_BIAS, _SENTENCE_WEIGHT, _PER_WORD, _MOST_WORDS = -0.6, 0.9, 0.06, 50
 _HEADING_WEIGHT = 0.7
-_SMOOTH, _DECAY = 1.6, 0.6  # strength of an edge, and its factor per step in the tree
+_SMOOTH, _DECAY = 1.0, 0.6  # strength of an edge, and its factor per step in the tree
 
 
 @dataclass

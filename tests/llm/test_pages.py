@@ -72,7 +72,7 @@ def test_parts_and_rules(spark):
     found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in host_trust.judge(pages(spark, given), RULES).collect()}
     assert found == {
         0: ("a.good.example", "/en/12", "good.example/en/1", "block"),
-        1: ("good.example", "", None, "allow"),
+        1: ("good.example", "", None, "block"),  # of this host's pages, rules only block one
         2: ("xgood.example", "/en", None, "allow"),
         3: ("", "", None, "allow"),
         4: ("", "", None, "allow"),
