@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinary.llm.slices import small_batches
+
 # fixed lists of the markup language
 _BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -303,7 +305,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
 
     def extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [main_text(html or "") for html in batch.column(2).to_pylist()]
             sizes = pa.array([len(text) for text in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(

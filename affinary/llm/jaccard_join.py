@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from affinary.llm.components import connected_components, smallest_reached, sorted_groups
 from affinary.llm.shingles import mix, shingle_sets
+from affinary.llm.slices import small_batches
 from affinary.sources.scratch import materialize
 
 _RATIO = 1.4  # of the largest to the smallest set size of a level
@@ -140,7 +141,7 @@ def _describe(docs: DataFrame, percent: int, words: int) -> DataFrame:
     """(doc_id, n, k1, k2, counts): set size, two hashes of the set, and its shingles by class."""
 
     def described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sizes, firsts, seconds, counts = [], [], [], []
             for hashes in shingle_sets(batch.column(1), words):
                 sizes.append(len(hashes))
@@ -165,7 +166,7 @@ def _cells(docs: DataFrame, percent: int, words: int) -> DataFrame:
     table = class_table(percent)
 
     def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             cells = [cells_of(hashes, percent, table) if len(hashes) else hashes for hashes in shingle_sets(batch.column(1), words)]
             ends = np.cumsum([0, *map(len, cells)], dtype=np.int32)
             flat = pa.array(np.concatenate(cells).view(np.int64)) if cells else pa.array([], pa.int64())
@@ -264,7 +265,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(region, node, n, hashes) for the documents in ``wanted`` (region, node, k1)."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sizes, packed, right = [], [], []
             keys = batch.column(2).to_numpy()
             for hashes, key in zip(shingle_sets(batch.column(3), words), keys):

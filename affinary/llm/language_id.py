@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinary.llm.slices import small_batches
+
 UNKNOWN = "und"
 WINDOW = 64  # bytes
 _PAD = 256  # symbol behind the end of a text
@@ -272,7 +274,7 @@ def label(docs: DataFrame, model: LanguageModel, text: str = "text", language: s
     at = docs.columns.index(text)
 
     def labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             names, scores = label_texts(model, batch.column(at).to_pylist())
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, language, score])

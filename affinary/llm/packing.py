@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinary.llm.order import ordered_block
+from affinary.llm.slices import small_batches
 from affinary.llm.tokens import TextEncoder, default_vocabulary
 
 _STREAM = 1 << 21  # ids packed at once
@@ -177,7 +178,7 @@ def pack(
             waiting, waiting_ids = [], 0
             yield pa.RecordBatch.from_arrays(columns, names)
 
-        for batch in batches:
+        for batch in small_batches(batches):
             for number, owner, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 data = encoder.ids(text.as_py() or "")
                 if number != current:

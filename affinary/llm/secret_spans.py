@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinary.llm.slices import small_batches
+
 PLAIN_KINDS = ("assign", "access", "hex")
 KINDS = (*PLAIN_KINDS, "jwt", "key")
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -182,7 +184,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
     def scanned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [
                 [{"kind": kind, "start": start, "end": end} for kind, start, end in find_spans(text or "")]
                 for text in batch.column(1).to_pylist()
@@ -202,7 +204,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every secret replaced by a mark; spans that overlap become one. Null text stays null."""
 
     def redacted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             at = batch.schema.get_field_index("text")
             texts = [None if text is None else _redacted(text) for text in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinary.llm.slices import small_batches
 from affinary.sources.scratch import materialize
 
 # pieces of text that are merged on their own (fixed pattern of byte-level tokenizers)
@@ -92,7 +93,7 @@ def encoded_lengths(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def lengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(file)
-        for batch in batches:
+        for batch in small_batches(batches):
             counts = [len(encoder.ids(text.as_py() or "")) // 4 for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
 
