@@ -9,7 +9,8 @@ decodes and its parts agree:
 * ``key``: base64 or hex of a private key: DER whose nested lengths fill their parents exactly and
   whose fields are those of an RSA, EC, PKCS#8 or encrypted PKCS#8 key, or the binary form of
   OpenSSH with its length-prefixed fields; between armor lines (then the span holds the
-  armor) or bare, or base64 of an armored key.
+  armor) or bare, or base64 of an armored key.  Line ends may be written as \\n and \\r; a bare key ends
+  where its own lengths say, whatever follows it.
 
 Null text has no spans; empty tables give no rows; rows are judged one by one, so
 repeated rows give repeated results.
@@ -42,10 +43,18 @@ _ASSIGN_NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_ARMOR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([^-]+)-----END \1PRIVATE KEY-----")
-# a DER sequence, an OpenSSH key and an armor line begin like this in base64; a DER sequence in hex
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNza|LS0tLS1C)[A-Za-z0-9+/_-]{38,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*(?:\r?\n[A-Za-z0-9+/_-]+(?==))?={0,2}")
-_HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{78,}")
+# the body ends at the next armor line
+_ARMOR = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+)-----END \1PRIVATE KEY-----"
+)
+# a DER sequence, an OpenSSH key and an armor line begin like this in base64 and in hex; in escaped text a letter of
+# the escape may stand before it
+_FRONT = r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))"
+_BASE64 = re.compile(_FRONT + r"(?:M[A-P]|b3BlbnNza|LS0tLS1C)[A-Za-z0-9+/_-]{38,}")
+_HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:30[0-9A-Fa-f]{28}|6[Ff]70656[Ee]7373682[Dd]6[Bb]65792[Dd]7631)[0-9A-Fa-f]{10,}")
+_BASE64_RUN, _HEX_RUN = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[0-9A-Fa-f]+")
+_ESCAPED_END = re.compile(r"\\+[nr]")
+_LINE_END = re.compile(r"[ \t]*(?:\r\n|\r|\n|\\+r\\+n|\\+[rn])[ \t]*")
 
 
 def _base64(text: str) -> bytes | None:
@@ -125,17 +134,106 @@ def is_private_key(data: bytes) -> bool:
     return False
 
 
-def _is_armored(data: bytes) -> bool:
-    match = _ARMOR.search(data.decode("latin-1"))
-    return match is not None and _is_key_text(match[2])
-
-
 def _is_key_text(body: str) -> bool:
     # the old encrypted form has header lines in front of the body
-    lines = [line for line in body.splitlines() if ":" not in line]
-    has_header = any(":" in line for line in body.splitlines())
-    data = _base64("".join(lines))
-    return data is not None and (is_private_key(data) or has_header and len(data) >= 64 and len(data) % 8 == 0)
+    lines = _ESCAPED_END.sub("\n", body).splitlines()
+    header = [line for line in lines if ":" in line]
+    data = _base64("".join(line for line in lines if ":" not in line))
+    is_encrypted = any("ENCRYPTED" in line for line in header)
+    return data is not None and (is_private_key(data) or is_encrypted and len(data) >= 64 and len(data) % 8 == 0)
+
+
+def _run(text: str, at: int, letters: re.Pattern[str], most: int) -> tuple[str, int]:
+    """At most so many letters from ``at`` on, over line ends, and where the last one ends."""
+    parts, count, end = [], 0, at
+    while count < most:
+        match = letters.match(text, at, at + most - count)
+        if match is None:
+            break
+        parts.append(match[0])
+        count += len(match[0])
+        end = match.end()
+        gap = _LINE_END.match(text, end)
+        if gap is None:
+            break
+        at = gap.end()
+    return "".join(parts), end
+
+
+def _least_size(data: bytes) -> int | None:
+    """The size of the key that begins ``data``; if more than ``data``, a bound from below for OpenSSH. None if no key begins it."""
+    if not data.startswith(b"openssh-key-v1\0"):
+        element = _der(data, 0, 1 << 40)
+        return element[2] if element else None
+    at, fields = 15, 3
+    for field in range(1 << 5):
+        if at + 4 > len(data):
+            return at + 4
+        number = int.from_bytes(data[at : at + 4], "big")
+        at += 4
+        if field == 3:  # how many keys: as many public ones, then one part with the private ones
+            if not 0 < number < 16:
+                return None
+            fields = 5 + number
+        else:
+            at += number
+        if field >= 3 and field + 1 == fields:
+            return at
+    return None
+
+
+def _key_end(text: str, start: int, letters: re.Pattern[str]) -> int | None:
+    """Where the key ends that begins at ``start``: its own lengths say it, whatever follows."""
+    size = 24
+    while True:
+        count = 2 * size if letters is _HEX_RUN else (4 * size + 2) // 3
+        if count > len(text) - start:
+            return None
+        found, end = _run(text, start, letters, count)
+        if len(found) < count:
+            return None
+        data = unhexlify(found) if letters is _HEX_RUN else _base64(found)
+        least = _least_size(data[:size]) if data else None
+        if least is None or least < size:
+            return None
+        if least == size:
+            break
+        size = least
+    if not is_private_key(data[:size]):
+        return None
+    padding = 0 if letters is _HEX_RUN else -count % 4
+    while padding and text.startswith("=", end):
+        end, padding = end + 1, padding - 1
+    return end
+
+
+def _armored_end(text: str, start: int) -> int | None:
+    """Where the base64 ends that holds an armored key, with what stands behind the key in its line."""
+    found, _ = _run(text, start, _BASE64_RUN, len(text))
+    data = _base64(found[: len(found) // 4 * 4]) or b""
+    tail = _base64(found[len(found) // 4 * 4 :]) if len(found) % 4 > 1 else b""
+    decoded = (data + (tail or b"")).decode("latin-1")
+    ends = [m.end() for m in _ARMOR.finditer(decoded) if _is_key_text(m[2])]
+    if not ends:
+        return None
+    _, end = _run(text, start, _BASE64_RUN, (4 * ends[-1] + 2) // 3)
+    rest = _BASE64_RUN.match(text, end)
+    end = rest.end() if rest else end
+    return end + len(text[end : end + 2]) - len(text[end : end + 2].lstrip("="))
+
+
+def _keys(text: str, front: re.Pattern[str], letters: re.Pattern[str]) -> Iterator[tuple[int, int]]:
+    at = 0
+    while match := front.search(text, at):
+        start = match.start()
+        end = _armored_end(text, start) if text.startswith("LS0t", start) else _key_end(text, start, letters)
+        if end is None:
+            at = start + 1
+            continue
+        while end is not None:  # another key may follow at once
+            yield start, end
+            start = at = end
+            end = _key_end(text, start, letters)
 
 
 def _is_object(part: str, key: str | None = None) -> bool:
@@ -164,13 +262,8 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     keys = []
     if "PRIVATE KEY-----" in text:
         keys += [m.span() for m in _ARMOR.finditer(text) if _is_key_text(m[2])]
-    for match in _BASE64.finditer(text):
-        data = _base64(match[0])
-        if data and (is_private_key(data) or b"PRIVATE KEY-----" in data and _is_armored(data)):
-            keys.append(match.span())
-    for match in _HEX_KEY.finditer(text):
-        if len(match[0]) % 2 == 0 and is_private_key(unhexlify(match[0])):
-            keys.append(match.span())
+    keys += _keys(text, _BASE64, _BASE64_RUN)
+    keys += _keys(text, _HEX_KEY, _HEX_RUN)
     reached = -1
     for start, end in sorted(keys, key=lambda span: (span[0], -span[1])):
         if start >= reached:  # what stands inside an armored key is that key

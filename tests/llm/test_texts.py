@@ -137,6 +137,65 @@ def test_structural_confirmation():
     assert not secret_spans.is_private_key(key[:-1]) and not secret_spans.is_private_key(key + b"\0")
 
 
+def key_forms():
+    """Keys by name: DER of several kinds and sizes modulo 3, and the binary form of OpenSSH."""
+    algorithm = der(0x30, der(6, bytes([43, 101, 112])))
+    field = lambda data: len(data).to_bytes(4, "big") + data
+    public = field(b"ssh-ed25519") + field(bytes(range(32)))
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(public) + field(bytes(range(136)))
+    return {
+        "ed25519": der(0x30, der(2, b"\0"), algorithm, der(4, der(4, bytes(range(32))))),
+        "p256": der(0x30, der(2, b"\0"), algorithm, der(4, bytes(range(119)))),
+        "rsa": fake_rsa(),
+        "one": der(0x30, der(2, b"\0"), algorithm, der(4, bytes(range(100)))),
+        "two": der(0x30, der(2, b"\0"), algorithm, der(4, bytes(range(101)))),
+        "ssh": ssh,
+    }
+
+
+@pytest.mark.parametrize("name", sorted(key_forms()))
+def test_keys_in_every_form(name):
+    import base64
+
+    data = key_forms()[name]
+    text = base64.b64encode(data).decode()
+    spans = lambda t: [(a, b) for kind, a, b in secret_spans.find_spans(t) if kind == "key"]
+    follow = ["", "\nNAME=value", "\nABCDEFGHIJKLMNOPQRSTUV\n", "\r\nab", "\\nNAME", " x", "\n\n" + "A" * 30, '",']
+    for wrap in (len(text), 64):
+        pieces = [text[i : i + wrap] for i in range(0, len(text), wrap)]
+        for end in ("\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n  "):
+            body = end.join(pieces)
+            for before in ("", "KEY=", "a\n", "{'k': '\\n", "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo\n"):
+                for after in follow:
+                    assert spans(before + body + after) == [(len(before), len(before) + len(body))], (end, before, after)
+            bare = body.rstrip("=")
+            assert spans(f"{bare}\nNAME=value") == [(0, len(bare))]
+            assert spans(f"{bare}\n{bare}") == [(0, len(bare)), (len(bare) + 1, 2 * len(bare) + 1)]
+            armored = f"-----BEGIN PRIVATE KEY-----{end}{body}{end}-----END PRIVATE KEY-----"
+            assert spans(f'{{"key": "{armored}{end}"}}') == [(9, 9 + len(armored))]
+            twice = base64.b64encode((armored + "\n").encode()).decode()
+            assert spans(f"K={twice}\nNAME=value") == [(2, 2 + len(twice))]
+    for hexed in (data.hex(), data.hex().upper()):
+        assert spans(f"x {hexed} y") == [(2, 2 + len(hexed))]
+        lines = "\n".join(hexed[i : i + 60] for i in range(0, len(hexed), 60))
+        assert spans(f"{lines}\nabc") == [(0, len(lines))]
+    assert spans(text[:-8]) == [] and spans("A" + text) == []
+
+
+def test_encrypted_armor():
+    import base64
+
+    text = base64.b64encode(bytes(range(256)) * 2).decode()
+    lines = "\n".join(text[i : i + 64] for i in range(0, len(text), 64))
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    for label in ("RSA ", "EC "):
+        armored = f"-----BEGIN {label}PRIVATE KEY-----\n{head}{lines}\n-----END {label}PRIVATE KEY-----"
+        for given in (armored, armored.replace("\n", "\\n")):
+            assert ("key", 2, 2 + len(given)) in secret_spans.find_spans(f"a {given} b")
+    assert "key" not in {k for k, _, _ in secret_spans.find_spans(f"-----BEGIN PRIVATE KEY-----\n{lines}\n-----END PRIVATE KEY-----")}
+    assert secret_spans.find_spans("-----BEGIN PRIVATE KEY-----" * 5000 + "-" * 200_000) == []
+
+
 def test_plain_kinds(documents):
     text = 'é password = "hunter22" AKIA' + "A" * 16 + " token: abc " + "a1" * 12 + ' SECRET="xyzxyz"'
     spans = secret_spans.find_spans(text)
