@@ -37,7 +37,7 @@ from math import ceil, exp
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinary.llm.components import connected_components, smallest_reached, sorted_groups
@@ -248,10 +248,15 @@ def _regions(docs: DataFrame, nodes: DataFrame, percent: int, words: int) -> Dat
     return parts.unionByName(roots).select("node", F.col("component").alias("region"))
 
 
+def _bit_of(node: str) -> Column:
+    """The bit of an id's hash, from 0."""
+    return F.pmod(F.xxhash64(node), F.lit(_BITS).cast("bigint"))
+
+
 def _bit_map(ids: DataFrame) -> np.ndarray:
     """A map of ``_BITS`` bits with the bit of every id's hash set; its size does not depend on their number."""
-    bit = F.pmod(F.xxhash64("node"), F.lit(_BITS))
-    pages = ids.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number(F.col("bit")).alias("page")).agg(
+    # values from 1 are in buckets from 1; 0 would be in a bucket of its own
+    pages = ids.select((_bit_of("node") + 1).alias("bit")).groupBy(F.bitmap_bucket_number(F.col("bit")).alias("page")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit"))).alias("bits")
     )
     found = np.zeros(_BITS // 8 + 8192, dtype=np.uint8)
@@ -282,15 +287,12 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # a bucket number of the map begins with bit 1
-            place = batch.column(2).to_numpy() - 1
+            place = batch.column(2).to_numpy()
             hit = bits.value[place >> 3] >> (place & 7) & 1
             yield batch.select([0, 1]).filter(pa.array(hit.astype(bool)))
 
-    bit = F.pmod(F.xxhash64("node"), F.lit(_BITS))
-    position = (F.bitmap_bucket_number(bit) - 1) * 32768 + F.bitmap_bit_position(bit) + 1
     texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").alias("text")).filter("node is not null")
-    texts = texts.withColumn("place", position).mapInArrow(marked, "node bigint, text string")
+    texts = texts.withColumn("place", _bit_of("node")).mapInArrow(marked, "node bigint, text string")
     rows = texts.join(wanted, "node").select("region", "node", "k1", "text")
     return rows.mapInArrow(read, "region bigint, node bigint, n bigint, hashes binary")
 

@@ -120,6 +120,18 @@ def test_jaccard_join_of_empty_table(documents):
     assert [(r.n_shingles, r.component_id) for r in jaccard_join.components_of(documents([(3, None)])).collect()] == [(0, 3)]
 
 
+def test_bit_map_holds_hash_zero(spark, documents, words, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "_BITS", 64)
+    hashed = spark.range(4000).selectExpr("id", "pmod(xxhash64(id), 64) bit").collect()
+    ids = sorted(r.id for r in hashed if r.bit == 0)[:3] + sorted(r.id for r in hashed if r.bit == 63)[:2]
+    text = words(80, 5)
+    rows = [(i, text + f" end{n}") for n, i in enumerate(ids)] + [(9000, words(80, 6))]
+    found = {r.doc_id: r.component_id for r in jaccard_join.components_of(documents(rows)).collect()}
+    assert found == {**dict.fromkeys(ids, min(ids)), 9000: 9000}
+    pages = jaccard_join._bit_map(spark.createDataFrame([(i,) for i in ids], "node bigint"))
+    assert np.flatnonzero(np.unpackbits(pages, bitorder="little")).tolist() == [0, 63]
+
+
 @pytest.mark.parametrize("percent", [70, 80, 90, 97])
 def test_linked_sets_share_a_cell(percent):
     """The promise of the first step, at sizes around the bounds of levels and with the most differences allowed."""
