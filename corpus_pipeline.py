@@ -28,12 +28,49 @@ def in_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.withColumn("lang", F.coalesce("lang", "_found")).select(*docs.columns)
 
 
+def _own_ids(docs: DataFrame) -> DataFrame:
+    """The documents with ``_id``, which names one text: doc_id, or for the texts of an id that has several a free number."""
+    docs = docs.withColumn("_text", F.xxhash64("text"))
+    named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "_text")
+    several = named.groupBy("doc_id").agg(F.min("_text").alias("least"), F.max("_text").alias("most")).filter("least != most")
+    several = materialize(several.select("doc_id"), "near-several")
+    own = F.col("doc_id").cast("bigint")
+    if several.isEmpty():
+        return docs.withColumn("_id", own).drop("_text")
+    texts = materialize(named.join(several, "doc_id", "left_semi").distinct(), "near-texts")
+    for seed in range(100):
+        given = texts.withColumn("_new", F.xxhash64(F.lit(seed), "doc_id", "_text"))
+        every = named.select(F.col("doc_id").alias("_new")).distinct().unionByName(given.select("_new"))
+        if every.groupBy("_new").count().filter("count > 1").join(given, "_new", "left_semi").isEmpty():
+            break
+    else:
+        raise RuntimeError("no free numbers found for the texts of repeated ids")
+    given = given.select(F.col("doc_id").alias("_of"), F.col("_text").alias("_hash"), "_new")
+    joined = docs.join(given, (own == F.col("_of")) & (F.col("_text") == F.col("_hash")), "left")
+    return materialize(joined.withColumn("_id", F.coalesce("_new", own)).drop("_text", "_of", "_hash", "_new"), "near-rows")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates (five-word shingles, similarity 0.8 or more, linked through others) the
-    document with the smallest id stays; of rows that repeat an id one stays.  Documents without words and without id stay."""
-    groups = jaccard_join.components_of(docs, percent=80, words=5)
-    others = groups.filter("component_id is not null and doc_id != component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Of every group of near duplicates (five-word shingles, similarity 0.8 or more, linked through others) the row with
+    the smallest id stays.  Rows are judged one by one: of rows that repeat an id and its text one stays, and texts
+    that share an id are in groups of their own.  Documents without words stay once, documents without id always."""
+    rows = _own_ids(docs)
+    own = F.col("doc_id").cast("bigint")
+    found = jaccard_join.components_of(rows.select(F.col("_id").alias("doc_id"), "text"), percent=80, words=5)
+    found = found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id"), "component_id").agg(F.count(F.lit(1)).alias("copies"))
+    found = materialize(found, "near-groups")
+    ids = rows.filter("_id is not null and _id != doc_id").select("_id", own.alias("_given")).distinct()
+    found = found.join(ids, "_id", "left").withColumn("_order", F.struct(F.coalesce("_given", "_id").alias("given"), "_id"))
+    first = found.groupBy("component_id").agg(F.min("_order").alias("_first"))
+    others = found.join(first, "component_id").filter(F.col("_order") != F.col("_first")).select("_id")
+    kept = rows.join(others, "_id", "left_anti")
+    repeated = materialize(found.filter("copies > 1").select("_id"), "near-repeated")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    once = kept.join(repeated, "_id", "left_anti").select(*docs.columns)
+    several = kept.join(repeated, "_id", "left_semi").groupBy("_id")
+    several = several.agg(F.min(F.struct(*[F.col(f"`{name}`") for name in docs.columns])).alias("_row"))
+    return once.unionByName(several.select("_row.*"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,3 +78,15 @@ def test_odd_rows_pass_all_stages(spark, documents, words):
     for name, stage in corpus_pipeline.STAGES:
         empty = materialize(stage(spark, empty, SF_DIR), f"none-{name}")
     assert empty.count() == 0
+
+
+def test_repeated_ids_lose_no_text(spark, documents, words):
+    a, b, c = words(60, 1), words(60, 2), words(60, 3)
+    stage = corpus_pipeline.one_of_each_group
+    twice = documents([(5, a), (5, a), (5, a, None, "s"), (6, ""), (6, ""), (None, c), (None, c)])
+    assert sorted((r.doc_id or 0, r.text) for r in stage(spark, twice, SF_DIR).collect()) == [(0, c), (0, c), (5, a), (6, "")]
+    shared = documents([(3, a), (7, a), (7, b), (7, b), (8, b + " end"), (9, None), (9, c), (9, c.upper()), (11, a + " end")])
+    kept = stage(spark, shared, SF_DIR)
+    assert kept.columns == shared.columns
+    found = sorted((r.doc_id, (r.text or "").lower()) for r in kept.collect())
+    assert found == sorted([(3, a), (7, b), (9, ""), (9, c)])
