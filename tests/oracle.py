@@ -73,20 +73,21 @@ def differences(df, connection, sql: str) -> list[str]:
 
 def main(sf_dir: str, wanted: list[str]) -> int:
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-    from affinary.catalog import ORACLE, QUERIES
+    import __spark_entry__ as entry_points
     from affinary.session import build_session
 
+    queries, oracle = entry_points.queries(), entry_points.oracle_sql()
     spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     bad = 0
-    for name in wanted or QUERIES:
+    for name in wanted or queries:
         start = time.time()
         try:
-            if name in ORACLE:
-                problems = differences(QUERIES[name](spark, sf_dir), connection, ORACLE[name])
+            if name in oracle:
+                problems = differences(queries[name](spark, sf_dir), connection, oracle[name])
             else:
-                rows = QUERIES[name](spark, sf_dir).collect()
+                rows = queries[name](spark, sf_dir).collect()
                 problems = [f"rows only: {len(rows)}"] + [str(row)[:150] for row in rows[:3]]
         except Exception as error:  # noqa: BLE001
             problems = [f"!{type(error).__name__}: {str(error)[:600]}"]
