@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import fingerprints, host_trust, html_text, jaccard_join, language_id, mixing, near_vectors, packing, secret_spans, tokens
+from affinary.llm import centroids, fingerprints, host_trust, html_text, jaccard_join, language_id, mixing, near_vectors, packing, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,3 +109,41 @@ def op6_stable_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by a Jaccard similarity of 0.9 or more on 3-word shingles."""
     return jaccard_join.components_of(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hadamard_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all integer vectors after three rounds."""
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def _clustering_sql(rounds: int = 3, clusters: int = 16) -> str:
+    """The same in SQL: distances by inner products, one set of tables per round."""
+    parts = [
+        """kept AS (
+            SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+            WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0)""",
+        f"""c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, v FROM kept
+            QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id)) <= {clusters})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""d{i} AS (
+            SELECT vec_id, k.v, c, list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, m.v) + list_inner_product(m.v, m.v) AS d
+            FROM kept k CROSS JOIN c{i} m)""")
+        parts.append(f"""a{i} AS (
+            SELECT * FROM d{i} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)""")
+        parts.append(f"""s{i} AS (
+            SELECT c, i, floor(sum(x) / count(*)) AS x
+            FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{i}) GROUP BY c, i)""")
+        parts.append(f"""c{i + 1} AS (
+            SELECT c, coalesce(n.v, o.v) AS v
+            FROM c{i} o LEFT JOIN (SELECT c, list(x ORDER BY i) AS v FROM s{i} GROUP BY c) n USING (c))""")
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance,
+            (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+            sha256(list_aggregate([x::BIGINT::VARCHAR for x in m.v], 'string_agg', ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} m USING (c)"""
+
+
+ORACLE["op12_hadamard_clustering"] = _clustering_sql()
