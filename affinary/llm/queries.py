@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import centroids, fingerprints, host_trust, html_text, jaccard_join, language_id, mixing, near_vectors, packing, secret_spans, tokens
+from affinary.llm import centroids, fingerprints, host_trust, html_text, jaccard_join, language_id, mixing, near_vectors, packing, quality, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,3 +147,12 @@ def _clustering_sql(rounds: int = 3, clusters: int = 16) -> str:
 
 
 ORACLE["op12_hadamard_clustering"] = _clustering_sql()
+
+
+@query
+def op13_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from three quarters of the labels."""
+    docs = _table(spark, sf_dir, "documents")
+    machine = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(quality.fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
+    return quality.score(docs.select("doc_id", held_out, "text", "n_chars"), machine).select("doc_id", "held_out", "score", "predicted")
