@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinary.llm import centroids, fingerprints, host_trust, html_text, jaccard_join, language_id, mixing, near_vectors, packing, quality, secret_spans, tokens
+from affinary.llm import centroids, fingerprints, hard_negatives, host_trust, html_text, jaccard_join, language_id, mixing, near_vectors, packing, quality, secret_spans, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,3 +156,28 @@ def op13_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     machine = quality.fit(docs, _table(spark, sf_dir, "labels"))
     held_out = F.coalesce(quality.fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
     return quality.score(docs.select("doc_id", held_out, "text", "n_chars"), machine).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op11_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after every seventh has taken the next label."""
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), label=moved)
+
+
+ORACLE["op11_inverted_multi_index"] = """
+    WITH kept AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    pairs AS (
+        SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM kept a JOIN kept b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+    SELECT p.a AS anchor_id, p.b AS positive_id,
+        (row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b))::INTEGER AS rank,
+        n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN pairs n ON n.a = p.a AND NOT n.same
+    WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    QUALIFY rank <= 5"""
