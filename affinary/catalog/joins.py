@@ -32,7 +32,7 @@ from affinary.operators.ranking import (
     rank_scored,
     top_items,
 )
-from affinary.operators.retrieval import cosine_top_k
+from affinary.operators.retrieval import cosine_top_k, vector_top_k
 from affinary.plans.evaluation import catalog_items, content_set, evaluation_data, history_rows, popularity_scores
 from affinary.roles import Roles
 from affinary.sources.scratch import materialize
@@ -237,12 +237,25 @@ def join_evaluation_ranks(spark, sf_dir):
     return attach_ranks(data.rows, best, ROLES).select("user_id", "item_id", "duration", "prediction_rank")
 
 
-@query(
-    f"""WITH {LOG_SQL}, last AS (SELECT max(vec_id) AS m FROM embeddings),
+_VECTORS_SQL = f"""{LOG_SQL}, last AS (SELECT max(vec_id) AS m FROM embeddings),
     u AS (SELECT user_id, CAST(embedding AS DOUBLE[]) AS a FROM (SELECT DISTINCT user_id FROM log) JOIN embeddings ON vec_id = user_id),
     i AS (SELECT item_id, CAST(embedding AS DOUBLE[]) AS b FROM (SELECT DISTINCT item_id FROM log), last
           JOIN embeddings ON vec_id = m - item_id),
-    seen AS (SELECT DISTINCT user_id, item_id FROM log WHERE is_interacted = 2),
+    seen AS (SELECT DISTINCT user_id, item_id FROM log WHERE is_interacted = 2)"""
+
+
+def _vectors(spark, sf_dir):
+    """The log, and vectors of its users and items."""
+    log = logs.interactions(spark, sf_dir)
+    vectors = logs.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    last = vectors.agg(F.max("vec_id")).first()[0]
+    user_vectors = log.select("user_id").distinct().join(vectors, F.col("user_id") == F.col("vec_id")).drop("vec_id")
+    item_vectors = log.select("item_id").distinct().join(vectors, F.lit(last) - F.col("item_id") == F.col("vec_id"))
+    return log, user_vectors, item_vectors.drop("vec_id")
+
+
+@query(
+    f"""WITH {_VECTORS_SQL},
     scored AS (
       SELECT user_id, item_id, round((list_dot_product(a, b) / sqrt(list_dot_product(a, a)) / sqrt(list_dot_product(b, b)) + 1) / 2, 12) AS exact
       FROM u CROSS JOIN i ANTI JOIN seen USING (user_id, item_id))
@@ -250,10 +263,26 @@ def join_evaluation_ranks(spark, sf_dir):
     FROM scored QUALIFY prediction_rank <= 10"""
 )
 def cosine_top_items(spark, sf_dir):
-    log = logs.interactions(spark, sf_dir)
-    vectors = logs.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    last = vectors.agg(F.max("vec_id")).first()[0]
-    user_vectors = log.select("user_id").distinct().join(vectors, F.col("user_id") == F.col("vec_id")).drop("vec_id")
-    item_vectors = log.select("item_id").distinct().join(vectors, F.lit(last) - F.col("item_id") == F.col("vec_id"))
+    log, user_vectors, item_vectors = _vectors(spark, sf_dir)
     seen = log.filter("is_interacted = 2").select("user_id", "item_id").distinct()
-    return rounded(cosine_top_k(user_vectors, item_vectors.drop("vec_id"), 10, seen, roles=ROLES))
+    return rounded(cosine_top_k(user_vectors, item_vectors, 10, seen, roles=ROLES))
+
+
+@query(
+    f"""WITH {_VECTORS_SQL}, liked AS (SELECT item_id, count(*) AS n FROM log WHERE is_interacted = 2 GROUP BY item_id),
+    scored AS (
+      SELECT user_id, item_id, round(list_dot_product(a, b) * ln(1 + coalesce(n, 0)), 9) AS exact
+      FROM u CROSS JOIN (SELECT * FROM i LEFT JOIN liked USING (item_id)) ANTI JOIN seen USING (user_id, item_id))
+    SELECT user_id, item_id, round(exact, 6) AS score, row_number() OVER (PARTITION BY user_id ORDER BY exact DESC, item_id) AS prediction_rank
+    FROM scored QUALIFY prediction_rank <= 10"""
+)
+def popular_vector_top_items(spark, sf_dir):
+    """Top items by dot product, where an item's vector is as long as the logarithm of its positives."""
+    log, user_vectors, item_vectors = _vectors(spark, sf_dir)
+    positive = log.filter("is_interacted = 2")
+    counts = positive.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"))
+    weight = F.log(1 + F.coalesce("_n", F.lit(0)).cast("double"))
+    weighted = item_vectors.join(counts, "item_id", "left").select(
+        "item_id", F.transform("vector", lambda x: x.cast("double") * weight).alias("vector")
+    )
+    return rounded(vector_top_k(user_vectors, weighted, 10, positive, roles=ROLES, digits=9, items_per_cell=32))

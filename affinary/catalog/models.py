@@ -95,7 +95,7 @@ def feature_importances(spark, sf_dir):
 def factor_model_top_items(spark, sf_dir):
     """Top items per user by a model with user-item interactions."""
     train = _train(stored_observations(spark, sf_dir))
-    model = fit_factor_model(train, ["market_segment", "user_region", "user_nation"], _ITEM_PARTS, ROLES, size=256)
+    model = fit_factor_model(train, ["market_segment", "user_region", "user_nation"], _ITEM_PARTS, ROLES)
     data = day_data(flagged_log(spark, sf_dir))
     people = data.users.join(logs.users(spark, sf_dir), "user_id")
     goods = data.history.select("item_id").distinct().join(logs.items(spark, sf_dir), "item_id")

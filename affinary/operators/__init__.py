@@ -1,0 +1,11 @@
+"""Operators: functions from DataFrame to DataFrame.
+
+Task functions travel to the workers by value, so executors need not have this
+package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -109,13 +109,16 @@ def fit_factor_model(
     user_features: Sequence[str],
     item_features: Sequence[str],
     roles: Roles = Roles(),
-    size: int = 1 << 12,
+    size: int = 1 << 13,
     factors: int = 8,
     max_iter: int = 50,
     seed: int = 42,
     **params: Any,
 ) -> FactorModel:
-    """Fit on rows with label and features.  The learner knows no row weights."""
+    """Fit on rows with label and features.  The learner knows no row weights.
+
+    ``size`` slots per side should be far above the number of categories, which share weights where they share a slot.
+    """
     complete = df.select(*user_features, *item_features, roles.label).dropna("any")
     prepared = _inputs(complete, user_features, item_features, size)
     prepared = prepared.select("_x", F.when(clicked(roles), 1.0).otherwise(0.0).alias("_y"))

@@ -24,7 +24,7 @@ from affinary.operators.ranking import (
     rank_scored,
     top_items,
 )
-from affinary.operators.retrieval import cosine_top_k
+from affinary.operators.retrieval import cosine_top_k, norm_blocks, users_in_reach, vector_top_k
 from affinary.operators.sampling import (
     add_synthetic_negatives,
     synthetic_negative_counts,
@@ -257,6 +257,81 @@ def test_cosine_top_k_keeps_long_ids_and_close_scores(spark):
     assert found == {(0, 1): 1, (0, 2): 2, (1, 1): 0, (1, 2): 2, (2, 1): 0, (2, 2): 1}
 
 
+def dot_products_by_hand(users, items, seen, k):
+    import numpy as np
+
+    best = set()
+    for user, u in users:
+        scored = sorted((-round(float(np.dot(u, v)), 12), item) for item, v in items if (user, item) not in seen)
+        best |= {(user, item, rank) for rank, (_, item) in enumerate(scored[:k], start=1)}
+    return best
+
+
+@pytest.mark.parametrize("spread", [0.0, 3.0])
+def test_vector_top_k_over_blocks_of_falling_norm(spark, spread):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    norms = np.exp(-spread * rng.random(300))
+    directions = rng.normal(size=(300, 5))
+    vectors = directions / np.linalg.norm(directions, axis=1)[:, None] * norms[:, None]
+    vectors[7] = vectors[8] = 0.0
+    vectors[11] = vectors[12] = vectors[13]
+    goods = [(f"item-{n:03}", row.tolist()) for n, row in enumerate(vectors)]
+    people = [(n, row.tolist()) for n, row in enumerate(rng.normal(size=(40, 5)))] + [(40, [0.0] * 5)]
+    seen = {(user, item) for user, _ in people for item, _ in goods if rng.random() < 0.1}
+    seen |= {(1, item) for item, _ in goods[:-2]} | {(2, item) for item, _ in goods}
+    users = spark.createDataFrame(people, "user_id int, vector array<double>")
+    items = spark.createDataFrame(goods, "item_id string, vector array<double>")
+    pairs = spark.createDataFrame([*seen, (3, None), (None, "item-001"), (99, "item-002")], "user_id int, item_id string")
+    for given, known in ((pairs, seen), (None, set())):
+        found = vector_top_k(users, items, 6, given, users_per_cell=16, items_per_cell=20).collect()
+        assert {(r.user_id, r.item_id, r.prediction_rank) for r in found} == dot_products_by_hand(people, goods, known, 6)
+
+
+def test_blocks_out_of_reach_are_skipped(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    lengths = 0.9 ** np.arange(200)
+    directions = rng.normal(size=(200, 4))
+    vectors = directions / np.linalg.norm(directions, axis=1)[:, None] * lengths[:, None]
+    items = spark.createDataFrame([(n, row.tolist()) for n, row in enumerate(vectors)], "item_id int, vector array<double>")
+    blocks = norm_blocks(items, "item_id", "vector", 10, unit=False)
+    assert len(blocks.norms) > 10 and list(blocks.norms) == sorted(blocks.norms, reverse=True)
+    assert blocks.rows.count() == 200 and blocks.rows.select("_block").distinct().count() == len(blocks.norms)
+    people = rng.normal(size=(30, 4))
+    fifth = np.sort(people @ vectors.T, axis=1)[:, -5]
+    rows = [(n, u.tolist(), float(np.linalg.norm(u)), float(floor), None) for n, (u, floor) in enumerate(zip(people, fifth))]
+    asking = spark.createDataFrame(rows, "_id int, _v array<double>, _norm double, _floor double, _seen map<int,bigint>")
+    met = users_in_reach(asking, blocks.norms, 0, len(blocks.norms)).select("_id", "_block").collect()
+    expected = {(n, b) for n, u in enumerate(people) for b, norm in enumerate(blocks.norms) if np.linalg.norm(u) * norm >= fifth[n]}
+    assert set(map(tuple, met)) == expected and len(expected) < 0.5 * 30 * len(blocks.norms)
+
+
+def test_vector_top_k_runs_in_several_tasks(spark):
+    from affinary.operators.retrieval import _cells, _usable
+
+    users = spark.range(1500).select(F.col("id").alias("user_id"), F.array(F.lit(1.0), F.rand(1)).alias("vector"))
+    blocks = norm_blocks(users.limit(100).withColumnRenamed("user_id", "item_id"), "item_id", "vector", 4096, unit=False)
+    visits = _usable(users, "user_id", "vector").select("*", F.lit(0).alias("_block"), F.lit(0.0).alias("_floor"), F.lit(None).cast("map<int,bigint>").alias("_seen"))
+    cells = _cells(visits, blocks.rows, 5, 2, 1).select(F.spark_partition_id().alias("task"), "_slot").distinct().collect()
+    assert len({row.task for row in cells}) > 1 and {row._slot for row in cells} == {0, 1}
+
+
+def test_vector_top_k_leaves_unusable_vectors_out(spark):
+    nan, inf = float("nan"), float("inf")
+    people = [(1, [1.0, 0.0]), (2, None), (3, [nan, 1.0]), (4, [1.0, None]), (None, [1.0, 1.0]), (5, []), (6, [1e200, 1.0])]
+    goods = [(1, [0.5, 0.5]), (2, [inf, 0.0]), (3, [2.0, 0.0]), (4, [None, 1.0]), (None, [9.0, 9.0]), (5, [1e200, 0.0])]
+    users = spark.createDataFrame(people, "user_id int, vector array<double>")
+    items = spark.createDataFrame(goods, "item_id int, vector array<double>")
+    found = sorted((r.user_id, r.item_id, r.prediction_rank) for r in vector_top_k(users, items, 5, items_per_cell=2).collect())
+    assert found == [(1, 1, 3), (1, 3, 2), (1, 5, 1), (6, 1, 2), (6, 3, 1)]  # 1e200 * 1e200 overflows
+    found = sorted((r.user_id, r.item_id, r.prediction_rank) for r in cosine_top_k(users, items, 1).collect())
+    assert found == [(1, 3, 1), (6, 3, 1)]
+    assert vector_top_k(users, items.limit(0), 5).count() == 0 and vector_top_k(users.limit(0), items, 5).count() == 0
+
+
 # ---- resampling -----------------------------------------------------------
 
 
