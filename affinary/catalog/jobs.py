@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from affinary.catalog import logs
 from affinary.catalog.joins import day_data, flagged_log
 from affinary.catalog.logs import HISTORY_DAYS, INFER_DAY
 from affinary.catalog.registry import query, rounded
-from affinary.catalog.scores import _METRICS, _NAMES, EVALUATED_SQL, _slices_sql
-from affinary.catalog.training import _FULL_SQL, _SET_COLUMNS, stored_observations
+from affinary.catalog.scores import _DURATIONS, _METRICS, _NAMES, EVALUATED_SQL, _slices_sql
+from affinary.catalog.training import _FULL_SQL, _SET_COLUMNS, _VALIDATION_SQL, stored_observations
 from affinary.plans.evaluation import popularity_scores
-from affinary.plans.jobs import evaluate_and_store, read_stored, training_sets
+from affinary.plans.jobs import evaluate_and_store, read_stored, training_side, validation_side
 from affinary.roles import spec_from_mapping
 from affinary.sources.scratch import materialize, new_path
 
@@ -52,8 +55,13 @@ SETTINGS = {
 @query(f"{_FULL_SQL} SELECT {_SET_COLUMNS} FROM numbered")
 def training_from_settings(spark, sf_dir):
     """The training set that the settings describe; the filter holds for all items."""
-    train, _ = training_sets(stored_observations(spark, sf_dir), INFER_DAY, HISTORY_DAYS, spec_from_mapping(SETTINGS))
-    return rounded(train)
+    return rounded(training_side(stored_observations(spark, sf_dir), INFER_DAY, HISTORY_DAYS, spec_from_mapping(SETTINGS)))
+
+
+@query(_VALIDATION_SQL)
+def validation_from_settings(spark, sf_dir):
+    """The validation set that the settings describe: the held-out day without pairs trained on, nothing synthetic."""
+    return rounded(validation_side(stored_observations(spark, sf_dir), INFER_DAY, HISTORY_DAYS, spec_from_mapping(SETTINGS)))
 
 
 def _stored(spark, sf_dir):
@@ -81,3 +89,24 @@ def evaluation_from_settings(spark, sf_dir):
 def evaluation_overall(spark, sf_dir):
     """The overall values of the same evaluation, from their stored form."""
     return rounded(read_stored(spark, _stored(spark, sf_dir).overall))
+
+
+@query(
+    f"""WITH {EVALUATED_SQL} SELECT CAST({INFER_DAY} AS BIGINT) AS day, count(DISTINCT user_id) FILTER (is_interacted = 2) AS active_users, {_DURATIONS}, {_STAMPS}
+    FROM evaluated"""
+)
+def evaluation_duration(spark, sf_dir):
+    """Watch time by rank of the same evaluation, from its stored form."""
+    return rounded(read_stored(spark, _stored(spark, sf_dir).duration))
+
+
+@query(
+    f"""SELECT value, {_STAMPS.split(", ")[1]}, row_number() OVER (ORDER BY "recall@1", value) AS place
+    FROM (WITH {EVALUATED_SQL}, {_slices_sql('evaluated', _SLICES[1:2], _NAMES)})"""
+)
+def evaluation_slice_order(spark, sf_dir):
+    """The place of every slice in its stored report, worst first by the first metric."""
+    found = read_stored(spark, f"{_stored(spark, sf_dir).slices}/feature={_SLICES[1]}")
+    # one file per feature, read in its own order
+    lines = found.select("value", "model_name", F.monotonically_increasing_id().alias("at")).coalesce(1)
+    return lines.select("value", "model_name", F.row_number().over(Window.orderBy("at")).cast("bigint").alias("place"))

@@ -291,13 +291,14 @@ def training_batches(spark, sf_dir):
     return rounded(_training(spark, sf_dir))
 
 
-@query(
-    f"""WITH {OBS_SQL}, {_WINDOW_SQL}, held AS (
+_VALIDATION_SQL = f"""WITH {OBS_SQL}, {_WINDOW_SQL}, held AS (
       SELECT * FROM obs o WHERE filename_date = {EVAL_DAY}
         AND NOT EXISTS (SELECT 1 FROM windowed w WHERE w.user_id = o.user_id AND w.item_id = o.item_id)),
     {_resolved_sql('held')}, {_thinned_sql('resolved')}, resampled AS (SELECT {_TRAINING_COLUMNS} FROM thinned),
     numbered AS ({_numbered_sql('resampled', SPEC.batch_size)}) SELECT {_SET_COLUMNS} FROM numbered"""
-)
+
+
+@query(_VALIDATION_SQL)
 def validation_batches(spark, sf_dir):
     """The held-out day without the pairs trained on; no synthetic negatives."""
     obs = stored_observations(spark, sf_dir)

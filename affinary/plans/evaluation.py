@@ -19,7 +19,7 @@ from affinary.operators.ranking import (
     having_predictions,
     rank_pairs,
 )
-from affinary.operators.slices import slice_report
+from affinary.operators.slices import OVERALL, slice_report
 from affinary.roles import POSITIVE, Roles
 from affinary.sources.scratch import Stage, materialize
 
@@ -143,7 +143,10 @@ def compare_models(
 
 @dataclass(frozen=True)
 class EvaluationReport:
+    """Metrics per slice, of all rows, and watch time by rank."""
+
     slices: DataFrame
+    overall: DataFrame
     duration: DataFrame
 
 
@@ -157,4 +160,14 @@ def report(
 ) -> EvaluationReport:
     """All metrics per slice, and watch time by rank."""
     watched = duration_at_k(ranked, roles).select(F.lit(day).alias("day"), "*")
-    return EvaluationReport(slice_report(ranked, features, metrics, roles, separate_by), watched)
+    if features:
+        slices = slice_report(ranked, features, metrics, roles, separate_by)
+        every = slices
+    else:
+        # nothing to slice by: one feature without values gives the overall row
+        every = slice_report(ranked.withColumn("_none", F.lit(None).cast("string")), ["_none"], metrics, roles, separate_by)
+        slices = every.filter(F.lit(False))
+    first = features[0] if features else "_none"
+    # every slicing feature repeats the same overall row
+    overall = every.filter((F.col("value") == OVERALL) & (F.col("feature") == first)).drop("feature", "value")
+    return EvaluationReport(slices, overall, watched)

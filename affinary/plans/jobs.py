@@ -5,31 +5,37 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from affinary.functions.calendar import full_training_split
 from affinary.operators.batching import shuffled
+from affinary.operators.slices import report_order
 from affinary.plans.evaluation import EvaluationData, EvaluationReport, ranked_rows, report
-from affinary.plans.training import training_set
+from affinary.plans.training import training_set, window_rows
 from affinary.roles import JobSpec
 from affinary.sources.sinks import stamp, write_report
 from affinary.sources.scratch import Stage, materialize
 
 
-def training_sets(
-    log: DataFrame, infer_day: int, days: int, spec: JobSpec, stage: Stage = materialize
-) -> tuple[DataFrame, DataFrame]:
-    """Training and validation set of the full split, each under the filters its settings name.
+def training_side(log: DataFrame, infer_day: int, days: int, spec: JobSpec, stage: Stage = materialize) -> DataFrame:
+    """The training set of the full split under ``spec.train_filters``.
 
-    With ``spec.shuffle`` the training rows come in a random, repeatable order.
+    With ``spec.shuffle`` its rows come in a random, repeatable order.
     """
-    roles = spec.roles
-    features = [*roles.user_features, *roles.item_features, *roles.context_features]
-    split = full_training_split(infer_day, days)
-    train = training_set(log, [*split.train, *spec.train_filters], features, spec, stage=stage)
-    held_out = training_set(log, [*split.validation, *spec.validation_filters], features, spec, stage=stage)
-    return (shuffled(train, train.columns) if spec.shuffle else train), held_out
+    split = full_training_split(infer_day, days, spec.roles.event_date)
+    train = training_set(log, [*split.train, *spec.train_filters], spec.roles.model_features, spec, stage=stage)
+    return shuffled(train, train.columns) if spec.shuffle else train
+
+
+def validation_side(log: DataFrame, infer_day: int, days: int, spec: JobSpec, stage: Stage = materialize) -> DataFrame:
+    """The held-out day under ``spec.validation_filters``, without the pairs that the training window holds and without
+    synthetic negatives."""
+    split = full_training_split(infer_day, days, spec.roles.event_date)
+    trained = window_rows(log, [*split.train, *spec.train_filters], spec).select(*spec.roles.pair)
+    return training_set(log, [*split.validation, *spec.validation_filters], spec.roles.model_features, spec, seen=trained, stage=stage)
 
 
 @dataclass(frozen=True)
@@ -66,13 +72,16 @@ def evaluate_and_store(
 
 
 def store_report(found: EvaluationReport, spec: JobSpec, folder: str, evaluate_time: str, data_type: str) -> StoredEvaluation:
+    """Store the reports: slices worst first in each feature's file, one overall row, watch time by rank.
+
+    Settings without slicing features give the overall row alone.
+    """
     paths = StoredEvaluation(f"{folder}/slices", f"{folder}/overall", f"{folder}/duration")
-    marked = stamp(found.slices, evaluate_time, spec.name, data_type)
-    write_report(marked, paths.slices, order_by=["value"])
-    # every slicing feature repeats the same overall row
-    whole = marked.filter(F.col("value") == "OVERALL").filter(F.col("feature") == F.lit(spec.slice_by[0])).drop("feature", "value")
+    slices = stamp(found.slices, evaluate_time, spec.name, data_type)
+    write_report(slices, paths.slices, order_by=report_order(spec.metrics))
+    whole = stamp(found.overall, evaluate_time, spec.name, data_type)
     for table, path in ((whole, paths.overall), (stamp(found.duration, evaluate_time, spec.name, data_type), paths.duration)):
-        table.write.mode("overwrite").option("header", True).csv(path)
+        table.coalesce(1).write.mode("overwrite").option("header", True).csv(path)  # one row per separate value at most
     return paths
 
 
@@ -81,8 +90,13 @@ _WHOLE = ("sample_count", "active_users", "day")
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """A stored report with its numbers typed."""
-    stored = spark.read.option("header", True).csv(path)
+    """A stored report with its numbers typed; a report without slices has no rows and no columns."""
+    try:
+        stored = spark.read.option("header", True).csv(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], T.StructType())
 
     def typed(name: str):
         kind = "string" if name in _TEXT else "bigint" if name in _WHOLE else "double"

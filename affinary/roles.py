@@ -43,6 +43,11 @@ class Roles:
     def user_features(self) -> list[str]:
         return [*self.account_features, *self.profile_features]
 
+    @property
+    def model_features(self) -> list[str]:
+        """What a model is trained on."""
+        return [*self.user_features, *self.item_features, *self.context_features]
+
     @property
     def all_columns(self) -> list[str]:
         """Every column a job may ask for, in one fixed order."""

@@ -16,6 +16,8 @@ from affinary.operators.learning import (
 )
 from affinary.operators.ranking import catalog_positions, rank_pairs, rank_scored
 from affinary.operators.retrieval import vector_top_k
+from affinary.plans.evaluation import report
+from affinary.plans.jobs import read_stored, store_report
 from affinary.plans.training import training_set
 from affinary.roles import JobSpec, Resampling, Roles
 from affinary.sources import scratch
@@ -156,3 +158,15 @@ def test_staged_table_reads_back_the_same(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     stored = scratch.materialize(df, "pairs")
     assert stored.schema == df.schema and set(stored.collect()) == set(df.collect())
+
+
+def test_evaluation_without_slices_stores_the_overall_row(spark):
+    ranked = spark.createDataFrame([(1, 1, 2, 1, 5.0), (1, 2, 2, 9999, 7.0), (2, 1, 2, 3, 1.0)], "user_id int, item_id int, is_interacted int, prediction_rank int, duration double")
+    spec = JobSpec("plain", ROLES, metrics=("recall_at_k",))
+    found = report(ranked, spec.slice_by, spec.metrics, 20240131, ROLES)
+    folder = scratch.new_path(spark, "report")
+    paths = store_report(found, spec, folder, "2024-01-31", "val")
+    assert read_stored(spark, paths.slices).count() == 0
+    whole = read_stored(spark, paths.overall).collect()
+    assert [(row["recall@1"], row["recall@5"], row.model_name) for row in whole] == [(0.25, 0.75, "plain")]
+    assert read_stored(spark, paths.duration).first()["duration_all"] == 6.5
