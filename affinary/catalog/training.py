@@ -26,6 +26,7 @@ from affinary.functions.calendar import days_before, full_training_split
 from affinary.functions.columns import conform
 from affinary.functions.predicates import apply_filters
 from affinary.operators.batching import (
+    StoredBatches,
     add_batches,
     batch_catalog,
     batch_order,
@@ -329,3 +330,25 @@ def batch_tensors(spark, sf_dir):
     rows = batch_values(logs.observations(spark, sf_dir), ["item_size", "is_weekend"], ROLES)
     values = vector_to_array("values")
     return rounded(rows.select("event_id", values[0].alias("v0"), values[1].alias("v1"), "label", "weight"))
+
+
+_READ_INDEXES = (0, 3, 4, 11, 100_000)
+
+
+@query(
+    f"""WITH {OBS_SQL}, numbered AS ({_numbered_sql('(SELECT * EXCLUDE (batch_idx) FROM obs)', 50)}),
+    sizes AS (SELECT DISTINCT filename_date, batch_idx FROM numbered),
+    placed AS (SELECT *, row_number() OVER (ORDER BY filename_date, md5(concat_ws('|', 'order', filename_date, batch_idx))) - 1 AS read_index FROM sizes)
+    SELECT read_index, CAST(item_size AS DOUBLE) AS v0, CAST(is_weekend AS DOUBLE) AS v1, is_interacted AS label, round(weighted_lr, 6) AS weight
+    FROM numbered JOIN placed USING (filename_date, batch_idx) WHERE read_index IN {_READ_INDEXES}"""
+)
+def batch_read_back(spark, sf_dir):
+    """Some batches of a stored set by their place in the reading order; only their files are read."""
+    features = ["item_size", "is_weekend"]
+    batched = add_batches(stored_observations(spark, sf_dir), 50, training_batch_key(ROLES), ROLES)
+    stored = StoredBatches(new_path(spark, "batches"), new_path(spark, "manifest"), ROLES)
+    write_training_set(batched, stored.path, ROLES, features)
+    stored.write_manifest(spark)
+    values = vector_to_array("values")
+    found = stored.read(spark, features, _READ_INDEXES)
+    return rounded(found.select("read_index", values[0].alias("v0"), values[1].alias("v1"), "label", "weight"))

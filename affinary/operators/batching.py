@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,6 +14,7 @@ from affinary.functions.columns import shuffle_hash
 from affinary.operators.ordering import hash_running_sum
 from affinary.roles import Roles
 from affinary.sources.scan import scan
+from affinary.sources.sinks import write_table
 
 
 def shuffled(df: DataFrame, key: Sequence[str], seed: str = "shuffle") -> DataFrame:
@@ -80,6 +82,41 @@ def read_batch(
     return batch_values(rows, features, roles).select("values", "label", "weight")
 
 
+@dataclass(frozen=True)
+class StoredBatches:
+    """A stored training set and its manifest: (date, batch, n_rows, files, read_index), a row per batch.
+
+    The manifest is a table of its own, so a batch is read without listing the directories of the set.
+    """
+
+    path: str
+    manifest: str
+    roles: Roles = Roles()
+
+    def write_manifest(self, spark: SparkSession, seed: str = "order", *, by_week: bool = False) -> DataFrame:
+        """List the batches and the files that hold them, in reading order; rows are counted, not read."""
+        catalog = batch_catalog(spark.read.parquet(self.path), self.roles, with_files=True)
+        write_table(batch_order(catalog, self.roles, seed, by_week=by_week), self.manifest)
+        return self.entries(spark)
+
+    def entries(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.manifest)
+
+    def read(self, spark: SparkSession, features: Sequence[str], indexes: Sequence[int]) -> DataFrame:
+        """(read_index, values, label, weight) of the batches with these places in the reading order.
+
+        Reads their files and no others; the driver holds the entries of the asked batches.
+        """
+        date, batch = self.roles.event_date, self.roles.batch
+        picked = self.entries(spark).filter(F.col("read_index").isin(*indexes)).select(date, batch, "read_index", "files").collect()
+        files = [name for row in picked for name in row["files"]]
+        rows = spark.read.option("basePath", self.path).parquet(*files) if files else spark.read.parquet(self.path).limit(0)
+        places = spark.createDataFrame([tuple(row)[:3] for row in picked], "_date bigint, _batch bigint, read_index bigint")
+        # a row per asked batch
+        told = rows.join(F.broadcast(places), (F.col(date) == F.col("_date")) & (F.col(batch) == F.col("_batch")))
+        return batch_values(told, features, self.roles).select("read_index", "values", "label", "weight")
+
+
 def batch_values(df: DataFrame, features: Sequence[str], roles: Roles = Roles()) -> DataFrame:
     """Add the feature vector, label and weight a learner reads."""
     assembled = VectorAssembler(inputCols=list(features), outputCol="values").transform(df)

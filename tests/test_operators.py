@@ -651,3 +651,29 @@ def test_spec_from_mapping():
     assert spec.roles.all_columns == ["u", "i", "f", "y", "w", "d"]
     assert spec.roles.select_order({"y", "f"}) == ["f", "y"]
     assert spec.slice_by == ("f",) and spec.batch_size == 10
+
+
+def test_stored_batches_read_only_their_files(spark):
+    from affinary.operators.batching import StoredBatches
+    from affinary.sources.scratch import new_path
+    from affinary.sources.sinks import write_training_set
+
+    data = [(20240101 + n % 5, n // 20, float(n), 1.0, 1 + n % 2) for n in range(200)]
+    rows = spark.createDataFrame(data, "filename_date int, batch_idx bigint, x double, weighted_lr double, is_interacted int")
+    stored = StoredBatches(new_path(spark, "set"), new_path(spark, "manifest"))
+    write_training_set(rows, stored.path, stored.roles, ["x"])
+    manifest = {row.read_index: row for row in stored.write_manifest(spark).collect()}
+    assert sorted(manifest) == list(range(50)) and sum(row.n_rows for row in manifest.values()) == 200
+    found = stored.read(spark, ["x"], [7, 21])
+    wanted = {name for place in (7, 21) for name in manifest[place].files}
+    def plain(names):
+        return {name.replace("file:///", "/").replace("file:/", "/") for name in names}
+
+    assert plain(found.inputFiles()) == plain(wanted) and len(wanted) <= 4 < len(spark.read.parquet(stored.path).inputFiles())
+    expected = {
+        (place, x) for place in (7, 21) for day, batch, x, _, _ in data if (day, batch) == (manifest[place].filename_date, manifest[place].batch_idx)
+    }
+    assert {(row.read_index, row["values"][0]) for row in found.collect()} == expected and expected
+    assert stored.read(spark, ["x"], [999]).count() == 0
+    days = [row.filename_date for _, row in sorted(manifest.items())]
+    assert days == sorted(days)
