@@ -1,10 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Every slot of the schedule takes one block of equally many words from one source.
-Slot ``i`` maps the golden-ratio point ``frac(i * phi)`` through the cumulative
-target shares, so any stretch of the mix holds the sources in nearly their target
-proportions.  A source's documents are laid in hash order on a line; slot ``r`` of
-the source takes words ``[r * block, (r + 1) * block)`` of that line, which repeats
+Slot ``i`` maps the van der Corput point ``reversed bits of i / 2^k`` through the cumulative targets,
+so any stretch of the mix holds the sources in nearly their target proportions, and all ``2^k`` slots
+together, whose points are an even grid, give each source its target to less than one block.
+Points behind the last target belong to no source; those slots are left out.
+
+A source takes the blocks of its slots and nothing else.  Its documents are laid in hash order on a line; its slot
+of rank ``r`` takes words ``[r * block, (r + 1) * block)`` of that line, which repeats
 for as many epochs as the cap allows.
 
 Sources: one row per source passes through one task and the driver (their number is
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from math import ceil, log2
 
 import numpy as np
 import pandas as pd
@@ -30,7 +34,6 @@ from affinary.sources.scratch import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 BIN_BITS = 12  # hash bins of a source
 _CHUNK = 1 << 16  # slots made at once
-_GOLDEN, _SCALE = 2_654_435_769, 1 << 32  # the golden ratio as a 32-bit fraction
 
 
 def word_count(text: Column) -> Column:
@@ -64,21 +67,31 @@ def source_targets(sized: DataFrame, weights: Sequence[float], cap: float) -> Da
     return leveled.select("number", "source", "source_size", target.alias("target"))
 
 
-def schedule(spark, shares: Sequence[float], slots: int) -> DataFrame:
+def van_der_corput(slot: np.ndarray, bits: int) -> np.ndarray:
+    """The slots' ``bits`` low bits in reverse, as a fraction."""
+    left, point = slot.astype(np.uint64), np.zeros(len(slot), dtype=np.uint64)
+    for _ in range(bits):
+        point = (point << np.uint64(1)) | (left & np.uint64(1))
+        left = left >> np.uint64(1)
+    return point / float(1 << bits)
+
+
+def schedule(spark, targets: Sequence[float], block_words: int) -> DataFrame:
     """(slot, number, rank): the source of every slot and how many slots it had before."""
-    edges = np.cumsum(np.asarray(shares, dtype=float))
-    edges /= edges[-1]
+    edges = np.cumsum(np.asarray(targets, dtype=float))
+    bits = max(0, ceil(log2(max(1.0, edges[-1] / block_words))))
+    edges /= block_words * float(1 << bits)
 
     def deal(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in chunks:
             for chunk in frame["id"]:
-                slot = np.arange(chunk * _CHUNK, min((chunk + 1) * _CHUNK, slots), dtype=np.int64)
-                point = (((slot % (1 << 31)) * _GOLDEN) % _SCALE) / _SCALE
-                number = np.minimum(np.searchsorted(edges, point, side="right"), len(edges) - 1)
+                slot = np.arange(chunk * _CHUNK, min((chunk + 1) * _CHUNK, 1 << bits), dtype=np.int64)
+                number = np.searchsorted(edges, van_der_corput(slot, bits), side="right")
+                slot, number = slot[number < len(edges)], number[number < len(edges)]
                 rank = pd.Series(number).groupby(number).cumcount().to_numpy()
                 yield pd.DataFrame({"chunk": chunk, "slot": slot, "number": number.astype(np.int32), "local": rank})
 
-    chunks = -(-slots // _CHUNK)
+    chunks = -(-(1 << bits) // _CHUNK)
     parts = min(chunks, max(1, spark.sparkContext.defaultParallelism)) if chunks < 10_000 else chunks // 64
     dealt = spark.range(0, chunks, 1, parts).mapInPandas(deal, "chunk bigint, slot bigint, number int, local bigint")
     # written, so that the planner knows its size: from a few chunks it would expect a few rows and broadcast them
@@ -106,7 +119,7 @@ def mix(
     docs: DataFrame,
     weights: Sequence[float] = (1, 2, 3),
     cap: int = 3,
-    block_words: int = 256,
+    block_words: int = 64,
     seed: int = 7,
     carry: Sequence[str] = ("doc_id",),
 ) -> Mix:
@@ -136,26 +149,16 @@ def mix(
     )
     placed = materialize(placed, "mix-placed")
 
-    total = sum(row.source_size for row in targets)
-    slots = -(-int(total) // block_words)
-    none = spark.createDataFrame([], "slot bigint, number int, start bigint, epoch int, words bigint")
-    if slots == 0:
-        return Mix(placed, none)
-    dealt = schedule(spark, [row.target for row in targets], slots)
-
-    # A source takes floor(target) words: as many whole slots as the schedule holds of it, up to
-    # that; slots it lacks in the schedule are added behind it, the last one is cut short.
-    taking = table.select("number", F.floor("target").cast("bigint").alias("quota")).filter("quota > 0")
-    need = F.ceil(F.col("quota") / block_words).cast("bigint")
-    wanted = taking.select("number", F.explode(F.sequence(F.lit(0), need - 1)).alias("rank"))
-    seated = wanted.join(dealt, ["number", "rank"], "left")
-    seats = materialize(seated.select("number", "rank", F.coalesce("slot", F.lit(slots) + F.col("rank")).alias("slot")), "mix-seats")
+    if not sum(row.target for row in targets):
+        return Mix(placed, spark.createDataFrame([], "slot bigint, number int, start bigint, epoch int, words bigint"))
+    seats = materialize(schedule(spark, [row.target for row in targets], block_words), "mix-seats")
 
     epochs = F.explode(F.sequence(F.lit(0), F.lit(cap - 1))).alias("epoch")
-    copies = placed.filter("size > 0").select("number", "start", "size", F.floor("target").cast("bigint").alias("quota"), "source_size", epochs)
-    first = F.col("epoch") * F.col("source_size") + F.col("start")
-    spans = copies.select("number", "start", "epoch", first.alias("low"), F.least(first + F.col("size"), F.col("quota")).alias("high"))
-    spans = spans.filter("high > low")
+    copies = placed.filter("size > 0").select("number", "start", "size", "target", "source_size", epochs)
+    low = F.col("epoch") * F.col("source_size") + F.col("start")
+    spans = copies.select("number", "start", "epoch", low.alias("low"), (low + F.col("size")).alias("high"), "target")
+    # a source's slots end less than a block behind its target: copies beyond have none, and need not look for one
+    spans = spans.filter(F.col("low") < F.col("target") + block_words)
     touched = F.sequence(F.floor(F.col("low") / block_words), F.floor((F.col("high") - 1) / block_words))
     parts = spans.select("*", F.explode(touched).alias("rank"))
     words = F.least(F.col("high"), (F.col("rank") + 1) * block_words) - F.greatest(F.col("low"), F.col("rank") * block_words)
@@ -164,8 +167,9 @@ def mix(
 
 
 def taken_words(mixed: Mix) -> DataFrame:
-    """``placed`` with the words that the mix takes of every document, repeats counted."""
-    sums = mixed.pieces.groupBy(F.col("number").alias("n"), F.col("start").alias("s")).agg(F.sum("words").alias("got"))
+    """``placed`` with the words that the mix takes of every document, repeats counted, and the first slot that takes any."""
+    pieces = mixed.pieces.groupBy(F.col("number").alias("n"), F.col("start").alias("s"))
+    sums = pieces.agg(F.sum("words").alias("got"), F.min("slot").alias("slot"))
     # documents without words share their start with the next one
     same = (F.col("number") == F.col("n")) & (F.col("start") == F.col("s")) & (F.col("size") > 0)
     return mixed.placed.join(sums, same, "left").withColumn("taken", F.coalesce("got", F.lit(0)).cast("bigint")).drop("n", "s", "got")

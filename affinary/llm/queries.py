@@ -28,7 +28,7 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixing.taken_words(mixed).select(
-        F.col("kept.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "source"
+        F.col("kept.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "slot"
     )
 
 
