@@ -11,6 +11,11 @@ at pseudo-random places of documents picked by a hash; the bound is independent
 corpus.  Counts per language cover all rows.  Language, source and id are never inputs of a
 prediction.
 
+With ``reject`` a class of its own is trained on windows that are no language: bytes of the training windows
+shuffled, and random bytes from the whole range and from the printable ones.  A document whose mean probability of that class
+is one half or more is ``und``; so it is judged by itself, however many languages there are, and bytes
+that no language used (other scripts) speak against it.
+
 Null text and text without letters are ``und`` with score 0, as is everything when there
 is nothing to learn from; rows without a language are not learned from; a null id is never held
 out and never learned from; an empty table gives no rows.
@@ -213,7 +218,22 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-def fit(docs: DataFrame, windows_per_language: int = 1500, seed: int = 7, **options) -> LanguageModel:
+def _not_language(texts: list[bytes], count: int, seed: int) -> list[bytes]:
+    """Windows that are no language: shuffled ones, and random bytes, all or printable."""
+    random = np.random.default_rng(seed)
+    made = []
+    for i in range(count):
+        kind = i % 4
+        if kind < 2:
+            source = np.frombuffer(texts[int(random.integers(0, len(texts)))], dtype=np.uint8)
+            made.append(random.permutation(source).tobytes())
+        else:
+            low, high = ((0, 256), (33, 127))[kind - 2]
+            made.append(random.integers(low, high, WINDOW).astype(np.uint8).tobytes())
+    return made
+
+
+def fit(docs: DataFrame, windows_per_language: int = 1500, seed: int = 7, reject: bool = False, **options) -> LanguageModel:
     """Learn from documents that are not held out; languages are taken to be some hundreds at most."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold(F.col("doc_id")) != 1))
     named = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 1))
@@ -242,6 +262,9 @@ def fit(docs: DataFrame, windows_per_language: int = 1500, seed: int = 7, **opti
             labels.append(languages.index(language))
     if not texts:
         return LanguageModel((), None)
+    if reject:
+        others = _not_language(texts, max(windows_per_language, len(texts) // 4), seed)
+        texts, labels, languages = texts + others, labels + [len(languages)] * len(others), (*languages, UNKNOWN)
     return LanguageModel(languages, train(texts, labels, len(languages), seed=seed, **options))
 
 
@@ -260,7 +283,13 @@ def label_texts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str
     for i in [*places, None]:
         if i is None or size > 1 << 20:  # bytes computed together, besides one text
             found = document_probabilities(model.parameters, [texts[j].encode("utf-8", "replace") for j in group])
-            for j, row in zip(group, found):
+            if model.languages[-1] == UNKNOWN:
+                rejected, found = found[:, -1] >= 0.5, found[:, :-1]
+            else:
+                rejected = np.zeros(len(group), dtype=bool)
+            for j, row, is_rejected in zip(group, found, rejected):
+                if is_rejected:
+                    continue
                 names[j], scores[j] = model.languages[int(row.argmax())], float(min(1.0, row.max()))
             group, size = [], 0
         if i is not None:

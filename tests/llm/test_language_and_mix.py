@@ -55,6 +55,30 @@ def test_held_out_languages(documents):
     assert by_id[None].lang_pred == "bb" and by_id[9005].lang_pred == "aa"
 
 
+@pytest.mark.parametrize("count", [2, 4, 30])
+def test_what_is_no_language_is_rejected_whatever_their_number(documents, count):
+    """Languages of invented syllables; junk goes and clean documents stay with few and with many of them."""
+    random = np.random.default_rng(count)
+    consonants, vowels = "bcdfghjklmnprstvz", "aeiouéàöñ"
+    syllables = [["".join((random.choice(list(consonants)), random.choice(list(vowels)), random.choice(["", "n", "r", "s"]))) for _ in range(24)] for _ in range(count)]
+
+    def write(language, words):
+        return " ".join("".join(random.choice(syllables[language], random.integers(1, 4))) for _ in range(words)).capitalize() + "."
+
+    rows = [(i, write(i % count, 8 + i % 90), f"l{i % count:02}", None) for i in range(40 * count)]
+    printable = [chr(c) for c in range(33, 127)]
+    junk = ["".join(random.choice(printable, 400)) for _ in range(10)]
+    junk += ["".join(map(chr, random.integers(0, 32, 300))) + "x" for _ in range(10)]
+    junk += ["".join(map(chr, random.integers(0x410, 0x450, 200))) for _ in range(10)]
+    junk += ["".join(map(chr, random.integers(0x4E00, 0x9000, 150))) for _ in range(10)]
+    rows += [(10**6 + i, text, None, None) for i, text in enumerate(junk)]
+    docs = documents(rows)
+    model = language_id.fit(docs, windows_per_language=max(100, 600 // count), reject=True)
+    found = {r.doc_id: r.lang_pred for r in language_id.label(docs, model).collect()}
+    assert sum(found[i] != "und" for i in found if i < 10**6) >= 0.97 * 40 * count
+    assert sum(found[i] == "und" for i in found if i >= 10**6) >= 0.95 * len(junk)
+
+
 def test_nothing_to_learn(documents):
     for rows in ([], [(1, "text", None, None)], [(1, None, "aa", None)]):
         docs = documents(rows)
