@@ -12,9 +12,9 @@ corpus.  Counts per language cover all rows.  Language, source and id are never
 prediction.
 
 With ``reject`` a class of its own is trained on windows that are no language: bytes of the training windows
-shuffled, and random bytes from the whole range and from the printable ones.  A document whose mean probability of that class
-is one half or more is ``und``; so it is judged by itself, however many languages there are, and bytes
-that no language used (other scripts) speak against it.
+shuffled, and random bytes from the whole range and from the printable ones.  A document is ``und`` if the mean probability of that
+class over its bytes, and over one window more that counts against it, is one half or more.  So it is judged by itself, however many
+languages there are, bytes that no language used (other scripts) speak against it, and a few odd bytes are not enough.
 
 Null text and text without letters are ``und`` with score 0, as is everything when there
 is nothing to learn from; rows without a language are not learned from; a null id is never held
@@ -284,7 +284,9 @@ def label_texts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str
         if i is None or size > 1 << 20:  # bytes computed together, besides one text
             found = document_probabilities(model.parameters, [texts[j].encode("utf-8", "replace") for j in group])
             if model.languages[-1] == UNKNOWN:
-                rejected, found = found[:, -1] >= 0.5, found[:, :-1]
+                # one window more that speaks for a language: a few bytes are no evidence
+                sizes = np.array([len(texts[j].encode("utf-8", "replace")) for j in group])
+                rejected, found = found[:, -1] * sizes / (sizes + WINDOW) >= 0.5, found[:, :-1]
             else:
                 rejected = np.zeros(len(group), dtype=bool)
             for j, row, is_rejected in zip(group, found, rejected):

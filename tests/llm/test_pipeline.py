@@ -20,6 +20,9 @@ COLUMNS = {
     "op8": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint", "sequence_id": "bigint", "offset": "bigint"},
     "op9": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op10": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op11": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
+    "op12": {"vec_id": "bigint", "cluster": "int", "distance": "bigint", "cluster_inertia": "bigint", "inertia": "bigint", "centroid_sha256": "string"},
+    "op13": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
 }
 
 
@@ -33,8 +36,8 @@ def test_query_returns_its_columns(spark, name):
     kinds = dict(df.dtypes)
     for column, kind in COLUMNS[name.split("_")[0]].items():
         assert kinds[column] == kind
-    table = {"op2": "pages", "op9": "pages", "op6": "embeddings"}.get(name.split("_")[0], "documents")
-    if not name.startswith(("op7_", "op8_")):
+    table = {"op2": "pages", "op9": "pages", "op6": "embeddings", "op12": "embeddings"}.get(name.split("_")[0], "documents")
+    if not name.startswith(("op7_", "op8_", "op11_")):
         assert df.count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
 
 
@@ -90,3 +93,29 @@ def test_repeated_ids_lose_no_text(spark, documents, words):
     assert kept.columns == shared.columns
     found = sorted((r.doc_id, (r.text or "").lower()) for r in kept.collect())
     assert found == sorted([(3, a), (7, b), (9, ""), (9, c)])
+
+
+def test_columns_of_any_name_go_through(spark, documents, words):
+    """Names that stages use inside, as columns of the documents."""
+    from pyspark.sql import functions as F
+
+    docs = documents([(i, words(30, i), "en", "s") for i in range(30)] + [(3, words(30, 3), "en", "s"), (4, words(9, 400), None, None)])
+    names = ["_found", "_score", "_text", "_id", "id", "own", "found", "score", "row", "given", "place", "first", "copies", "component_id", "number", "slot", "kept", "text.x"]
+    docs = docs.withColumns({f"{name}": F.lit(name) for name in names})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = materialize(stage(spark, docs, SF_DIR), f"names-{name}")
+        rows = docs.collect()
+        assert set(names) <= set(docs.columns) and rows and all(row[n] == n for row in rows for n in names)
+
+
+def test_junk_goes_at_the_first_stage(spark, documents):
+    import numpy as np
+
+    random = np.random.default_rng(3)
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    junk = ["".join(map(chr, random.integers(33, 127, 500))) for _ in range(8)] + ["".join(map(chr, random.integers(0x410, 0x450, 300))) for _ in range(8)]
+    docs = documents([tuple(row) for row in given] + [(10**9 + i, text, None, "junk") for i, text in enumerate(junk)])
+    kept = {row.doc_id: row for row in corpus_pipeline.in_one_language(spark, docs, SF_DIR).collect()}
+    assert sum(10**9 + i in kept for i in range(16)) <= 1
+    clean = [row for row in given if row.text and any(map(str.isalpha, row.text))]
+    assert sum(row.doc_id in kept for row in clean) >= 0.998 * len(clean)
