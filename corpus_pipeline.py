@@ -5,49 +5,55 @@ returns a table; all but the last return the columns of documents.  ``run`` writ
 stage's rows to the shared folder and reads them again for the next one.  No stage can be said
 in SQL as a whole (a trained network, exact joins by pivots, tokenizers), so there is no ORACLE_SQL;
 the tests hold each stage against a plain version.
+
+Extra columns of any name go through untouched.  A null source is a source of its own, null and empty texts have no
+language and end at the first stage, and very long texts are read whole in every stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinary.llm import jaccard_join, language_id, mixing, packing, secret_spans
 from affinary.sources.scratch import materialize
 
-LEAST_SCORE = 0.3  # mean probability of the best language, below which a document is rejected
-
 ORACLE_SQL = None
 
 
+def _kept_whole(docs: DataFrame) -> Column:
+    """All columns of a row as one, so that no name of theirs meets one used here."""
+    return F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+
+
 def in_one_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language go on, with null languages filled in; texts without letters and undecided ones go."""
-    model = language_id.fit(docs)
-    labelled = language_id.label(docs, model, language="_found", score="_score")
-    kept = labelled.filter((F.col("_found") != language_id.UNKNOWN) & (F.col("_score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "_found")).select(*docs.columns)
+    """Documents in a known language go on, with null languages filled in; texts without letters and texts that look more like
+    shuffled or random bytes than like any learned language go.  With nothing to learn from all go."""
+    model = language_id.fit(docs, reject=True)
+    labelled = language_id.label(docs.select(_kept_whole(docs), F.col("text").alias("text")), model, language="found")
+    kept = labelled.filter(F.col("found") != language_id.UNKNOWN)
+    columns = [F.coalesce("row.lang", "found").alias("lang") if name == "lang" else F.col(f"row.`{name}`") for name in docs.columns]
+    return kept.select(*columns)
 
 
 def _own_ids(docs: DataFrame) -> DataFrame:
-    """The documents with ``_id``, which names one text: doc_id, or for the texts of an id that has several a free number."""
-    docs = docs.withColumn("_text", F.xxhash64("text"))
-    named = docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "_text")
-    several = named.groupBy("doc_id").agg(F.min("_text").alias("least"), F.max("_text").alias("most")).filter("least != most")
-    several = materialize(several.select("doc_id"), "near-several")
-    own = F.col("doc_id").cast("bigint")
+    """(row, id): ``id`` names one text: doc_id, or for the texts of an id that has several a free number."""
+    rows = docs.select(_kept_whole(docs), F.col("doc_id").cast("bigint").alias("own"), F.xxhash64("text").alias("hash"))
+    named = rows.filter("own is not null").select("own", "hash")
+    several = named.groupBy("own").agg(F.min("hash").alias("least"), F.max("hash").alias("most")).filter("least != most")
+    several = materialize(several.select("own"), "near-several")
     if several.isEmpty():
-        return docs.withColumn("_id", own).drop("_text")
-    texts = materialize(named.join(several, "doc_id", "left_semi").distinct(), "near-texts")
+        return rows.select("row", F.col("own").alias("id"))
+    texts = materialize(named.join(several, "own", "left_semi").distinct(), "near-texts")
     for seed in range(100):
-        given = texts.withColumn("_new", F.xxhash64(F.lit(seed), "doc_id", "_text"))
-        every = named.select(F.col("doc_id").alias("_new")).distinct().unionByName(given.select("_new"))
-        if every.groupBy("_new").count().filter("count > 1").join(given, "_new", "left_semi").isEmpty():
+        given = texts.withColumn("new", F.xxhash64(F.lit(seed), "own", "hash"))
+        every = named.select(F.col("own").alias("new")).distinct().unionByName(given.select("new"))
+        if every.groupBy("new").count().filter("count > 1").join(given, "new", "left_semi").isEmpty():
             break
     else:
         raise RuntimeError("no free numbers found for the texts of repeated ids")
-    given = given.select(F.col("doc_id").alias("_of"), F.col("_text").alias("_hash"), "_new")
-    joined = docs.join(given, (own == F.col("_of")) & (F.col("_text") == F.col("_hash")), "left")
-    return materialize(joined.withColumn("_id", F.coalesce("_new", own)).drop("_text", "_of", "_hash", "_new"), "near-rows")
+    joined = rows.join(given, ["own", "hash"], "left")
+    return materialize(joined.select("row", F.coalesce("new", "own").alias("id")), "near-rows")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,28 +61,27 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     the smallest id stays.  Rows are judged one by one: of rows that repeat an id and its text one stays, and texts
     that share an id are in groups of their own.  Documents without words stay once, documents without id always."""
     rows = _own_ids(docs)
-    own = F.col("doc_id").cast("bigint")
-    found = jaccard_join.components_of(rows.select(F.col("_id").alias("doc_id"), "text"), percent=80, words=5)
-    found = found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id"), "component_id").agg(F.count(F.lit(1)).alias("copies"))
+    found = jaccard_join.components_of(rows.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text")), percent=80, words=5)
+    found = found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id"), "component_id").agg(F.count(F.lit(1)).alias("copies"))
     found = materialize(found, "near-groups")
-    ids = rows.filter("_id is not null and _id != doc_id").select("_id", own.alias("_given")).distinct()
-    found = found.join(ids, "_id", "left").withColumn("_order", F.struct(F.coalesce("_given", "_id").alias("given"), "_id"))
-    first = found.groupBy("component_id").agg(F.min("_order").alias("_first"))
-    others = found.join(first, "component_id").filter(F.col("_order") != F.col("_first")).select("_id")
-    kept = rows.join(others, "_id", "left_anti")
-    repeated = materialize(found.filter("copies > 1").select("_id"), "near-repeated")
+    given = F.col("row.doc_id").cast("bigint")
+    ids = rows.filter(F.col("id").isNotNull() & (F.col("id") != given)).select("id", given.alias("given")).distinct()
+    found = found.join(ids, "id", "left").withColumn("place", F.struct(F.coalesce("given", "id").alias("given"), "id"))
+    first = found.groupBy("component_id").agg(F.min("place").alias("first"))
+    others = found.join(first, "component_id").filter(F.col("place") != F.col("first")).select("id")
+    kept = rows.join(others, "id", "left_anti")
+    repeated = materialize(found.filter("copies > 1").select("id"), "near-repeated")
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.join(repeated, "_id", "left_anti").select(*docs.columns)
-    several = kept.join(repeated, "_id", "left_semi").groupBy("_id")
-    several = several.agg(F.min(F.struct(*[F.col(f"`{name}`") for name in docs.columns])).alias("_row"))
-    return once.unionByName(several.select("_row.*"))
+        return kept.select("row.*")
+    once = kept.join(repeated, "id", "left_anti").select("row.*")
+    several = kept.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row"))
+    return once.unionByName(several.select("row.*"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text are replaced by a mark."""
     marked = secret_spans.redact(docs)
-    return marked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return marked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def in_target_proportions(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
