@@ -6,7 +6,7 @@ stage's rows to the shared folder and reads them again for the next one.  No sta
 in SQL as a whole (a trained network, exact joins by pivots, tokenizers), so there is no ORACLE_SQL;
 the tests hold each stage against a plain version.
 
-Extra columns of any name go through untouched.  A null source is a source of its own, null and empty texts have no
+Extra columns of any name without a dot go through untouched.  A null source is a source of its own, null and empty texts have no
 language and end at the first stage, and very long texts are read whole in every stage.
 """
 
