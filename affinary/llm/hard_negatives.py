@@ -310,7 +310,7 @@ def hard_negatives(
     label: Column | None = None,
     entries: int = 16,
     sample: int = 4096,
-    chunk: int = 4096,
+    chunk: int = 512,
     seed: int = 5,
 ) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) for the anchors, the rows whose id is
