@@ -1,3 +1,6 @@
+import base64
+import json
+import time
 import zlib
 
 import numpy as np
@@ -212,3 +215,34 @@ def test_plain_kinds(documents):
     assert secret_spans.secret_spans(documents([])).count() == 0
     # a match that fails uses up its text
     assert secret_spans.find_spans("password:token:abcdefgh") == []
+
+
+def long_texts():
+    der = base64.b64encode(bytes([0x30, 0x83, 0x07, 0, 0]) + bytes(40)).decode()[:60]
+    return {
+        "fronts of tokens": "eyJ" * 333_333,
+        "dotted fronts": "eyJh." * 100_000,
+        "lines of armor": ("LS0tLS1C" + "A" * 56 + "\n") * 15_000,
+        "lines out of step": ("LS0tLS1C" + "A" * 57 + "\n") * 15_000,
+        "long lengths": (der + "AAAA\n") * 15_000,
+        "escapes": "-----BEGIN PRIVATE KEY-----" + "\\" * 1_000_000 + "-----END PRIVATE KEY-----",
+        "armor lines": "-----BEGIN PRIVATE KEY-----\n" * 37_000,
+    }
+
+
+@pytest.mark.parametrize("name", long_texts())
+def test_long_texts_take_linear_time(name):
+    text = long_texts()[name]
+    begun = time.process_time()
+    assert secret_spans.find_spans(text) == []
+    assert time.process_time() - begun < 10  # quadratic time takes minutes
+
+
+def test_tokens_among_fronts():
+    part = lambda value: base64.urlsafe_b64encode(json.dumps(value).encode()).decode().rstrip("=")
+    token = f"{part({'alg': 'HS256'})}.{part({'sub': 'a'})}.c2ln"
+    for before, after in (("", ""), ("a.b.c ", "."), ("x.", " eyJ.eyJ"), ("eyJ.", ""), ("\\n", "\\n"), ("www.", "/")):
+        spans = secret_spans.find_spans(before + token + after)
+        assert ("jwt", len(before), len(before + token)) in spans and len(spans) == 1
+    twice = secret_spans.find_spans(token + "\n" + token)
+    assert [(start, end) for _, start, end in twice] == [(0, len(token)), (len(token) + 1, 2 * len(token) + 1)]
