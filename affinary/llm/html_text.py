@@ -7,15 +7,22 @@ edges to the terminals "content" and "boilerplate".  Blocks that follow each oth
 blocks of one container are joined by smoothness edges, weaker the further apart they lie in
 the tree.  The maximum flow splits the graph; blocks on the content side are the text.
 
+Names of classes and ids are judged one by one.  A name that speaks of boilerplate counts against all that its element
+holds, unless it is contradicted: a wrapper that also has a good name, or that holds the page's first heading or main
+part, is not boilerplate when most of the page's sentences stand in it.  A name that says what a page has or lacks
+(``with-sidebar``, ``no-header``) says nothing about the element itself.
+
 Rows are independent, so nothing is shuffled.  Null html gives an empty text; null ids
-and urls are passed on; repeated rows give repeated results; an empty table gives none.
+and urls are passed on; repeated rows give repeated results; an empty table gives none; extra columns of any name are
+not looked at.  Pages of any length and depth are read whole: reading takes linear time and memory, and the
+flow is only looked for between blocks whose own score does not outweigh all their edges.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html import unescape
 from math import exp, log1p
 
@@ -54,6 +61,7 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
+_MARKUP_START = re.compile(r"<[!?/]")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SENTENCE_END = re.compile(r"[.!?…。！？](?:[\"'»”)]*)(?:\s|$)")
@@ -81,6 +89,7 @@ _BAD_NAMES = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login search pagination pager toolbar copyright legal "
     "disclaimer tags skip hidden".split()
 )
+_LAYOUT_PARTS = frozenset("with has no without is".split())  # what follows them is what the page has or lacks
 _GOOD_NAME_WEIGHT, _BAD_NAME_WEIGHT, _BAD_IN_ARTICLE_WEIGHT = 2.0, -6.0, -9.0
 _OUTSIDE_WEIGHT = -3.5  # the page has an article or main part and the block is not in it
 _LINK_WEIGHT = -3.5  # times the share of characters inside links
@@ -89,24 +98,32 @@ _HEADING_WEIGHT = 0.7
 _SMOOTH, _DECAY = 1.0, 0.6  # strength of an edge, and its factor per step in the tree
 
 
+class _Element:
+    """An open element: what it and the elements around it say about the blocks in it."""
+
+    __slots__ = ("tag", "parent", "depth", "own", "bad", "doubted", "inside", "words", "weight")
+
+    def __init__(self, tag: str, parent: _Element | None, own: float = 0.0, bad: float = 0.0, doubted: bool = False):
+        self.tag = tag
+        self.parent = parent
+        self.depth = parent.depth + 1 if parent else 0
+        self.own = own  # log-odds of its tag and its good names
+        self.bad = bad  # log-odds of its bad names
+        self.doubted = doubted  # whether something speaks against its bad names
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.words = 0  # words of sentences in it
+        self.weight = 0.0
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]  # numbers of the open elements, outermost first
+    element: _Element
     score: float
 
 
-@dataclass
-class _Element:
-    tag: str
-    number: int
-    weight: float
-    inside: bool  # in an article or main part
-    container: int  # number of the nearest section
-    path: tuple[int, ...] = field(default=())
-
-
-def _name_weight(rest: str, inside: bool) -> float:
+def _names(rest: str) -> tuple[bool, bool]:
+    """Whether an element's attributes have a good and a bad name."""
     good = bad = False
     for name, *values in _ATTRIBUTE.findall(rest):
         value = next((v for v in values if v), "")
@@ -116,24 +133,42 @@ def _name_weight(rest: str, inside: bool) -> float:
         elif name == "style":
             bad |= "display:none" in value.replace(" ", "").lower()
         else:
-            parts = {part.lower() for part in _NAME_PART.findall(value)}
-            good |= bool(parts & _GOOD_NAMES)
-            bad |= bool(parts & _BAD_NAMES)
-    if bad:
-        return _BAD_IN_ARTICLE_WEIGHT if inside else _BAD_NAME_WEIGHT
-    return _GOOD_NAME_WEIGHT if good else 0.0
+            for word in value.split():
+                parts = {part.lower() for part in _NAME_PART.findall(word)}
+                if not parts & _LAYOUT_PARTS:
+                    good |= bool(parts & _GOOD_NAMES)
+                    bad |= bool(parts & _BAD_NAMES)
+    return good, bad
+
+
+def _is_open(match: re.Match[str]) -> bool:
+    """Whether a comment or raw element has no end."""
+    if match["raw"] is None:
+        return match[0].startswith("<!--") and not match[0].endswith("-->")
+    return not re.fullmatch(rf"</{match['raw']}\s*>", match[0][match[0].rfind("</") :], re.IGNORECASE)
+
+
+def _weigh(elements: list[_Element]) -> None:
+    """The log-odds that every element gives its blocks; parents come before their children."""
+    for element in reversed(elements):
+        if element.parent is not None:
+            element.parent.words += element.words
+    most = elements[0].words / 2
+    for element in elements:
+        is_wrapper = element.doubted and element.words > most
+        element.weight = (element.parent.weight if element.parent else 0.0) + element.own + (0.0 if is_wrapper else element.bad)
 
 
 def read_blocks(html: str) -> list[Block]:
     """The page's blocks in order, scored."""
-    root = _Element("", 0, 0.0, False, 0)
-    stack, made = [root], 0
+    elements = [_Element("", None)]
+    stack = [elements[0]]
+    open_at: dict[str, list[int]] = {}  # where in the stack the open elements of a tag and of any section are
     pieces: list[str] = []
     linked = 0
     in_link = 0
     raw: list[tuple[str, int, _Element, bool]] = []
-    has_main = False
-    heading = False
+    has_main = has_title = heading = False
 
     def close_block() -> None:
         nonlocal linked
@@ -150,13 +185,23 @@ def read_blocks(html: str) -> list[Block]:
         if in_link:
             linked += len(text)
 
-    at = 0
-    for match in _TOKEN.finditer(html):
+    def pop() -> None:
+        nonlocal in_link
+        element = stack.pop()
+        in_link -= element.tag == "a"
+        open_at[element.tag].pop()
+        if element.tag in _SECTIONS:
+            open_at["section of any tag"].pop()
+
+    at, is_open = 0, False
+    tags_end = html.rfind(">") + 1  # no tag ends behind it, so none is looked for there
+    for match in _TOKEN.finditer(html, 0, tags_end):
         if match.start() > at:
             add(html[at : match.start()])
         at = match.end()
         tag = match["tag"]
         if tag is None:
+            is_open = at == tags_end and _is_open(match)
             if match["raw"] is not None and match["raw"].lower() not in ("svg", "math"):
                 close_block()
             continue
@@ -165,13 +210,12 @@ def read_blocks(html: str) -> list[Block]:
             if tag in _BLOCK_TAGS:
                 close_block()
             heading = heading and not (tag[0] == "h" and tag[1:].isdigit())
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    in_link -= sum(element.tag == "a" for element in stack[depth:])
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in _SECTIONS and tag not in _SECTIONS:
-                    break  # an end tag does not reach out of the section it stands in
+            ended, section = open_at.get(tag), open_at.get("section of any tag")
+            # an end tag does not reach out of the section it stands in
+            if ended and (tag in _SECTIONS or not section or section[-1] < ended[-1]):
+                depth = ended[-1]
+                while len(stack) > depth:
+                    pop()
             continue
         if tag in _VOID_TAGS:
             if tag == "hr":
@@ -183,94 +227,159 @@ def read_blocks(html: str) -> list[Block]:
             close_block()
             # inline elements left open do not reach into the next block
             while len(stack) > 1 and (stack[-1].tag not in _BLOCK_TAGS or stack[-1].tag == "p"):
-                in_link -= stack[-1].tag == "a"
-                stack.pop()
+                pop()
             if stack[-1].tag in _ENDED_BY.get(tag, ()):
-                stack.pop()
+                pop()
             heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         parent, rest = stack[-1], match["rest"]
         if rest.endswith("/") and tag not in _BLOCK_TAGS:
             continue
-        made += 1
-        is_main = tag in ("article", "main")
-        has_main |= is_main
-        weight = parent.weight + (0.0 if tag in ("header",) and parent.inside else _CONTAINER_WEIGHT.get(tag, 0.0))
-        if rest and tag in _BLOCK_TAGS | {"span"} and tag not in ("html", "body"):
-            weight += _name_weight(rest, parent.inside)
+        own = 0.0 if tag == "header" and parent.inside else _CONTAINER_WEIGHT.get(tag, 0.0)
+        good = bad = False
+        if rest and (tag in _BLOCK_TAGS or tag == "span") and tag not in ("html", "body"):
+            good, bad = _names(rest)
+        if good and not bad:
+            own += _GOOD_NAME_WEIGHT
+        against = (_BAD_IN_ARTICLE_WEIGHT if parent.inside else _BAD_NAME_WEIGHT) if bad else 0.0
+        element = _Element(tag, parent, own, against, bad and (good or tag == "main"))
+        has_main |= tag in ("article", "main")
+        if tag == "main" or tag == "h1" and not has_title:
+            has_title |= tag == "h1"
+            for around in stack:
+                around.doubted = around.doubted or around.bad < 0
         in_link += tag == "a"
-        stack.append(
-            _Element(tag, made, weight, parent.inside or is_main, made if tag in _SECTIONS else parent.container, (*parent.path, made))
-        )
-    if at < len(html):
-        add(html[at:])
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in _SECTIONS:
+            open_at.setdefault("section of any tag", []).append(len(stack))
+        elements.append(element)
+        stack.append(element)
+    if not is_open:
+        add(html[at:tags_end] + _MARKUP_START.split(html[tags_end:], maxsplit=1)[0])
     close_block()
 
-    blocks = []
+    facts = []
     for text, linked, element, is_heading in raw:
         words = text.count(" ") + 1
-        score = _BIAS + element.weight + _PER_WORD * min(words, _MOST_WORDS) + _LINK_WEIGHT * min(1.0, linked / max(1, len(text)))
-        score += _SENTENCE_WEIGHT * (_SENTENCE_END.search(text) is not None) + _HEADING_WEIGHT * is_heading
+        link_share = min(1.0, linked / max(1, len(text)))
+        has_sentence = _SENTENCE_END.search(text) is not None
+        if has_sentence and link_share < 0.5:
+            element.words += words
+        facts.append((words, link_share, has_sentence))
+    _weigh(elements)
+    blocks = []
+    for (text, _, element, is_heading), (words, link_share, has_sentence) in zip(raw, facts):
+        score = _BIAS + element.weight + _PER_WORD * min(words, _MOST_WORDS) + _LINK_WEIGHT * link_share
+        score += _SENTENCE_WEIGHT * has_sentence + _HEADING_WEIGHT * is_heading
         score += _OUTSIDE_WEIGHT * (has_main and not element.inside)
-        blocks.append(Block(text, element.path, score))
+        blocks.append(Block(text, element, score))
     return blocks
 
 
-def _steps(left: tuple[int, ...], right: tuple[int, ...]) -> int:
-    """Steps in the tree between two elements."""
-    common = 0
-    for a, b in zip(left, right):
-        if a != b:
-            break
-        common += 1
-    return len(left) + len(right) - 2 * common
+# an edge over more steps is weaker than the flow can tell
+_MOST_STEPS = 64
+
+
+def _steps(left: _Element, right: _Element) -> int:
+    """Steps in the tree between two elements, at least ``_MOST_STEPS`` + 1 if there are more than these."""
+    steps = 0
+    while left is not right and steps <= _MOST_STEPS:
+        if left.depth >= right.depth:
+            left = left.parent
+        else:
+            right = right.parent
+        steps += 1
+    return steps
 
 
 def minimum_cut(content: list[float], boiler: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes lie on the source's side of a minimum cut.
 
     ``content[i]`` and ``boiler[i]`` are the capacities source to i and i to sink, edges run both ways.
-    Flow straight through each node is pushed first; shortest augmenting paths do the rest.
+    Flow straight through each node is pushed first.  A node whose remaining capacity is greater than all
+    its edges together lies on that terminal's side of every minimum cut: it becomes part of the
+    terminal, and its edges capacities of its neighbours.  The maximum flow settles the others.
     """
-    n = len(content)
-    direct = [min(a, b) for a, b in zip(content, boiler)]
-    supply = [a - d for a, d in zip(content, direct)]
-    demand = [b - d for b, d in zip(boiler, direct)]
-    near: list[list[int]] = [[] for _ in range(n)]
-    room: dict[tuple[int, int], float] = {}
+    near: list[dict[int, float]] = [{} for _ in content]
     for a, b, capacity in edges:
-        if (a, b) not in room:
-            near[a].append(b)
-            near[b].append(a)
-            room[a, b] = room[b, a] = 0.0
-        room[a, b] += capacity
-        room[b, a] += capacity
-    tiny = 1e-12
+        near[a][b] = near[a].get(b, 0.0) + capacity
+        near[b][a] = near[b].get(a, 0.0) + capacity
+    excess = [a - b for a, b in zip(content, boiler)]  # capacity left from the source, or to the sink if negative
+    side: list[bool | None] = [None] * len(content)
+    waiting = list(range(len(content)))
+    while waiting:
+        i = waiting.pop()
+        if side[i] is None and abs(excess[i]) > sum(near[i].values()) + _TINY:
+            side[i] = excess[i] > 0
+            for j, capacity in near[i].items():
+                del near[j][i]
+                excess[j] += capacity if side[i] else -capacity
+                waiting.append(j)
+            near[i] = {}
+    open_nodes = [i for i, settled in enumerate(side) if settled is None]
+    _push_flow(open_nodes, excess, near)
+    # what the source still reaches is on its side
+    reached = [i for i in open_nodes if excess[i] > _TINY]
+    for i in reached:
+        side[i] = True
+    for i in reached:  # grows while it is read
+        for j, room in near[i].items():
+            if not side[j] and room > _TINY:
+                side[j] = True
+                reached.append(j)
+    return [bool(settled) for settled in side]
+
+
+_TINY = 1e-12
+
+
+def _push_flow(nodes: list[int], excess: list[float], near: list[dict[int, float]]) -> None:
+    """Move as much as possible from positive to negative excess; ``near[i][j]`` is the room left from i to j.
+
+    In every round the nodes are numbered by their distance to the nearest negative excess, and paths that come one step
+    nearer at a time are filled until there are none; so the rounds are as many as there are lengths of paths.
+    """
     while True:
-        came = [-2] * n
-        queue = [i for i in range(n) if supply[i] > tiny]
-        for i in queue:
-            came[i] = -1
-        goal = -1
+        level = {i: 0 for i in nodes if excess[i] < -_TINY}
+        queue = list(level)
         for i in queue:  # grows while it is read
-            if demand[i] > tiny:
-                goal = i
-                break
             for j in near[i]:
-                if came[j] == -2 and room[i, j] > tiny:
-                    came[j] = i
+                if j not in level and near[j][i] > _TINY:
+                    level[j] = level[i] + 1
                     queue.append(j)
-        if goal < 0:
-            return [c != -2 for c in came]
-        path, i = [], goal
-        while came[i] >= 0:
-            path.append((came[i], i))
-            i = came[i]
-        flow = min([supply[i], demand[goal], *(room[step] for step in path)])
-        supply[i] -= flow
-        demand[goal] -= flow
-        for a, b in path:
-            room[a, b] -= flow
-            room[b, a] += flow
+        sources = [i for i in queue if excess[i] > _TINY]
+        if not sources:
+            return
+        # the reached nodes alone matter from here on: the others reach no negative excess any more
+        nodes = queue
+        left = {i: [j for j in near[i] if level.get(j, -1) == level[i] - 1] for i in queue}
+        for source in sources:
+            path = [source]
+            while path and excess[source] > _TINY:
+                i = path[-1]
+                if level[i] == 0:
+                    if excess[i] < -_TINY:
+                        flow = min(excess[source], -excess[i], *[near[a][b] for a, b in zip(path, path[1:])])
+                        excess[source] -= flow
+                        excess[i] += flow
+                        for a, b in zip(path, path[1:]):
+                            near[a][b] -= flow
+                            near[b][a] += flow
+                        # on from the first node whose way on is not full
+                        full = next((n for n, (a, b) in enumerate(zip(path, path[1:])) if near[a][b] <= _TINY), len(path) - 1)
+                        del path[full + 1 :]
+                        continue
+                    path.pop()
+                    if path:
+                        left[path[-1]].pop()
+                    continue
+                while left[i] and near[i][left[i][-1]] <= _TINY:
+                    left[i].pop()
+                if left[i]:
+                    path.append(left[i][-1])
+                    continue
+                path.pop()
+                if path:
+                    left[path[-1]].pop()
 
 
 def label_blocks(blocks: list[Block]) -> list[bool]:
@@ -278,14 +387,14 @@ def label_blocks(blocks: list[Block]) -> list[bool]:
     edges: dict[tuple[int, int], float] = {}
 
     def join(a: int, b: int) -> None:
-        strength = _SMOOTH * _DECAY ** max(0, _steps(blocks[a].path, blocks[b].path) - 1)
+        strength = _SMOOTH * _DECAY ** max(0, _steps(blocks[a].element, blocks[b].element) - 1)
         edges[a, b] = max(edges.get((a, b), 0.0), strength)
 
-    last_in: dict[int, int] = {}
+    last_in: dict[_Element | None, int] = {}
     for i, block in enumerate(blocks):
         if i:
             join(i - 1, i)
-        container = block.path[-2] if len(block.path) > 1 else 0
+        container = block.element.parent or block.element
         if container in last_in:
             join(last_in[container], i)
         last_in[container] = i

@@ -1,4 +1,5 @@
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -26,6 +27,44 @@ def test_odd_markup(html):
     assert isinstance(html_text.main_text(html), str)
 
 
+ARTICLE = "<h1>A title</h1>" + "".join(f"<p>Sentence {i} of the article has some words. Another one.</p>" for i in range(5))
+WRAPPERS = [
+    '<div class="content with-sidebar">', '<div class="post more">', '<div class="legal-content">', '<div class="story header">',
+    '<div class="has-sidebar">', '<div class="no-header">', '<main class="main sidebar-right">', '<div id="search">', '<body class="search">',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_wrappers_with_boilerplate_names_keep_the_article(wrapper):
+    tag = wrapper[1:].split()[0]
+    page = f'<html><div class="menu"><a href="x">Home</a></div>{wrapper}{ARTICLE}</{tag}><div class="footer">All rights are ours.</div></html>'
+    text = html_text.main_text(page)
+    assert text.startswith("A title\nSentence 0") and text.count("\n") == 5 and "rights" not in text and "Home" not in text
+
+
+def test_boilerplate_with_good_names_goes():
+    comments = "".join(f'<div class="comment-content"><p>Comment {i} is longer than the article. Yes.</p></div>' for i in range(30))
+    page = f'<div class="content">{ARTICLE}</div><div class="comments">{comments}</div><div class="sidebar content"><p>Read this too.</p></div>'
+    text = html_text.main_text(page)
+    assert "Sentence 4" in text and "Comment" not in text and "Read this" not in text
+
+
+LONG_PAGES = {
+    "blocks": "".join(f"<p>{'word ' * (i * 7 % 13 + 1)}</p><li><a href=x>{'w ' * (i * 5 % 6)}</a> {'z ' * (i * 3 % 9)}</li>" for i in range(40_000)),
+    "nested": "<div>t " * 100_000,
+    "inline": "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000,
+    "fronts": "<p>a.</p>" + "<a" * 300_000,
+    "items": "<ul>" * 1000 + "<li>x y" * 50_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG_PAGES)
+def test_long_pages_take_linear_time(name):
+    begun = time.process_time()
+    html_text.main_text(LONG_PAGES[name])
+    assert time.process_time() - begun < 30  # quadratic time takes many minutes
+
+
 def test_rows_of_pages(spark):
     frame = spark.createDataFrame([(1, "u", PAGE, "x"), (2, None, None, "x"), (None, "v", "", "x"), (1, "u", PAGE, "x")], "page_id bigint, url string, html string, text string")
     found = html_text.extract(frame).collect()
@@ -49,6 +88,19 @@ def test_minimum_cut_is_minimal(seed):
     assert cut_value(found, content, boiler, edges) == pytest.approx(least)
 
 
+def test_minimum_cut_of_long_chains():
+    # a chain is cut as cheaply as the best labelling found along it, block by block
+    random = np.random.default_rng(5)
+    for n, scale in ((3000, 0.3), (3000, 2.0), (500, 0.01)):
+        content, boiler = random.uniform(0, scale, n).tolist(), random.uniform(0, scale, n).tolist()
+        edges = [(i, i + 1, float(random.uniform(0, 1.0))) for i in range(n - 1)]
+        kept, gone = boiler[0], content[0]
+        for i in range(1, n):
+            edge = edges[i - 1][2]
+            kept, gone = min(kept, gone + edge) + boiler[i], min(gone, kept + edge) + content[i]
+        assert cut_value(html_text.minimum_cut(content, boiler, edges), content, boiler, edges) == pytest.approx(min(kept, gone))
+
+
 RULES = [Rule("allow", "good.example/"), Rule("block", "bad.example/"), Rule("block", "good.example/en/1"), Rule("allow", "x.good.example/en/1")]
 
 
