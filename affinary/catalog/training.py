@@ -25,6 +25,7 @@ from affinary.catalog.registry import query, rounded
 from affinary.functions.calendar import days_before, full_training_split
 from affinary.functions.columns import conform
 from affinary.functions.predicates import apply_filters
+from affinary.operators import ordering
 from affinary.operators.batching import (
     StoredBatches,
     add_batches,
@@ -35,7 +36,6 @@ from affinary.operators.batching import (
     shuffled,
     training_batch_key,
 )
-from affinary.operators.ordering import hash_running_sum
 from affinary.operators.pairs import resolve_labels, union_all
 from affinary.operators.sampling import (
     active_users,
@@ -207,7 +207,7 @@ def upsample_negatives(spark, sf_dir):
 @query(f"WITH {LOG_SQL} SELECT event_id, row_number() OVER (ORDER BY md5(concat_ws('|', 'shuffle', event_id)), event_id) - 1 AS position FROM log")
 def shuffled_positions(spark, sf_dir):
     log = logs.interactions(spark, sf_dir).select("event_id")
-    return hash_running_sum(log, [], ["event_id"], "shuffle")
+    return ordering.shuffled_positions(log, [], ["event_id"], "shuffle")
 
 
 @query(f"WITH {LOG_SQL} SELECT event_id, user_id, item_id FROM log")
@@ -315,7 +315,7 @@ def validation_batches(spark, sf_dir):
 def stored_training_set(spark, sf_dir):
     """The training set written by date, batch and label, and read back."""
     path = new_path(spark, "training")
-    write_training_set(_training(spark, sf_dir), path, ROLES, FEATURES)
+    write_training_set(_training(spark, sf_dir), path, ROLES, FEATURES, gather=False)
     stored = conform(spark.read.parquet(path), {"batch_idx": "int64"})
     sums = [F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("weighted_lr"), 4).alias("weight")]
     return stored.groupBy("filename_date", "batch_idx", "is_interacted").agg(*sums)
@@ -347,7 +347,7 @@ def batch_read_back(spark, sf_dir):
     features = ["item_size", "is_weekend"]
     batched = add_batches(stored_observations(spark, sf_dir), 50, training_batch_key(ROLES), ROLES)
     stored = StoredBatches(new_path(spark, "batches"), new_path(spark, "manifest"), ROLES)
-    write_training_set(batched, stored.path, ROLES, features)
+    write_training_set(batched, stored.path, ROLES, features, gather=False)
     stored.write_manifest(spark)
     values = vector_to_array("values")
     found = stored.read(spark, features, _READ_INDEXES)

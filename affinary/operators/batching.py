@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from affinary.functions.calendar import iso_week, iso_year
 from affinary.functions.columns import shuffle_hash
-from affinary.operators.ordering import hash_running_sum
+from affinary.operators.ordering import shuffled_positions
 from affinary.roles import Roles
 from affinary.sources.scan import scan
+from affinary.sources.scratch import Stage, materialize
 from affinary.sources.sinks import write_table
 
 
@@ -29,20 +30,22 @@ def add_batches(
     roles: Roles = Roles(),
     seed: str = "shuffle",
     mini_batches: int = 1,
+    stage: Stage = materialize,
 ) -> DataFrame:
     """Number the batches of each date: shuffled position divided by the batch size.
 
     All batches of a date are full but its last.  ``mini_batches`` divides the
-    size, for tables that are read in that many parts.
+    size, for tables that are read in that many parts.  The rows are read back from a table sorted by
+    date and batch, so a task that reads it holds whole runs of batches.
     """
     size = max(batch_size // mini_batches, 1)
-    placed = hash_running_sum(df, [roles.event_date], key, seed, out="_position")
+    placed = shuffled_positions(df, [roles.event_date], key, seed, "_position", stage)
     return placed.withColumn(roles.batch, F.expr(f"_position div {size}")).drop("_position")
 
 
 def fixed_batches(df: DataFrame, batch_size: int, key: Sequence[str], seed: str = "shuffle") -> DataFrame:
     """Number the batches of a whole table, all full but the last."""
-    placed = hash_running_sum(df, [], key, seed, out="_position")
+    placed = shuffled_positions(df, [], key, seed, "_position")
     return placed.withColumn("batch", F.expr(f"_position div {batch_size}")).drop("_position")
 
 
@@ -59,7 +62,7 @@ def batch_order(catalog: DataFrame, roles: Roles = Roles(), seed: str = "order",
     date = roles.event_date
     period = [iso_year(date).alias("_p1"), iso_week(date).alias("_p2")] if by_week else [F.col(date).alias("_p1"), F.lit(0).alias("_p2")]
     keyed = catalog.select("*", *period)
-    inside = hash_running_sum(keyed, ["_p1", "_p2"], [date, roles.batch], seed, out="_inside")
+    inside = shuffled_positions(keyed, ["_p1", "_p2"], [date, roles.batch], seed, "_inside")
     # one row per period
     sizes = keyed.groupBy("_p1", "_p2").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(F.lit(0)).orderBy("_p1", "_p2").rowsBetween(Window.unboundedPreceding, -1)

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from affinary.functions.columns import double_array
 from affinary.functions.vectors import discount
-from affinary.operators.ordering import VALUE_SLOTS, slotted_running_sum, value_slots
+from affinary.operators.ordering import place_in_order
 from affinary.roles import POSITIVE, Roles
 from affinary.sources.scratch import Stage, materialize
 
 # fixed values: the cut-offs every report uses; 9999 stands for all ranks
 CUTOFFS = (1, 5, 10, 20, 100, 200, 500, 1000)
 DURATION_CUTOFFS = (*CUTOFFS, 9999)
+SCORE_CHUNK_BITS = 12  # 4,096 distinct scores in a chunk
 
 
 @dataclass(frozen=True)
@@ -204,22 +205,33 @@ def auc(
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half, overall or per group.
 
-    Rows are combined per distinct score first, and that table is staged; the
-    negatives below each score come from slot totals plus a sum inside the slot,
-    so no task sorts all scores.
+    Rows are combined per distinct score, and that table is sorted by range partitions and staged.
+    Chunks of consecutive scores count their own wins; a chunk's positives also win against the
+    negatives of the earlier chunks.  So no task sums up all scores.
     """
     usable = df.filter(F.col(score).isNotNull() & ~F.isnan(score) & target.isNotNull())
     value = F.col(score).cast("double")
     ties = usable.groupBy(*by, value.alias("_s")).agg(
         F.sum(F.when(target, 1).otherwise(0)).alias("_pos"), F.sum(F.when(target, 0).otherwise(1)).alias("_neg")
     )
-    ties = stage(ties, "scores")
-    slotted = value_slots(ties, "_s", F.lit(""))
-    below = slotted_running_sum(slotted, by, VALUE_SLOTS, ["_s"], F.col("_neg"), "_below")
-    wins = F.sum(F.col("_pos").cast("double") * (F.col("_below") + F.col("_neg") / 2))
+    placed = place_in_order(ties, [*by, "_s"], stage, "_at")
+    # the partition is in the high bits, so a chunk lies in one
+    chunked = placed.withColumn("_chunk", F.shiftright("_at", SCORE_CHUNK_BITS))
+
+    def before(*part: str) -> Column:
+        window = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
+        return F.coalesce(F.sum("_neg").over(window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    wins = F.col("_pos").cast("double") * (F.col("_below") + F.col("_neg") / 2)
+    inside = chunked.withColumn("_below", before(*by, "_chunk")).groupBy(*by, "_chunk").agg(
+        F.sum(wins).alias("_wins"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"), F.min("_at").alias("_at")
+    )
+    # a row per chunk
+    across = inside.withColumn("_below", before(*by))
+    all_wins = F.sum(F.col("_wins") + F.col("_pos").cast("double") * F.col("_below"))
     pairs = F.sum("_pos").cast("double") * F.sum("_neg")
-    area = F.try_divide(wins, pairs).alias("auc")
-    return below.groupBy(*by).agg(area) if by else below.agg(area)
+    area = F.try_divide(all_wins, pairs).alias("auc")
+    return across.groupBy(*by).agg(area) if by else across.agg(area)
 
 
 def log_loss(df: DataFrame, logit: str, target: Column, weight: str | None = None) -> DataFrame:

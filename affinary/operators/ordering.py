@@ -1,9 +1,10 @@
 """Exact positions and running sums that never put one whole group into one task.
 
 A plain ``row_number`` over a group sorts that group in a single task, and one
-date, user or score may hold a third of all rows.  Here each group is cut into
-slots along its sort order.  Slot totals are counted first (map-side combined,
-a bounded number of rows per group), their running sums give each slot's
+date, user or score may hold a third of all rows.  Positions come from a sort of the
+whole table by range partitions, whose sizes give each partition's offset.  Running sums
+cut each group into slots along its sort order: slot totals are counted first (map-side
+combined, a bounded number of rows per group), their running sums give each slot's
 offset, and only rows of one slot are ever sorted together.
 
 There is one form for tables of every size.
@@ -11,18 +12,16 @@ There is one form for tables of every size.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinary.functions.columns import double_array, shuffle_hash
+from affinary.functions.columns import shuffle_hash
+from affinary.sources.scratch import Stage, materialize
 
 SLOT_DIGITS = 4  # leading hash digits per slot: 65,536 slots in a group
-VALUE_CUTS = 512  # quantiles of a value; each stretch between two has VALUE_PARTS parts
-VALUE_PARTS = 128
+PLACE_BITS = 33  # of a sorted row's number that are its place in its partition
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -84,37 +83,44 @@ def hash_running_sum(
     return placed.drop("__h", "__slot")
 
 
-VALUE_SLOTS = ["_bin", "_part", "_tie_slot"]
+def place_in_order(df: DataFrame, order: Sequence[str | Column], stage: Stage, out: str = "__at") -> DataFrame:
+    """The rows sorted by range partition and staged, with their partition in the high bits of ``out`` and their place in it below.
+
+    A number of the sorted table that rises with the order: one exchange, no cut points and no group in one task.
+    Rows that are equal in ``order`` lie in one partition, so ``order`` ends with what tells rows apart.
+    """
+    return stage(df.orderBy(*order).withColumn(out, F.monotonically_increasing_id()), "sorted")
 
 
-def value_slots(df: DataFrame, value: str, tie: Column, cuts: int = VALUE_CUTS) -> DataFrame:
-    """Add slot columns ``VALUE_SLOTS`` that rise with (value, tie).
+def sorted_positions(
+    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str = "position", stage: Stage = materialize
+) -> DataFrame:
+    """0-based position of every row in its group, from one range exchange.
 
-    Cut points are approximate quantiles, a bounded summary read by the driver.
-    A cut value gets a bin of its own, so a value that fills the table is
-    isolated, and that bin is divided further by its tie-break hash.  The stretch
-    between two cuts is divided into parts of equal width.
+    The rows of a group fill stretches of consecutive partitions; the first place and the size of each
+    stretch, a row per group and partition, give the offsets.  They are staged, so their true size is known when
+    they are joined to the sorted rows.
     """
-    levels = [step / cuts for step in range(cuts + 1)]
-    quantiles = df.approxQuantile(value, levels, 1 / (2 * cuts))
-    points = sorted({point for point in quantiles if math.isfinite(point)}) or [0.0]
-    splits = [float("-inf"), *points, float("inf")]
-    binned = Bucketizer(splits=splits, inputCol=value, outputCol="_at", handleInvalid="keep").transform(df)
-    # bin 0 starts at minus infinity and has no cut
-    bounds, at = double_array(points), F.col("_at").cast("int")
-    cut, following = F.get(bounds, at - 1), F.get(bounds, at)
-    binned = binned.withColumn("_bin", (F.col("_at") * 2 + F.when(F.col(value) == cut, 0).otherwise(1)).cast("int"))
-    on_cut = F.col("_bin") % 2 == 0
-    width = following - cut
-    part = F.least(F.floor((F.col(value) - cut) / width * VALUE_PARTS), F.lit(VALUE_PARTS - 1))
-    # wider stretches than this would overflow
-    part = F.when(~on_cut & (width > 0) & (width < 1e300), part).otherwise(F.lit(0))
-    slots = {"_part": part.cast("int"), "_tie_slot": F.when(on_cut, F.substring(tie, 1, SLOT_DIGITS)).otherwise(F.lit(""))}
-    return binned.withColumns(slots).drop("_at")
+    placed = place_in_order(df, [*group, *order], stage)
+    keyed = placed.withColumn("__key", F.struct(*group, F.shiftright("__at", PLACE_BITS).alias("__part")))
+    stretches = keyed.groupBy("__key").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    of_group = [F.col(f"__key.{name}") for name in group] or [F.lit(0)]
+    before = _earlier(Window.partitionBy(*of_group).orderBy("__key.__part"))
+    shift = F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")
+    offsets = stage(stretches.select("__key", shift.alias("__shift")), "offsets")
+    return keyed.join(offsets, "__key").withColumn(out, F.col("__at") + F.col("__shift")).drop("__at", "__key", "__shift")
+
+
+def shuffled_positions(
+    df: DataFrame, group: Sequence[str], key: Sequence[str], seed: str, out: str = "position", stage: Stage = materialize
+) -> DataFrame:
+    """0-based position of every row of a group in shuffled order; ``key`` identifies a row."""
+    hashed = df.withColumn("__h", shuffle_hash(seed, *key))
+    return sorted_positions(hashed, group, ["__h", *key], out, stage).drop("__h")
 
 
 def value_positions(
-    df: DataFrame, value: str, key: Sequence[str], seed: str = "tie", out: str = "position"
+    df: DataFrame, value: str, key: Sequence[str], seed: str = "tie", out: str = "position", stage: Stage = materialize
 ) -> DataFrame:
     """1-based position of every row, largest ``value`` first, ties in hash order of ``key``.
 
@@ -122,9 +128,8 @@ def value_positions(
     """
     ranked = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
     ranked = ranked.withColumns({"_neg": -F.col(value).cast("double"), "_h": shuffle_hash(seed, *key)})
-    slotted = value_slots(ranked, "_neg", F.col("_h"))
-    placed = slotted_running_sum(slotted, [], VALUE_SLOTS, ["_neg", "_h", *key], F.lit(1), out)
-    return placed.withColumn(out, F.col(out) + 1).drop("_neg", "_h", *VALUE_SLOTS)
+    placed = sorted_positions(ranked, [], ["_neg", "_h", *key], out, stage)
+    return placed.withColumn(out, F.col(out) + 1).drop("_neg", "_h")
 
 
 def top_per_group(

@@ -39,9 +39,9 @@ def training_set(
     """Filter, settle labels, resample negatives, shuffle into batches, drop incomplete rows.
 
     With ``seen`` (the pairs trained on) this is the validation side: those pairs
-    are dropped and no synthetic negatives are added.  Settled and resampled rows
-    are written to the shared folder once each, since counting and numbering them
-    takes several passes; the later passes read only the columns they need.
+    are dropped and no synthetic negatives are added.  Settled rows are written to the
+    shared folder once, since resampling takes several passes, and once more in the order of
+    their batches, the only exchange that carries resampled rows.
     """
     roles, plan = spec.roles, spec.resampling
     rows = window_rows(log, filters, spec)
@@ -63,6 +63,5 @@ def training_set(
         settled = stage(settled, "settled")
         thinned = thin_negatives(settled, plan, key, roles, stage)
         settled = add_synthetic_negatives(thinned, pool, plan, columns, roles, stage)
-    settled = stage(settled, "resampled")
-    batched = add_batches(settled, spec.batch_size, key, roles, mini_batches=mini_batches)
+    batched = add_batches(settled, spec.batch_size, key, roles, mini_batches=mini_batches, stage=stage)
     return batched.select(*training_columns(roles, features)).dropna("any")

@@ -45,7 +45,9 @@ def training_columns(roles: Roles, features: Sequence[str]) -> list[str]:
     return [roles.event_date, roles.batch, *features, roles.weight, roles.label]
 
 
-def write_training_set(df: DataFrame, path: str, roles: Roles, features: Sequence[str], mode: str = "replace_partitions") -> None:
+def write_training_set(
+    df: DataFrame, path: str, roles: Roles, features: Sequence[str], mode: str = "replace_partitions", *, gather: bool = True
+) -> None:
     """Write complete rows only, one directory per date, batch and label.
 
     Writing the same set again replaces its directories; use "overwrite" when a whole
@@ -53,11 +55,14 @@ def write_training_set(df: DataFrame, path: str, roles: Roles, features: Sequenc
 
     Rows are brought together by date and batch first, so a directory gets one
     file, not one per task; a batch has a fixed number of rows, so no directory
-    and no task of this shuffle is large.
+    and no task of this shuffle is large.  Rows that ``add_batches`` numbered lie in the order
+    of their batches already: without ``gather`` they are written by the tasks that read them, with a second
+    file only where two tasks share a batch.
     """
     complete = df.select(*training_columns(roles, features)).dropna("any")
-    gathered = complete.repartition(roles.event_date, roles.batch)
-    write_table(gathered, path, [roles.event_date, roles.batch, roles.label], mode)
+    if gather:
+        complete = complete.repartition(roles.event_date, roles.batch)
+    write_table(complete, path, [roles.event_date, roles.batch, roles.label], mode)
 
 
 def stamp(df: DataFrame, evaluate_time: str, model_name: str, data_type: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on small hand-made or generated tables, checked against plain Python."""
 
+import itertools
 import math
 import random
 from collections import Counter, defaultdict
@@ -99,9 +100,13 @@ def skewed(spark):
     return data, spark.createDataFrame(data, "event_id int, g string, v double")
 
 
-def test_hash_positions_are_whole_and_ordered(skewed):
+NUMBERINGS = pytest.mark.parametrize("number", [ordering.hash_running_sum, ordering.shuffled_positions])
+
+
+@NUMBERINGS
+def test_hash_positions_are_whole_and_ordered(skewed, number):
     data, df = skewed
-    placed = ordering.hash_running_sum(df, ["g"], ["event_id"], "s").withColumn("h", shuffle_hash("s", "event_id"))
+    placed = number(df, ["g"], ["event_id"], "s").withColumn("h", shuffle_hash("s", "event_id"))
     groups = defaultdict(list)
     for row in placed.collect():
         groups[row.g].append((row.position, row.h))
@@ -111,24 +116,68 @@ def test_hash_positions_are_whole_and_ordered(skewed):
         assert [h for _, h in sorted(members)] == sorted(h for _, h in members)
 
 
-def test_positions_do_not_depend_on_partitions(spark, skewed):
+@NUMBERINGS
+def test_positions_do_not_depend_on_partitions(spark, skewed, number):
     _, df = skewed
-    first = {r.event_id: r.position for r in ordering.hash_running_sum(df, ["g"], ["event_id"], "s").collect()}
+    first = {r.event_id: r.position for r in number(df, ["g"], ["event_id"], "s").collect()}
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "13")
     try:
-        again = ordering.hash_running_sum(df.repartition(9), ["g"], ["event_id"], "s")
+        again = number(df.repartition(9), ["g"], ["event_id"], "s")
         assert {r.event_id: r.position for r in again.collect()} == first
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_null_groups_keep_their_rows(spark):
+@NUMBERINGS
+def test_null_groups_keep_their_rows(spark, number):
     df = spark.createDataFrame([(n, None if n % 2 else "a") for n in range(10)], "event_id int, g string")
-    placed = ordering.hash_running_sum(df, ["g"], ["event_id"], "s").collect()
+    placed = number(df, ["g"], ["event_id"], "s").collect()
     assert sorted(r.position for r in placed if r.g is None) == list(range(5))
 
 
+def test_batches_come_from_one_exchange(spark, labelled, tmp_path):
+    """Numbered rows lie in the order of their batches, so neither reading nor writing them shuffles them again."""
+    _, df = labelled
+    batched = add_batches(df.drop("batch_idx").repartition(7), 100, training_batch_key(ROLES), ROLES)
+    plan = batched._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    path = tmp_path / "set"
+    write_training_set(batched, str(path), ROLES, ["duration"], gather=False)
+    whole = df.select("filename_date", "duration", "weighted_lr", "is_interacted").dropna("any")
+    stored = spark.read.parquet(str(path))
+    assert stored.count() == whole.count()
+    n_directories = stored.select("filename_date", "batch_idx", "is_interacted").distinct().count()
+    assert n_directories <= len(list(path.rglob("*.parquet"))) <= 2 * n_directories
+
+
+def test_positions_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "event_id int, g string, v double")
+    assert ordering.shuffled_positions(df, ["g"], ["event_id"], "s").collect() == []
+    assert ordering.value_positions(df, "v", ["event_id"]).collect() == []
+
+
+def test_auc_over_many_chunks(spark):
+    """Scores in more chunks than one, most of them distinct, against ranks; two groups, one of them null."""
+    rng = random.Random(3)
+    data = [("a" if n % 3 else None, round(rng.random(), 5), rng.random() < 0.3) for n in range(30_000)]
+    df = spark.createDataFrame(data, "g string, s double, t boolean")
+    from affinary.operators.metrics import auc
+
+    def plain(members):
+        ordered, wins, below = sorted(members), 0.0, 0
+        for _, tied in itertools.groupby(ordered, key=lambda m: m[0]):
+            flags = [t for _, t in tied]
+            negatives = len(flags) - sum(flags)
+            wins += sum(flags) * (below + negatives / 2)
+            below += negatives
+        return wins / (below * (len(members) - below))
+
+    found = {r.g: r.auc for r in auc(df, "s", F.col("t"), ["g"]).collect()}
+    assert found == pytest.approx({g: plain([(s, t) for h, s, t in data if h == g]) for g in ("a", None)})
+    assert auc(df, "s", F.col("t")).first()[0] == pytest.approx(plain([(s, t) for _, s, t in data]))
+
+
 def test_value_positions_with_heavy_ties(skewed):
     data, df = skewed
     placed = ordering.value_positions(df, "v", ["event_id"])
