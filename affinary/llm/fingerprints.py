@@ -1,12 +1,13 @@
 """Document fingerprints by order min-hash, in DataFrame operations only.
 
-A text is a sequence of words (runs without white space, cut after ``LONGEST_WORD``
-characters).  Its k-mers are ``k`` words in a row; the n-th occurrence of a k-mer is an
-element of its own.  Every element is hashed once; the hash deals it to one of
-``tuples * per_tuple`` parts and ranks it there.  A tuple takes the smallest element of each
-of its parts, puts them in the order of the text and hashes them in that order.  So two
-texts share a tuple only if they share its elements and have them in the same order: the
-share of equal tuples falls with the edit distance, also when words are merely moved.
+A text is a sequence of words: runs without white space, cut after ``LONGEST_WORD``
+characters, and single characters of scripts that are written without spaces.  Its k-mers are ``k``
+words in a row; the n-th occurrence of a k-mer is an element of its own.  Every element has one
+rank under each of ``tuples`` independent hash functions.  Tuple j takes the elements of least rank
+under functions j, j + 1, ... (``per_tuple`` of them, the last function followed by the first), puts them in the
+order of the text and hashes them in that order.  So two texts share a tuple only if they share its
+elements and have them in the same order: the share of equal tuples falls with the edit distance, also when
+words are merely moved, and for short texts as for long ones.
 
 A text with fewer than ``k`` words is one k-mer.  A text without words has no tuples; the
 likeness of two such texts is 1, of one of them and another text 0.
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from affinary.llm.order import ordered_block
 
 LONGEST_WORD = 24
+# fixed values: Thai and Lao, Myanmar, Khmer, Chinese and Japanese
+_UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
 _PLACE_BITS = 27  # of a packed (rank, place in the text)
 _MOST_BLOCKS = 1 << 16  # so that the list of first rows, which is broadcast, stays below 2 MB
 _ROWS_PER_BLOCK = 128
@@ -36,7 +39,8 @@ def kmer_hashes(words: str, k: int) -> Column:
 
 
 def split_words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r"\S{1,%d}" % LONGEST_WORD), F.lit(0))
+    pattern = rf"[^\s{_UNSPACED}]{{1,{LONGEST_WORD}}}|[{_UNSPACED}]"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -51,26 +55,31 @@ def likeness(left: Column, right: Column) -> Column:
 
 
 def order_min_hash(elements: DataFrame, keys: list[str], tuples: int, per_tuple: int) -> DataFrame:
-    """(keys, entry): one row per tuple; ``elements`` has the keys, ``kmer`` and ``place``."""
+    """(keys, entries): the tuples of every text; ``elements`` has the keys, ``kmer`` and ``place``."""
     # the k-mer comes first, so that the sort compares mixed bits and rarely more
     occurrence = F.row_number().over(Window.partitionBy("kmer", *keys).orderBy("place"))
-    mixed = elements.withColumn("occurrence", occurrence).select(
-        *keys, "place", F.xxhash64("kmer", "occurrence").alias("hash"), F.col("kmer").isNull().alias("is_none")
-    )
-    part = F.pmod("hash", F.lit(tuples * per_tuple)).cast("int")
     last_place = (1 << _PLACE_BITS) - 1
-    packed = F.shiftleft(F.shiftrightunsigned("hash", _PLACE_BITS + 1), _PLACE_BITS).bitwiseOR(
-        F.least(F.col("place"), F.lit(last_place)).cast("bigint")
-    )
-    dealt = mixed.filter("not is_none").select(*keys, part.alias("part"), packed.alias("packed"))
-    least = [F.min(F.when(F.col("part") % per_tuple == j, F.col("packed"))).alias(f"m{j}") for j in range(per_tuple)]
-    chosen = dealt.groupBy(*keys, F.floor(F.col("part") / per_tuple).cast("bigint").alias("tuple")).agg(*least)
-    members = F.array_compact(
-        F.array(*[F.when(F.col(f"m{j}").isNotNull(), F.struct(F.col(f"m{j}").bitwiseAND(last_place), F.shiftright(f"m{j}", _PLACE_BITS))) for j in range(per_tuple)])
+    mixed = elements.withColumn("occurrence", occurrence).select(
+        *keys, F.least("place", F.lit(last_place)).cast("bigint").alias("place"), F.xxhash64("kmer", "occurrence").alias("hash")
     )
-    in_text_order = F.transform(F.array_sort(members), lambda m: m["col2"])
-    value = F.xxhash64(in_text_order).bitwiseAND((1 << 32) - 1)
-    return chosen.select(*keys, F.shiftleft("tuple", 32).bitwiseOR(value).alias("entry"))
+
+    def packed(j: int) -> Column:
+        """(rank under function j, place) in one number."""
+        rank = F.shiftrightunsigned(F.xxhash64(F.col("hash").bitwiseXOR(F.lit(j).cast("bigint"))), _PLACE_BITS + 1)
+        return F.shiftleft(rank, _PLACE_BITS).bitwiseOR(F.col("place"))
+
+    least = mixed.groupBy(*keys).agg(*[F.min(packed(j)).alias(f"m{j}") for j in range(tuples)])
+    members = [
+        F.struct(F.col(f"m{j}").bitwiseAND(last_place).alias("place"), F.shiftright(f"m{j}", _PLACE_BITS).alias("rank"))
+        for j in range(tuples)
+    ]
+
+    def entry(j: int) -> Column:
+        in_text_order = F.array_sort(F.array(*[members[(j + i) % tuples] for i in range(per_tuple)]))
+        value = F.xxhash64(F.transform(in_text_order, lambda m: m["rank"])).bitwiseAND((1 << 32) - 1)
+        return F.lit(j << 32).cast("bigint").bitwiseOR(value)
+
+    return least.select(*keys, F.array(*[entry(j) for j in range(tuples)]).alias("entries"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -124,8 +133,8 @@ def edited_fingerprints(docs: DataFrame, k: int = 3, tuples: int = 64, per_tuple
     entries = order_min_hash(elements, ["block", "id"], tuples, per_tuple)
     own, other = F.col("id") % 2 == 0, F.col("id") % 2 == 1
     prints = entries.groupBy("block", F.floor(F.col("id") / 2).cast("int").alias("row")).agg(
-        F.array_sort(F.collect_list(F.when(own, F.col("entry")))).alias("own"),
-        F.array_sort(F.collect_list(F.when(other, F.col("entry")))).alias("other"),
+        F.first(F.when(own, F.col("entries")), ignorenulls=True).alias("own"),
+        F.first(F.when(other, F.col("entries")), ignorenulls=True).alias("other"),
     )
     about = texts.select(
         "block",
