@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,12 +77,15 @@ def host_edges(pages: DataFrame, source: str = "host") -> DataFrame:
     return links.filter("src != '' and dst != '' and src != dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, follow: float, steps: int, tolerance: float) -> DataFrame:
-    """(host, trust, distrust) after at most ``steps`` rounds.
+def spread(seeds: DataFrame, edges: DataFrame, follow: float, steps: int | None, tolerance: float) -> DataFrame:
+    """(host, trust, distrust) after ``steps`` rounds, or as many as it takes until no score moves by ``tolerance``.
 
     ``seeds``: (host, trust_seed, distrust_seed).  Every few rounds the scores are written and
-    compared with the ones before, which also cuts the lineage.
+    compared with the ones before, which also cuts the lineage.  A round shrinks the sum of all changes to
+    ``follow`` of it, so the scores settle on cycles, too.
     """
+    if not 0 <= follow < 1 or (steps is None and tolerance <= 0):
+        raise ValueError("scores settle with follow below 1 and a tolerance above 0 only")
     out = edges.groupBy("src").agg(F.sum("links").alias("all_out"))
     into = edges.groupBy("dst").agg(F.sum("links").alias("all_in"))
     weighted = edges.join(out, "src").join(into, "dst")
@@ -98,7 +102,7 @@ def spread(seeds: DataFrame, edges: DataFrame, follow: float, steps: int, tolera
         return scores
     together = 4
     before = scores
-    for step in range(steps):
+    for step in count() if steps is None else range(steps):
         sent = weighted.join(scores.select(F.col("host").alias("src"), "trust"), "src").select(
             F.col("dst").alias("host"), (F.col("trust") * F.col("down")).alias("trust"), F.lit(0.0).alias("distrust")
         )
@@ -111,7 +115,7 @@ def spread(seeds: DataFrame, edges: DataFrame, follow: float, steps: int, tolera
             (keep * F.col("trust_seed") + follow * F.coalesce("t", F.lit(0.0))).alias("trust"),
             (keep * F.col("distrust_seed") + follow * F.coalesce("d", F.lit(0.0))).alias("distrust"),
         )
-        if step % together == together - 1 or step == steps - 1:
+        if step % together == together - 1 or (steps is not None and step == steps - 1):
             scores = materialize(scores, "host-scores")
             moved = F.abs(F.col("trust") - F.col("t")) + F.abs(F.col("distrust") - F.col("d"))
             change = scores.join(before.toDF("host", "t", "d"), "host").agg(F.max(moved)).first()[0]
@@ -125,7 +129,7 @@ def judge(
     pages: DataFrame,
     rules: Sequence[Rule],
     follow: float = 0.85,
-    steps: int = 32,
+    steps: int | None = None,
     tolerance: float = 1e-6,
     margin: float = 2.0,
 ) -> DataFrame:
