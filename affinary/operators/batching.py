@@ -51,10 +51,13 @@ def fixed_batches(df: DataFrame, batch_size: int, key: Sequence[str], seed: str
 
 def batch_catalog(df: DataFrame, roles: Roles = Roles(), *, with_files: bool = False) -> DataFrame:
     """Rows per (date, batch); with the files holding them when read from disk."""
-    counts = [F.count(F.lit(1)).alias("n_rows")]
-    if with_files:
-        counts.append(F.sort_array(F.collect_set("_metadata.file_path")).alias("files"))
-    return df.groupBy(roles.event_date, roles.batch).agg(*counts)
+    batch = [roles.event_date, roles.batch]
+    if not with_files:
+        return df.groupBy(*batch).agg(F.count(F.lit(1)).alias("n_rows"))
+    # counted per file first: names are collected from a row per batch and file, not from every row
+    per_file = df.groupBy(*batch, F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    files = F.sort_array(F.collect_list("_file")).alias("files")
+    return per_file.groupBy(*batch).agg(F.sum("_n").alias("n_rows"), files)
 
 
 def batch_order(catalog: DataFrame, roles: Roles = Roles(), seed: str = "order", *, by_week: bool = False) -> DataFrame:
@@ -108,12 +111,15 @@ class StoredBatches:
     def read(self, spark: SparkSession, features: Sequence[str], indexes: Sequence[int]) -> DataFrame:
         """(read_index, values, label, weight) of the batches with these places in the reading order.
 
-        Reads their files and no others; the driver holds the entries of the asked batches.
+        Reads their files and no others, and of files that hold many batches the row groups the asked
+        ones may lie in; the driver holds the entries of the asked batches.
         """
         date, batch = self.roles.event_date, self.roles.batch
         picked = self.entries(spark).filter(F.col("read_index").isin(*indexes)).select(date, batch, "read_index", "files").collect()
         files = [name for row in picked for name in row["files"]]
         rows = spark.read.option("basePath", self.path).parquet(*files) if files else spark.read.parquet(self.path).limit(0)
+        # in a set without a directory per batch this is pushed to the row groups
+        rows = rows.filter(F.col(batch).isin(*{row[batch] for row in picked}))
         places = spark.createDataFrame([tuple(row)[:3] for row in picked], "_date bigint, _batch bigint, read_index bigint")
         # a row per asked batch
         told = rows.join(F.broadcast(places), (F.col(date) == F.col("_date")) & (F.col(batch) == F.col("_batch")))

@@ -46,7 +46,14 @@ def training_columns(roles: Roles, features: Sequence[str]) -> list[str]:
 
 
 def write_training_set(
-    df: DataFrame, path: str, roles: Roles, features: Sequence[str], mode: str = "replace_partitions", *, gather: bool = True
+    df: DataFrame,
+    path: str,
+    roles: Roles,
+    features: Sequence[str],
+    mode: str = "replace_partitions",
+    *,
+    gather: bool = True,
+    batch_directories: bool = True,
 ) -> None:
     """Write complete rows only, one directory per date, batch and label.
 
@@ -58,11 +65,23 @@ def write_training_set(
     and no task of this shuffle is large.  Rows that ``add_batches`` numbered lie in the order
     of their batches already: without ``gather`` they are written by the tasks that read them, with a second
     file only where two tasks share a batch.
+
+    A directory per batch is a file per batch and label, whose number grows with the rows.  Without
+    ``batch_directories`` there is a directory per date and label, and the batch is a column by which its files are
+    sorted: the files grow with the tasks and days only, and row-group bounds find a batch.
     """
-    complete = df.select(*training_columns(roles, features)).dropna("any")
-    if gather:
-        complete = complete.repartition(roles.event_date, roles.batch)
-    write_table(complete, path, [roles.event_date, roles.batch, roles.label], mode)
+    columns = training_columns(roles, features)
+    directories = [roles.event_date, roles.batch, roles.label]
+    complete = df.select(*columns).dropna("any")
+    if batch_directories:
+        if gather:
+            complete = complete.repartition(roles.event_date, roles.batch)
+    else:
+        directories.remove(roles.batch)
+        if gather:
+            complete = complete.repartitionByRange(roles.event_date, roles.batch)
+        complete = complete.sortWithinPartitions(*directories, roles.batch)
+    write_table(complete, path, directories, mode)
 
 
 def stamp(df: DataFrame, evaluate_time: str, model_name: str, data_type: str) -> DataFrame:

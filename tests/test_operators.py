@@ -726,3 +726,28 @@ def test_stored_batches_read_only_their_files(spark):
     assert stored.read(spark, ["x"], [999]).count() == 0
     days = [row.filename_date for _, row in sorted(manifest.items())]
     assert days == sorted(days)
+
+
+def test_stored_batches_without_a_directory_each(spark, tmp_path):
+    """Files do not grow with the batches; each batch is read back whole, from its own files."""
+    from affinary.operators.batching import StoredBatches
+
+    data = [(n, n % 40, n % 30, 20240101 + n % 5, 1 + n % 2, float(n), 1.0) for n in range(10_000)]
+    df = spark.createDataFrame(data, "event_id int, user_id int, item_id int, filename_date int, is_interacted int, x double, weighted_lr double")
+    batched = add_batches(df.repartition(3), 10, training_batch_key(ROLES), ROLES)
+    for gather in (False, True):
+        stored = StoredBatches(str(tmp_path / f"set{gather}"), str(tmp_path / f"manifest{gather}"), ROLES)
+        write_training_set(batched, stored.path, ROLES, ["x"], gather=gather, batch_directories=False)
+        # 5 days, 2 labels, and the days that two of at most 8 tasks share
+        assert len(spark.read.parquet(stored.path).inputFiles()) <= 2 * (5 + 8)
+        manifest = {row.read_index: row for row in stored.write_manifest(spark).collect()}
+        assert sorted(manifest) == list(range(1000)) and {row.n_rows for row in manifest.values()} == {10}
+        members = {}
+        for row in batched.select("filename_date", "batch_idx", "x").collect():
+            members.setdefault((row.filename_date, row.batch_idx), set()).add(row.x)
+        found = stored.read(spark, ["x"], [3, 640, 5000])
+        assert "In(batch_idx" in found._jdf.queryExecution().executedPlan().toString()
+        for place in (3, 640):
+            asked = {row["values"][0] for row in found.filter(F.col("read_index") == place).collect()}
+            assert asked == members[manifest[place].filename_date, manifest[place].batch_idx]
+        assert stored.read(spark, ["x"], [5000]).count() == 0
