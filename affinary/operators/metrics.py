@@ -40,7 +40,7 @@ class Metric:
     """``per_user`` names the partial sums of one user, ``overall`` the scores made of them.
 
     Each score is averaged over users, unless ``per_row_mean`` says that
-    ``overall`` already aggregates the partials itself.
+    ``overall`` already aggregates the partials itself.  ``reads`` names the inputs ``per_user`` is made of.
     """
 
     name: str
@@ -49,6 +49,7 @@ class Metric:
     per_user: Callable[[Inputs], Mapping[str, Column]]
     overall: Callable[[], Mapping[str, Column]]
     per_row_mean: bool = False
+    reads: tuple[str, ...] = ("label", "prediction", "rank")
 
 
 _registry: dict[str, Metric] = {}
@@ -93,6 +94,7 @@ register(
         True,
         lambda inputs: {**_hits(inputs), **_relevant(inputs)},
         lambda: {f"recall@{k}": F.try_divide(F.col(f"hits_{k}"), F.col("n_ranked")) for k in CUTOFFS},
+        reads=("rank",),
     )
 )
 register(
@@ -102,6 +104,7 @@ register(
         True,
         _hits,
         lambda: {f"precision@{k}": F.col(f"hits_{k}") / k for k in CUTOFFS},
+        reads=("rank",),
     )
 )
 register(
@@ -116,6 +119,7 @@ register(
         lambda: {
             f"ndcg@{k}": F.try_divide(F.col(f"gain_{k}"), ideal_gain(F.col("n_ranked"), k)) for k in CUTOFFS
         },
+        reads=("rank",),
     )
 )
 register(
@@ -129,6 +133,7 @@ register(
         },
         lambda: {"rmse": F.sqrt(F.try_divide(F.sum("squared_error"), F.sum("n_errors")))},
         per_row_mean=True,
+        reads=("label", "prediction"),
     )
 )
 

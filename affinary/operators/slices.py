@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinary.operators.metrics import inputs_for, metric_named, partial_columns, score_columns
+from affinary.operators.metrics import Inputs, metric_named, partial_columns, score_columns
 from affinary.roles import Roles
+from affinary.sources.scratch import Stage, materialize
 
 OVERALL = "OVERALL"
+TASK_ROWS = 1 << 19  # rows of slices in a task, at most twice as many wide sums are held at a time
+HEAVY_ROWS = 1 << 20  # rows of a user that are summed up where they lie
 
 
 def slice_report(
@@ -21,11 +24,14 @@ def slice_report(
     separate_by: str | None = None,
     prediction: str = "prediction",
     rank: str = "prediction_rank",
+    stage: Stage = materialize,
 ) -> DataFrame:
-    """Scores per (feature, value), and an OVERALL row per feature, from one pass over the data.
+    """Scores per (feature, value), and an OVERALL row per feature.
 
-    Grouping sets combine rows to users inside each slice map-side; a second
-    aggregate turns users into scores.  Rows with a null slice value count in
+    A user's sums are much wider than a row and there is a set of them per slice.  So the narrow rows are staged
+    and brought together by user, as many parts as there are rows for, and listed under their slices and
+    summed up there; the sums are never shuffled, a second aggregate turns them into scores.  Users with very many rows
+    are not brought together: their sums are combined before the shuffle.  Rows with a null slice value count in
     OVERALL only.  With ``separate_by`` the whole report repeats per its value.
     Rows come out worst first by the first metric.
     """
@@ -34,28 +40,39 @@ def slice_report(
     if separate_by:
         df = df.filter(F.col(separate_by).isNotNull())
     user = roles.user_id
+    sources = {"label": roles.label, "prediction": prediction, "rank": rank}
+    reads = {name for metric in chosen for name in metric.reads if sources[name] in df.columns}
     slices = [f"_f{i}" for i in range(len(features))]
-    df = df.withColumns({alias: F.col(name).cast("string") for alias, name in zip(slices, features)})
-    keys = [*apart, user, *slices]
-    sets = [[*apart, user, alias] for alias in slices] + [[*apart, user]]
-    users = df.groupingSets([[F.col(name) for name in s] for s in sets], *[F.col(name) for name in keys]).agg(
-        F.grouping_id(*[F.col(name) for name in keys]).alias("_set"),
-        *partial_columns(chosen, inputs_for(roles, prediction, rank)),
+    rows = df.select(
+        *apart,
+        user,
+        *[F.col(name).cast("string").alias(alias) for alias, name in zip(slices, features)],
+        *[F.col(sources[name]).alias(f"_{name}") for name in sorted(reads)],
     )
-    # grouping_id has a bit per key, set where the key was rolled away
-    everything = (1 << len(slices)) - 1
-    feature, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for place, (alias, name) in enumerate(zip(slices, features)):
-        mine = F.col("_set") == everything - (1 << (len(slices) - 1 - place))
-        feature = F.when(mine, F.lit(name)).otherwise(feature)
-        value = F.when(mine, F.col(alias)).otherwise(value)
-    overall = F.col("_set") == everything
-    users = users.withColumns({"feature": feature, "value": F.when(overall, F.lit(OVERALL)).otherwise(value), "_overall": overall})
-    users = users.filter(F.col("value").isNotNull())
-    scored = users.groupBy(*apart, "feature", "value", "_overall").agg(*score_columns(chosen, user))
+    rows = stage(rows, "slice_rows")
+    n_parts = max(1, -(-rows.count() * (len(slices) + 1) // TASK_ROWS))
+
+    # every user's rows are counted; a row per user of more than HEAVY_ROWS is left
+    heavy = rows.groupBy(F.col(user).alias("_user")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HEAVY_ROWS)
+    heavy = F.broadcast(stage(heavy.select("_user"), "heavy_users"))
+    is_heavy = F.col(user).eqNullSafe(F.col("_user"))
+
+    places = [F.struct(F.lit(at).alias("_at"), F.col(alias).alias("_value")) for at, alias in enumerate(slices)]
+    places.append(F.struct(F.lit(len(slices)).alias("_at"), F.lit(OVERALL).alias("_value")))
+    inputs = Inputs(F.col("_label"), F.col("_prediction"), F.col("_rank"))
+
+    def summed(part: DataFrame) -> DataFrame:
+        listed = part.select("*", F.inline(F.array(*places))).filter(F.col("_value").isNotNull())
+        return listed.groupBy(*apart, user, "_at", "_value").agg(*partial_columns(chosen, inputs))
+
+    users = summed(rows.join(heavy, is_heavy, "left_anti").repartition(n_parts, user))
+    users = users.unionByName(summed(rows.join(heavy, is_heavy, "left_semi")))
+    scored = users.groupBy(*apart, "_at", "_value").agg(*score_columns(chosen, user))
     # the overall row is computed once and listed under every feature
-    listed = F.when(F.col("_overall"), F.array(*[F.lit(name) for name in features])).otherwise(F.array("feature"))
-    scored = scored.withColumn("feature", F.explode(listed)).drop("_overall")
+    names = F.array(*[F.lit(name) for name in features])
+    listed = F.when(F.col("_at") == len(slices), names).otherwise(F.array(F.get(names, F.col("_at"))))
+    scores = [F.col(f"`{name}`") for name in scored.columns if name not in (*apart, "_at", "_value")]
+    scored = scored.select(*apart, F.explode(listed).alias("feature"), F.col("_value").alias("value"), *scores)
     return scored.orderBy(*apart, "feature", *report_order(metrics))
 
 
