@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 from collections import Counter, defaultdict
 from dataclasses import replace
 from math import log2
@@ -760,3 +761,40 @@ def test_stored_training_set_has_no_file_per_batch(spark, tmp_path, monkeypatch)
     found = QUERIES["stored_training_set"](spark, "/root/testdata/sf0.01")
     days = found.select("filename_date", "is_interacted").distinct().count()
     assert len(list((tmp_path / "training").rglob("*.parquet"))) <= days + 2 * 8 < found.count()
+
+
+def test_slice_report_brings_narrow_rows_together(spark, monkeypatch):
+    """Sums of users are not shuffled, parts hold a bounded number of rows, heavy users give the same scores."""
+    from affinary.operators import slices
+
+    data = [(n % 7 if n % 5 else None, n % 40 + 1, 1 + n % 2, 0.5, "a" if n % 3 else None, "OVERALL") for n in range(3000)]
+    df = spark.createDataFrame(data, "user_id int, prediction_rank int, is_interacted int, prediction double, side string, name string")
+    asked = ["recall_at_k", "ndcg_at_k", "rmse"]
+    staged, keep = [], slices.materialize
+
+    def stage(table, name):
+        staged.append((name, table.columns))
+        return keep(table, name)
+
+    monkeypatch.setattr(slices, "TASK_ROWS", 1000)
+    whole = slice_report(df, ["side", "name"], asked, stage=stage)
+    assert staged[0][1] == ["user_id", "_f0", "_f1", "_label", "_prediction", "_rank"]
+    # one exchange of rows by user; sums are shuffled by user and slice for heavy users alone
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\(user_id#\d+, (\d+)\)", plan) == ["9"]
+    assert len(re.findall(r"hashpartitioning\(user_id#\d+, _at", plan)) == 1
+    monkeypatch.setattr(slices, "HEAVY_ROWS", 500)
+    cut = slice_report(df, ["side", "name"], asked)
+
+    def plain(report):
+        return sorted((r.feature, r.value, r.sample_count, *[round(v, 9) for v in r[3:]]) for r in report.collect())
+
+    assert plain(cut) == plain(whole) and len(plain(whole)) == 4
+    # a row without a user counts as a row only
+    assert [row[2] for row in plain(whole)] == [3000, 3000, 3000, 2000]
+
+
+def test_slice_report_reads_what_its_metrics_read(spark):
+    df = spark.createDataFrame([(1, 2, "a"), (1, 3, None)], "user_id int, prediction_rank int, side string")
+    found = {(r.feature, r.value): r["recall@1"] for r in slice_report(df, ["side"], ["recall_at_k"]).collect()}
+    assert found == {("side", "a"): 0.0, ("side", "OVERALL"): 0.0}
