@@ -31,15 +31,18 @@ def add_batches(
     seed: str = "shuffle",
     mini_batches: int = 1,
     stage: Stage = materialize,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number the batches of each date: shuffled position divided by the batch size.
 
     All batches of a date are full but its last.  ``mini_batches`` divides the
     size, for tables that are read in that many parts.  The rows are read back from a table sorted by
-    date and batch, so a task that reads it holds whole runs of batches.
+    date and batch, so a task that reads it holds whole runs of batches.  With ``keep`` it has these columns, the
+    date and the batch only.
     """
     size = max(batch_size // mini_batches, 1)
-    placed = shuffled_positions(df, [roles.event_date], key, seed, "_position", stage)
+    unread = [] if keep is None else [name for name in df.columns if name not in (*keep, roles.event_date)]
+    placed = shuffled_positions(df, [roles.event_date], key, seed, "_position", stage, unread)
     return placed.withColumn(roles.batch, F.expr(f"_position div {size}")).drop("_position")
 
 

@@ -83,17 +83,25 @@ def hash_running_sum(
     return placed.drop("__h", "__slot")
 
 
-def place_in_order(df: DataFrame, order: Sequence[str | Column], stage: Stage, out: str = "__at") -> DataFrame:
+def place_in_order(
+    df: DataFrame, order: Sequence[str | Column], stage: Stage, out: str = "__at", drop: Sequence[str] = ()
+) -> DataFrame:
     """The rows sorted by range partition and staged, with their partition in the high bits of ``out`` and their place in it below.
 
     A number of the sorted table that rises with the order: one exchange, no cut points and no group in one task.
     Rows that are equal in ``order`` lie in one partition, so ``order`` ends with what tells rows apart.
+    Columns of ``order`` that nothing reads later are left out of the staged table by ``drop``.
     """
-    return stage(df.orderBy(*order).withColumn(out, F.monotonically_increasing_id()), "sorted")
+    return stage(df.orderBy(*order).withColumn(out, F.monotonically_increasing_id()).drop(*drop), "sorted")
 
 
 def sorted_positions(
-    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str = "position", stage: Stage = materialize
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str | Column],
+    out: str = "position",
+    stage: Stage = materialize,
+    drop: Sequence[str] = (),
 ) -> DataFrame:
     """0-based position of every row in its group, from one range exchange.
 
@@ -101,7 +109,7 @@ def sorted_positions(
     stretch, a row per group and partition, give the offsets.  They are staged, so their true size is known when
     they are joined to the sorted rows.
     """
-    placed = place_in_order(df, [*group, *order], stage)
+    placed = place_in_order(df, [*group, *order], stage, drop=drop)
     keyed = placed.withColumn("__key", F.struct(*group, F.shiftright("__at", PLACE_BITS).alias("__part")))
     stretches = keyed.groupBy("__key").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
     of_group = [F.col(f"__key.{name}") for name in group] or [F.lit(0)]
@@ -112,11 +120,20 @@ def sorted_positions(
 
 
 def shuffled_positions(
-    df: DataFrame, group: Sequence[str], key: Sequence[str], seed: str, out: str = "position", stage: Stage = materialize
+    df: DataFrame,
+    group: Sequence[str],
+    key: Sequence[str],
+    seed: str,
+    out: str = "position",
+    stage: Stage = materialize,
+    drop: Sequence[str] = (),
 ) -> DataFrame:
-    """0-based position of every row of a group in shuffled order; ``key`` identifies a row."""
-    hashed = df.withColumn("__h", shuffle_hash(seed, *key))
-    return sorted_positions(hashed, group, ["__h", *key], out, stage).drop("__h")
+    """0-based position of every row of a group in shuffled order; ``key`` identifies a row.
+
+    The hash is sorted by as 16 bytes, in the order of its hex digits, and not staged; nor are the columns ``drop`` names.
+    """
+    hashed = df.withColumn("__h", F.unhex(shuffle_hash(seed, *key)))
+    return sorted_positions(hashed, group, ["__h", *key], out, stage, ["__h", *drop])
 
 
 def value_positions(
@@ -127,9 +144,9 @@ def value_positions(
     Rows with a null or NaN value have no position and drop out.
     """
     ranked = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-    ranked = ranked.withColumns({"_neg": -F.col(value).cast("double"), "_h": shuffle_hash(seed, *key)})
-    placed = sorted_positions(ranked, [], ["_neg", "_h", *key], out, stage)
-    return placed.withColumn(out, F.col(out) + 1).drop("_neg", "_h")
+    ranked = ranked.withColumns({"_neg": -F.col(value).cast("double"), "_h": F.unhex(shuffle_hash(seed, *key))})
+    placed = sorted_positions(ranked, [], ["_neg", "_h", *key], out, stage, ["_neg", "_h"])
+    return placed.withColumn(out, F.col(out) + 1)
 
 
 def top_per_group(

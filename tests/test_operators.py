@@ -798,3 +798,37 @@ def test_slice_report_reads_what_its_metrics_read(spark):
     df = spark.createDataFrame([(1, 2, "a"), (1, 3, None)], "user_id int, prediction_rank int, side string")
     found = {(r.feature, r.value): r["recall@1"] for r in slice_report(df, ["side"], ["recall_at_k"]).collect()}
     assert found == {("side", "a"): 0.0, ("side", "OVERALL"): 0.0}
+
+
+def test_batches_stage_only_what_is_kept(spark, labelled):
+    """The hash is sorted by, not stored; the batches are those of the whole table."""
+    _, df = labelled
+    tables = []
+
+    def stage(table, name):
+        tables.append((name, table.columns))
+        return table.localCheckpoint()
+
+    key = training_batch_key(ROLES)
+    kept = add_batches(df.drop("batch_idx"), 100, key, ROLES, stage=stage, keep=["event_id"])
+    assert tables[0] == ("sorted", ["event_id", "filename_date", "__at"]) and tables[1][0] == "offsets"
+    assert kept.columns == ["event_id", "filename_date", "batch_idx"]
+    whole = add_batches(df.drop("batch_idx"), 100, key, ROLES, stage=stage)
+    assert "__h" not in tables[2][1] and set(df.columns) <= {*tables[2][1], "batch_idx"}
+    assert sorted(kept.collect()) == sorted(whole.select(*kept.columns).collect())
+
+
+def test_order_lines_are_staged_once_and_narrow(spark, monkeypatch):
+    from affinary.catalog import QUERIES
+    from affinary.operators import batching, ordering
+
+    tables, keep = [], ordering.materialize
+
+    def stage(table, name):
+        tables.append((name, table.columns))
+        return keep(table, name)
+
+    monkeypatch.setattr("affinary.catalog.training.materialize", stage)
+    monkeypatch.setattr(batching.add_batches, "__defaults__", (*batching.add_batches.__defaults__[:-2], stage, None))
+    QUERIES["batch_index_orders"](spark, "/root/testdata/sf0.001")
+    assert (tables[0][0], sorted(tables[0][1])) == ("sorted", ["__at", "event_id", "filename_date"])
