@@ -36,8 +36,8 @@ def take_by_hash(
     Rows whose group columns are null form groups of their own, as any other value.
     Finds one cut-off hash per group and then filters: slots are counted, the slot
     holding the cut-off is known from the counts, and only that slot's keys are sorted.
-    The cut-offs are staged, so the planner knows their true size; as few rows
-    as groups are, it sends them to the full rows, which are not shuffled then.
+    The slots and the cut-offs, a row per group, are staged, so the planner knows their true size and
+    sends them to the rows, which are not shuffled then.
     """
     keyed = df.withColumn("_h", shuffle_hash(seed, *key))
     groups, keys = [f"_g{i}" for i in range(len(group))], [f"_k{i}" for i in range(len(key))]
@@ -60,7 +60,7 @@ def take_by_hash(
         quota(F.col("_fraction"), F.sum("_n").over(whole)).alias("_quota"),
     )
     last = slots.filter((F.col("_before") < F.col("_quota")) & (F.col("_quota") <= F.col("_before") + F.col("_n")))
-    last = last.select("_group", "_slot", (F.col("_quota") - F.col("_before")).alias("_need"))
+    last = stage(last.select("_group", "_slot", (F.col("_quota") - F.col("_before")).alias("_need")), "cut_slots")
 
     inside = Window.partitionBy("_group", "_slot").orderBy("_h", *keys)
     ranked = narrow.join(last, ["_group", "_slot"]).withColumn("_rank", F.row_number().over(inside))

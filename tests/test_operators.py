@@ -832,3 +832,20 @@ def test_order_lines_are_staged_once_and_narrow(spark, monkeypatch):
     monkeypatch.setattr(batching.add_batches, "__defaults__", (*batching.add_batches.__defaults__[:-2], stage, None))
     QUERIES["batch_index_orders"](spark, "/root/testdata/sf0.001")
     assert (tables[0][0], sorted(tables[0][1])) == ("sorted", ["__at", "event_id", "filename_date"])
+
+
+def test_sample_shuffles_the_cut_slots_only(spark):
+    """The rows are not shuffled to find the cut-offs: the slots that hold them are sent to the rows."""
+    from affinary.operators import ordering
+
+    plans = {}
+
+    def stage(table, name):
+        plans[name] = table._jdf.queryExecution().executedPlan().toString()
+        return ordering.materialize(table, name)
+
+    df = spark.createDataFrame([(n, n % 3 if n % 7 else None) for n in range(2000)], "event_id int, g int").repartition(3)
+    kept = take_by_hash(df, ["g"], F.lit(0.5), ["event_id"], "s", stage)
+    assert "BroadcastHashJoin" in plans["cuts"] and "SortMergeJoin" not in plans["cuts"]
+    sizes = Counter(n % 3 if n % 7 else None for n in range(2000))
+    assert Counter(row.g for row in kept.collect()) == {g: round(n / 2) for g, n in sizes.items()}
