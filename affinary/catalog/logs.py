@@ -28,6 +28,7 @@ FEATURES = ["market_segment", "user_region", "user_nation", "item_brand", "item_
 BAND_CUTS = (5, 15, 50, 80)
 ORDER_BAND_CUTS = (100, 300, 1000, 2000)
 ORDER_ROLES = Roles(row_id="event_id")
+JOIN_ROWS = 1 << 18  # order lines in a task that brings them together with their orders
 ORDER_SPEC = JobSpec(name="orders", roles=ORDER_ROLES, resampling=SPEC.resampling, batch_size=1000)
 
 
@@ -101,10 +102,15 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as interactions, a longer log with many items."""
-    joined = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    """Order lines as interactions, a longer log with many items.
+
+    Both sides are cut into as many parts as there are lines for, so what a task of the join sorts does not grow.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    # the files' footers tell the count
+    n_parts = max(1, -(-lines.count() // JOIN_ROWS))
+    orders = table(spark, sf_dir, "orders").repartition(n_parts, "o_orderkey")
+    joined = lines.repartition(n_parts, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     flag = F.col("l_returnflag")
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("event_id"),

@@ -112,14 +112,13 @@ _LINES_RANKED = f"""{ORDERS_SQL}, evaluated AS (
 
 
 def _ranked_lines(spark, sf_dir):
-    
+    """Order lines with the place and the features of their item; a task holds its items and streams their lines, unsorted."""
     lines = logs.order_lines(spark, sf_dir)
     counts = materialize(lines.groupBy("item_id").agg(F.count(F.lit(1)).alias("score")), "counts")
     places = catalog_positions(counts, "score", ROLES)
-    ranked = lines.withColumn("prediction", F.col("price") / 100000).join(
-        places.select("item_id", F.col("position").alias("prediction_rank")), "item_id"
-    )
-    return ranked.join(logs.items(spark, sf_dir), "item_id")
+    places = places.select("item_id", F.col("position").alias("prediction_rank"))
+    placed = places.join(logs.items(spark, sf_dir), "item_id").hint("shuffle_hash")
+    return lines.withColumn("prediction", F.col("price") / 100000).join(placed, "item_id")
 
 
 @query(

@@ -849,3 +849,19 @@ def test_sample_shuffles_the_cut_slots_only(spark):
     assert "BroadcastHashJoin" in plans["cuts"] and "SortMergeJoin" not in plans["cuts"]
     sizes = Counter(n % 3 if n % 7 else None for n in range(2000))
     assert Counter(row.g for row in kept.collect()) == {g: round(n / 2) for g, n in sizes.items()}
+
+
+def test_order_lines_join_in_parts_of_bounded_rows(spark, monkeypatch):
+    """The parts follow the lines, not the setting; lines meet their items without being sorted by them."""
+    from affinary.catalog import logs, scores
+
+    whole = logs.order_lines(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(logs, "JOIN_ROWS", 500)
+    n_parts = -(-spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count() // 500)
+    cut = logs.order_lines(spark, "/root/testdata/sf0.001")
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"orderkey#\d+L, (\d+)\)", plan)) == {str(n_parts)}
+    assert sorted(cut.collect()) == sorted(whole.collect())
+    ranked = scores._ranked_lines(spark, "/root/testdata/sf0.001")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"(\w+) \[item_id#\d+L\], \[item_id#\d+L\], Inner", plan)[0] == "ShuffledHashJoin"
