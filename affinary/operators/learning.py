@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from affinary.operators.metrics import auc
 from affinary.roles import NEGATIVE, Roles
+from affinary.sources.scratch import Stage, materialize
 
 
 def clicked(roles: Roles = Roles()) -> Column:
@@ -97,6 +98,41 @@ class ClickModel:
         return self._logit(complete, used, out).withColumn(out, F.col(out) - self.model.intercept)
 
 
+def merged_rows(df: DataFrame, features: Sequence[str], roles: Roles = Roles()) -> DataFrame:
+    """Rows that are alike in features and target as one row, with the sums of their weights and of the weights' squares.
+
+    A weighted loss is the same on them, and they are as many as there are combinations, however long the log is.
+    """
+    complete = df.select(*features, roles.label, roles.weight).dropna("any")
+    target = F.when(clicked(roles), 1.0).otherwise(0.0).alias("_y")
+    weight = F.col(roles.weight).cast("double")
+    return complete.groupBy(*features, target).agg(F.sum(weight).alias("_w"), F.sum(weight * weight).alias("_w2"))
+
+
+def _same_penalty(merged: DataFrame, params: Mapping[str, Any]) -> dict[str, Any]:
+    """Penalties that weigh on merged rows as the given ones do on the rows themselves.
+
+    They are taken of coefficients times standard deviations.  A deviation has the sum of weights less their mean by weight
+    as its denominator, which merging makes smaller, for all columns alike.
+    """
+    strength, share = params.get("regParam", 0.0), params.get("elasticNetParam", 0.0)
+    if not strength or not params.get("standardization", True):
+        return dict(params)
+    total, rows, groups = merged.agg(F.sum("_w"), F.sum("_w2"), F.sum(F.col("_w") * F.col("_w"))).first()
+    if not total or total * total <= groups:
+        return dict(params)
+    variance = (total - rows / total) / (total - groups / total)
+    absolute, squared = strength * share / variance**0.5, strength * (1 - share) / variance
+    return {**params, "regParam": absolute + squared, "elasticNetParam": absolute / (absolute + squared)}
+
+
+def _fit_merged(merged: DataFrame, features: Sequence[str], size: int, max_iter: int = 20, **params: Any) -> ClickModel:
+    prepared = _hasher(features, size).transform(merged).select("_x", "_y", "_w")
+    penalties = _same_penalty(merged, params)
+    learner = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_w", maxIter=max_iter, **penalties)
+    return ClickModel(tuple(features), size, learner.fit(prepared))
+
+
 def fit_click_model(
     df: DataFrame,
     features: Sequence[str],
@@ -105,13 +141,8 @@ def fit_click_model(
     max_iter: int = 20,
     **params: Any,
 ) -> ClickModel:
-    """Fit on rows with label, weight and features."""
-    complete = df.select(*features, roles.label, roles.weight).dropna("any")
-    prepared = _hasher(features, size).transform(complete).select(
-        "_x", F.when(clicked(roles), 1.0).otherwise(0.0).alias("_y"), F.col(roles.weight).cast("double").alias("_w")
-    )
-    learner = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="_w", maxIter=max_iter, **params)
-    return ClickModel(tuple(features), size, learner.fit(prepared))
+    """Fit on rows with label, weight and features; equal rows are merged first."""
+    return _fit_merged(merged_rows(df, features, roles), features, size, max_iter, **params)
 
 
 @dataclass(frozen=True)
@@ -182,17 +213,31 @@ def search_parameters(
     trials: Iterable[Mapping[str, Any]],
     roles: Roles = Roles(),
     size: int = 1 << 18,
+    stage: Stage = materialize,
 ) -> DataFrame:
     """One row per trial with its validation AUC, best first.
 
-    Train and validation are separated by date beforehand; each fit and each AUC
-    is a Spark job, the driver keeps one number per trial.
+    Train and validation are separated by date beforehand.  Both are read once: their equal rows are merged and
+    staged, so fits and scores of all trials see a row per combination.  One sort gives the areas of all
+    trials; the driver keeps one number per trial.
     """
-    rows = []
-    for number, params in enumerate(trials):
-        model = fit_click_model(train, features, roles, size, **params)
-        area = auc(model.score(validation), "prediction", clicked(roles)).first()["auc"]
-        rows.append((number, ", ".join(f"{name}={params[name]}" for name in sorted(params)), area))
+    trials = list(trials)
+    merged = stage(merged_rows(train, features, roles), "merged")
+    complete = validation.dropna("any", subset=list(features))
+    asked = complete.groupBy(*features, clicked(roles).alias("_hit")).agg(F.count(F.lit(1)).alias("_copies"))
+    asked = stage(asked, "asked")
+    scored = [
+        _fit_merged(merged, features, size, **params).score(asked).select(F.lit(number).alias("_trial"), "prediction", "_hit", "_copies")
+        for number, params in enumerate(trials)
+    ]
+    found = {}
+    if scored:
+        areas = auc(reduce(DataFrame.unionByName, scored), "prediction", F.col("_hit"), ["_trial"], stage, "_copies")
+        found = {row["_trial"]: row["auc"] for row in areas.collect()}
+    rows = [
+        (number, ", ".join(f"{name}={params[name]}" for name in sorted(params)), found.get(number))
+        for number, params in enumerate(trials)
+    ]
     results = train.sparkSession.createDataFrame(rows, "trial int, params string, auc double")
     return results.orderBy(F.desc("auc"), "trial")
 

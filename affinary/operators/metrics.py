@@ -206,9 +206,9 @@ def count_active_users(df: DataFrame, roles: Roles = Roles(), positive: int = PO
 
 
 def auc(
-    df: DataFrame, score: str, target: Column, by: Sequence[str] = (), stage: Stage = materialize
+    df: DataFrame, score: str, target: Column, by: Sequence[str] = (), stage: Stage = materialize, copies: str | None = None
 ) -> DataFrame:
-    """Exact area under the ROC curve, ties counted half, overall or per group.
+    """Exact area under the ROC curve, ties counted half, overall or per group; a row stands for as many as ``copies`` says.
 
     Rows are combined per distinct score, and that table is sorted by range partitions and staged.
     Chunks of consecutive scores count their own wins; a chunk's positives also win against the
@@ -216,8 +216,9 @@ def auc(
     """
     usable = df.filter(F.col(score).isNotNull() & ~F.isnan(score) & target.isNotNull())
     value = F.col(score).cast("double")
+    n = F.lit(1) if copies is None else F.col(copies)
     ties = usable.groupBy(*by, value.alias("_s")).agg(
-        F.sum(F.when(target, 1).otherwise(0)).alias("_pos"), F.sum(F.when(target, 0).otherwise(1)).alias("_neg")
+        F.sum(F.when(target, n).otherwise(0)).alias("_pos"), F.sum(F.when(target, 0).otherwise(n)).alias("_neg")
     )
     placed = place_in_order(ties, [*by, "_s"], stage, "_at")
     # the partition is in the high bits, so a chunk lies in one

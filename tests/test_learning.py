@@ -4,16 +4,20 @@ import random
 from dataclasses import replace
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from affinary.operators.factorization import fit_factor_model
 from affinary.operators.learning import (
+    _hasher,
+    clicked,
     daily_refit,
     feature_importance,
     fit_click_model,
     search_parameters,
     search_space,
 )
+from affinary.operators.metrics import auc
 from affinary.operators.ranking import catalog_positions, rank_pairs, rank_scored
 from affinary.operators.retrieval import vector_top_k
 from affinary.plans.evaluation import report
@@ -105,6 +109,44 @@ def test_search(spark, clicks):
     assert [r.trial for r in results] in ([0, 1], [1, 0]) and results[0].auc >= results[1].auc
 
 
+def test_search_fits_a_row_per_combination(spark, clicks):
+    """All trials share one staged row per combination and one sort, and find what fits on the rows find, to the optimizer's tolerance."""
+    odd = clicks.withColumn("weighted_lr", 0.5 + F.col("item_id") % 4).withColumn(
+        "kind", F.when(F.col("user_id") != 7, F.col("kind"))
+    )
+    train, held_out = odd.filter("item_id % 5 < 4"), odd.filter("item_id % 5 = 4")
+    trials = [{}, {"regParam": 0.05, "elasticNetParam": 0.5}, {"regParam": 0.3}, {"regParam": 0.3, "standardization": False}]
+    sizes = {}
+
+    def stage(table, name):
+        kept = scratch.materialize(table, name)
+        sizes.setdefault(name, []).append(kept.count())
+        return kept
+
+    found = {r.trial: r.auc for r in search_parameters(train, held_out, FEATURES, trials, ROLES, 64, stage).collect()}
+    assert max(sizes["merged"] + sizes["asked"]) <= 2 * 3 * 2 and len(sizes["sorted"]) == 1
+    whole = train.dropna("any", subset=FEATURES)
+    rows = _hasher(FEATURES, 64).transform(whole).withColumn("_y", clicked(ROLES).cast("double"))
+    for number, params in enumerate(trials):
+        plain = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="weighted_lr", maxIter=20, **params).fit(rows)
+        model = fit_click_model(train, FEATURES, ROLES, 64, **params)
+        assert model.model.coefficients.toArray() == pytest.approx(plain.coefficients.toArray(), abs=1e-5)
+        assert model.model.intercept == pytest.approx(plain.intercept, abs=1e-5)
+        assert found[number] == pytest.approx(auc(model.score(held_out), "prediction", clicked(ROLES)).first()["auc"])
+
+
+def test_search_without_validation_rows_or_trials(spark, clicks):
+    assert [r.auc for r in search_parameters(clicks, clicks.limit(0), FEATURES, [{}], ROLES, 64).collect()] == [None]
+    assert search_parameters(clicks, clicks, FEATURES, [], ROLES, 64).count() == 0
+
+
+def test_auc_of_rows_with_copies(spark):
+    data = [(0.1, 1, 3), (0.1, 2, 1), (0.4, 1, 2), (0.6, 2, 4), (0.6, 1, 1), (0.9, None, 5)]
+    df = spark.createDataFrame(data, "s double, is_interacted int, n int")
+    spread = df.select("s", "is_interacted", F.explode(F.sequence(F.lit(1), "n")))
+    assert auc(df, "s", clicked(ROLES), copies="n").collect() == auc(spread, "s", clicked(ROLES)).collect()
+
+
 def _log(spark):
     rng = random.Random(6)
     data = [
